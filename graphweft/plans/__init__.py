@@ -1,4 +1,4 @@
 """Registered queries. Importing this package fills ``QUERIES`` and ``ORACLE``."""
 
 from .registry import ORACLE, QUERIES  # noqa: F401
-from . import clause_queries, patterns  # noqa: F401, E402
+from . import clause_queries, function_queries, patterns  # noqa: F401, E402

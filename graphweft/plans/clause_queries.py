@@ -151,10 +151,12 @@ def c13(spark, sf):
     return second.where(c("customers") > 10)
 
 
-@query("c14_explain", "SELECT true AS pushed, true AS pruned")
+@query("c14_explain", """
+SELECT CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 2) AS total, true AS pushed, true AS pruned FROM orders WHERE o_orderstatus = 'F'""")
 def c14(spark, sf):
     m = supply(spark, sf).match().node("o", "Order", status="F").df().select("o_total")
     text = K.explain(m)
+    # the label picks one source table, the property reaches its scan, unused columns are not read
     pushed = "EqualTo(o_orderstatus,F)" in text
     pruned = "customer.parquet" not in text and "o_orderpriority" not in text
-    return spark.range(1).select(F.lit(pushed).alias("pushed"), F.lit(pruned).alias("pruned"))
+    return m.agg(F.count("*").alias("n"), F.round(F.sum("o_total"), 2).alias("total"), F.lit(pushed).alias("pushed"), F.lit(pruned).alias("pruned"))

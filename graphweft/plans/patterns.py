@@ -372,9 +372,9 @@ def b25(spark, sf):
 
 
 @query("b26_list_comprehension", f"""
-SELECT doc_id, md5(array_to_string(list_transform(list_filter(w, lambda x: length(x) > 8), lambda x: upper(x)), ' ')) AS long_words FROM ({_WORDS_SQL})""")
+SELECT doc_id, md5(array_to_string(list_transform(list_filter(w, lambda x: length(x) > 8), lambda x: x || '!'), ' ')) AS long_words FROM ({_WORDS_SQL})""")
 def b26(spark, sf):
-    words = X.comprehension(c("w"), lambda x: F.length(x) > 8, lambda x: F.upper(x))
+    words = X.comprehension(c("w"), lambda x: F.length(x) > 8, lambda x: F.concat(x, F.lit("!")))
     return _words(spark, sf).select("doc_id", F.md5(F.array_join(words, " ")).alias("long_words"))
 
 
