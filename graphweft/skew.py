@@ -40,6 +40,19 @@ def replicate(small: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     )
 
 
+def join_spread(
+    big: DataFrame, small: DataFrame, key: str, n: str, total: int, spread_by: list[Column], chunk: int | None = None
+) -> DataFrame:
+    """Inner join of ``big`` to ``small`` (one row per key, ``n`` = its rows in ``big``).
+
+    Up to ``chunk`` rows in total no key can be too large, and the join is plain.
+    """
+    if total <= (chunk or ROWS_PER_SALT):
+        return big.join(small.drop(n), key)
+    hot, _ = hot_keys(small, key, n, total, chunk)
+    return add_salt(big, hot, key, spread_by).join(replicate(small.drop(n), hot, key), [key, "_salt"]).drop("_salt")
+
+
 class Fanout:
     """Edges prepared once for repeated joins from a node table to its out-edges.
 
