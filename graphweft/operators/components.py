@@ -59,10 +59,12 @@ def _spread_min(fan: Fanout, state: DataFrame) -> DataFrame:
 
 
 def scc(graph: Graph) -> DataFrame:
-    """``id, component``: trimming, then forward colours and backward search per colour.
+    """``id, component``: trimming, then smallest labels spread forward and backward.
 
-    The colour of a node is the smallest id that reaches it. The nodes of a colour
-    that reach its root form the root's component; they leave, and the rest repeats.
+    ``f`` is the smallest id that reaches a node, ``b`` the smallest it reaches. Where
+    they agree, that id is in the node's component and names it. Members of one
+    component share both, so edges between different pairs are dropped and the rest
+    repeats. A spread takes as many rounds as the longest shortest path.
     """
     nodes = cut(graph.nodes.select("id"))
     edges = cut(graph.edges.where("src <> dst").select("src", "dst").distinct())
@@ -70,35 +72,27 @@ def scc(graph: Graph) -> DataFrame:
     while True:
         # a node without incoming or outgoing edges is a component by itself
         inner = edges.select(F.col("src").alias("id")).distinct().join(edges.select(F.col("dst").alias("id")).distinct(), "id")
-        trimmed = nodes.join(inner, "id", "left_anti")
-        done.append(cut(trimmed.select("id", F.col("id").alias("component"))))
+        done.append(cut(nodes.join(inner, "id", "left_anti").select("id", F.col("id").alias("component"))))
         nodes = cut(nodes.join(inner, "id", "left_semi"))
         if nodes.isEmpty():
             break
-        edges = cut(
-            edges.join(nodes.withColumnRenamed("id", "src"), "src", "left_semi").join(nodes.withColumnRenamed("id", "dst"), "dst", "left_semi")
-        )
-        colour = _spread_min(Fanout(edges), nodes.select("id", F.col("id").alias("label")))
-        tail = colour.select(F.col("id").alias("src"), F.col("label").alias("_a"))
-        head = colour.select(F.col("id").alias("dst"), F.col("label").alias("_b"))
-        inside = edges.join(tail, "src").join(head, "dst").where("_a = _b").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "_a")
-        back = Fanout(inside.select("src", "dst"))
-        level = cut(colour.where("id = label").select("id", "label"))
-        found = level
-        while True:
-            reached = back.send(level).select(F.col("dst").alias("id"), "label").distinct()
-            level = cut(reached.join(found.select("id"), "id", "left_anti"))
-            if level.isEmpty():
-                break
-            found = cut(found.unionAll(level))
-        done.append(found.select("id", F.col("label").alias("component")))
-        nodes = cut(nodes.join(found.select("id"), "id", "left_anti"))
-        if nodes.isEmpty():
-            break
-        edges = cut(
-            edges.join(nodes.withColumnRenamed("id", "src"), "src", "left_semi").join(nodes.withColumnRenamed("id", "dst"), "dst", "left_semi")
-        )
+        edges = cut(_inside(edges, nodes))
+        own = nodes.select("id", F.col("id").alias("label"))
+        f = _spread_min(Fanout(edges), own).withColumnRenamed("label", "f")
+        b = _spread_min(Fanout(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), own).withColumnRenamed("label", "b")
+        pair = cut(f.join(b, "id"))
+        done.append(pair.where("f = b").select("id", F.col("f").alias("component")))
+        rest = pair.where("f <> b")
+        nodes = rest.select("id")
+        tail = rest.select(F.col("id").alias("src"), F.struct("f", "b").alias("_s"))
+        head = rest.select(F.col("id").alias("dst"), F.struct("f", "b").alias("_d"))
+        edges = cut(edges.join(tail, "src").join(head, "dst").where("_s = _d").select("src", "dst"))
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)
     return out
+
+
+def _inside(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with both ends among the nodes."""
+    return edges.join(nodes.withColumnRenamed("id", "src"), "src", "left_semi").join(nodes.withColumnRenamed("id", "dst"), "dst", "left_semi")

@@ -68,7 +68,6 @@ def g04(spark, sf):
     return community.label_propagation(hop(spark, sf), 10)
 
 
-# A sparser graph for communities: consecutive events of a kind, users as in the event chain.
 @query("g05_communities", f"""
 WITH lp AS ({_LP}), top AS (SELECT min(community) AS c FROM lp)
 SELECT 'of' AS what, id, community FROM lp WHERE id = (SELECT min(id) FROM lp)
@@ -87,7 +86,7 @@ def g05(spark, sf):
 @query("g06_louvain", f"WITH {HOP_SQL} SELECT CAST(count(*) AS BIGINT) AS n, true AS better_than_singletons, true AS canonical FROM users")
 def g06(spark, sf):
     g = hop(spark, sf)
-    labels, q = community.louvain(g)
+    labels, q = community.louvain(g, passes=6)
     alone = community.modularity(g.edges, g.nodes.select("id", c("id").alias("community")))
     groups = labels.groupBy("community").agg(F.min("id").alias("m"))
     canonical = groups.where("m <> community").isEmpty()
@@ -184,9 +183,14 @@ def g13(spark, sf):
     return components.scc(hop(spark, sf))
 
 
-@query("g13_scc_chain", "SELECT event_id AS id, event_id AS component FROM events")
-def g13_chain(spark, sf):
-    return components.scc(chain(spark, sf))
+@query("g13_scc_supply", """
+SELECT label, CAST(count(*) AS BIGINT) AS nodes, CAST(count(*) AS BIGINT) AS components FROM (SELECT 'Region' AS label FROM region
+ UNION ALL SELECT 'Nation' FROM nation UNION ALL SELECT 'Customer' FROM customer UNION ALL SELECT 'Supplier' FROM supplier
+ UNION ALL SELECT 'Part' FROM part UNION ALL SELECT 'Order' FROM orders) GROUP BY 1""")
+def g13_supply(spark, sf):
+    g = supply(spark, sf)  # no directed cycle, so every node is alone
+    found = components.scc(g).join(g.nodes.select("id", c("labels")[0].alias("label")), "id")
+    return found.groupBy("label").agg(F.count("*").alias("nodes"), F.count_distinct("component").alias("components"))
 
 
 _BF_STEP = """SELECT id, min(d) AS d FROM (SELECT id, d FROM {prev} UNION ALL
