@@ -288,10 +288,9 @@ def h22(spark, sf):
     spread = {}
     for name, m in (("trained", centres), ("mean", mean)):
         rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "id long, embedding array<double>")
-        near = knn_join(e, rows, 1, query_id="vec_id")
-        spread[name] = near.agg(F.count("*").alias("n"), F.avg("distance").alias(name))
-    joined = spread["trained"].join(spread["mean"].drop("n"))
-    return joined.select(F.lit(len(centres)).cast("long").alias("cells"), c("n").alias("vectors"), (c("trained") < c("mean")).alias("nearer_than_mean"))
+        spread[name] = knn_join(e, rows, 1, query_id="vec_id").agg(F.avg("distance")).first()[0]
+    nearer = spread["trained"] < spread["mean"]
+    return e.agg(F.lit(len(centres)).cast("long").alias("cells"), F.count("*").alias("vectors"), F.lit(nearer).alias("nearer_than_mean"))
 
 
 @query("h23_ivf_assign", f"WITH {_CENTRES} SELECT vec_id, CAST(cell AS BIGINT) AS cell FROM cells")
