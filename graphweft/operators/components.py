@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import skew
 from ..graph import Graph
 from ..session import cut
-from ..skew import Fanout, join_spread
+from ..skew import Fanout
 
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
@@ -18,7 +19,9 @@ def _fingerprint(edges: DataFrame) -> tuple[int, int]:
 def _nearest(edges: DataFrame, total: int, chunk: int | None) -> DataFrame:
     """Edges with ``m``, the smallest of u and its neighbours v."""
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("_n"))
-    return join_spread(edges, cut(least), "u", "_n", total, [F.col("v")], chunk)
+    if total > (chunk or skew.ROWS_PER_SALT):
+        least = cut(least)  # read several times when hot keys are split
+    return skew.join_spread(edges, least, "u", "_n", total, [F.col("v")], chunk)
 
 
 def wcc(graph: Graph, chunk: int | None = None) -> DataFrame:

@@ -50,4 +50,4 @@ def plain(spark):
 
 def rows(df, *cols):
     """Sorted tuples of the given columns."""
-    return sorted(tuple(r) for r in df.select(*(cols or df.columns)).collect())
+    return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())
