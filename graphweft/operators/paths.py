@@ -91,7 +91,7 @@ def shortest_paths(
         if level.isEmpty():
             break
         found.append(level)
-        settled = cut(settled.unionAll(level.select("start", "end").distinct()))
+        settled = settled.unionAll(level.select("start", "end").distinct())
     result = found[0] if found else level
     for more in found[1:]:
         result = result.unionAll(more)

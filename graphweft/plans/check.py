@@ -20,6 +20,16 @@ def _cell(v):
     return str(v)
 
 
+# Spark type → DuckDB type of the same column.
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_differences(df, con, sql: str) -> list[str]:
+    """Columns whose types differ between the two sides."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{n}: {t} and {want.get(n)}" for n, t in df.dtypes if SAME_TYPE.get(t, t) != want.get(n)]
+
+
 def rows_of_spark(df):
     names = sorted(df.columns)
     return names, Counter(tuple(_cell(r[n]) for n in names) for r in df.select(*names).collect())
@@ -46,7 +56,8 @@ def compare(spark, con, name: str, sf: str) -> str:
     from . import ORACLE, QUERIES
 
     started = time.time()
-    names, got = rows_of_spark(QUERIES[name](spark, sf))
+    df = QUERIES[name](spark, sf)
+    names, got = rows_of_spark(df)
     took = time.time() - started
     n = sum(got.values())
     if name not in ORACLE:
@@ -59,6 +70,9 @@ def compare(spark, con, name: str, sf: str) -> str:
     if got != want:
         extra, missing = list((got - want).items())[:3], list((want - got).items())[:3]
         return f"FAIL  {name} {n} vs {sum(want.values())} rows\n   spark only {extra}\n   duck only  {missing}"
+    types = type_differences(df, con, ORACLE[name])
+    if types:
+        return f"FAIL  {name} types {types}"
     return f"{'ok   ' if n else 'EMPTY'} {name} {n} rows spark {took:.1f}s duck {duck:.1f}s"
 
 

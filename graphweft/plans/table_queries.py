@@ -90,7 +90,7 @@ def a06_wide(spark, sf):
 SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(min(vec_id) AS BIGINT) AS first_id FROM embeddings WHERE label >= 5 GROUP BY 1""")
 def a07(spark, sf):
     path = new_folder(spark, "vectors")
-    V.write_table(table(spark, sf, "embeddings"), path, ["label"])
+    V.write_table(table(spark, sf, "embeddings"), path, ["label"], "vec_id")
     return V.read_table(spark, path).where("label >= 5").groupBy("label").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"))
 
 

@@ -186,7 +186,7 @@ def h14(spark, sf):
 @query("h15_knn_partition", _knn_sql(f"list_distance({E}, q)", 15, "label > 2 AND label <= 6"))
 def h15(spark, sf):
     path = new_folder(spark, "vectors")
-    S.write_table(base(spark, sf), path, ["label"])
+    S.write_table(base(spark, sf), path, ["label"], "vec_id")
     stored = S.read_table(spark, path)
     return _rounded(knn(stored, first_vector(spark, sf), 15, "l2", "vec_id", "embedding", where=(c("label") > 2) & (c("label") <= 6)))
 
@@ -307,7 +307,7 @@ SELECT query_id, id, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() O
 def _ivf(spark, sf, nprobe, k, **more):
     e, centres = base(spark, sf), label_centres(spark, sf)
     path = new_folder(spark, "ivf")
-    ivf.write(ivf.assign(e, centres), path)
+    ivf.write(ivf.assign(e, centres), path, "vec_id")
     found = ivf.search(e, ivf.read(spark, path), centres, k, nprobe, query_id="vec_id", base_id="vec_id", **more)
     return found.select("query_id", "id", c("rank").cast("long").alias("rank"))
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..skew import MAX_HOT_KEYS
+
 MAX_DIMENSIONS = 8_192  # fixed value
+ROWS_PER_FILE = 1_000_000
 _KINDS = {"float32": ("array<float>", 4, pa.float32()), "int8": ("array<tinyint>", 1, pa.int8())}
 
 
@@ -49,9 +52,22 @@ def to_blob(vector: Column, kind: str = "float32") -> Column:
     return pack(vector)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str], mode: str = "error") -> None:
-    """Partition keys become folders; metadata and payload columns stay in the files."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+def write_table(df: DataFrame, path: str, partition_by: list[str], id_col: str = "id", mode: str = "error", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Partition keys become folders; metadata and payload columns stay in the files.
+
+    Rows are first brought together by key, so a key is not scattered over a small
+    file per task; a key with very many rows is split over several tasks by id.
+    """
+    counts = df.groupBy(*partition_by).agg(F.count("*").alias("_n"))
+    total = df.count()
+    rows_per_file = max(rows_per_file, -(-total // MAX_HOT_KEYS))
+    # at most total / rows_per_file keys, so small enough to broadcast
+    large = counts.where(F.col("_n") > rows_per_file).select(*partition_by, F.ceil(F.col("_n") / rows_per_file).cast("int").alias("_files"))
+    spread = df.join(F.broadcast(large), partition_by, "left").withColumn(
+        "_file", F.pmod(F.xxhash64(id_col), F.coalesce("_files", F.lit(1)))
+    )
+    placed = spread.repartition(*partition_by, "_file").select(*df.columns)
+    placed.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

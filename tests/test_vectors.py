@@ -172,3 +172,28 @@ def test_table_changes(spark, sample):
         S.update(sample.withColumn("p", F.lit(1)), more.withColumn("p", F.lit(2)), partition_keys=("p",))
     assert S.update(sample, more.withColumn("id", F.lit(4).cast("long"))).where("id = 4").first().embedding == [0.0] * 8
     assert rows(S.delete(sample, spark.createDataFrame([(1,), (1,)], "id long")), "id") == [(2,), (3,), (4,)]
+
+
+def test_neighbour_graph_of_a_large_table(many, monkeypatch):
+    m, df = many
+    monkeypatch.setattr(neighbour_graph, "small_enough", lambda *a: False)  # candidates by inverted file
+    graph, start = neighbour_graph.build(df, degree=12, beam=24, hubs=8)
+    found = rows(neighbour_graph.search(df, graph, start, df, 5, beam=64), "query_id", "id")
+    exact = rows(knn_join(df, df, 5), "query_id", "id")
+    assert len(set(found) & set(exact)) >= 0.9 * len(exact)
+
+
+def test_large_partitions_are_split(many, spark):
+    from graphweft.session import new_folder
+
+    m, df = many
+    path = new_folder(spark, "split")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these parts are tiny
+    try:
+        S.write_table(df, path, ["part"], rows_per_file=20)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = S.read_table(spark, path)
+    assert rows(back, "id") == [(i,) for i in range(300)]
+    files = back.withColumn("f", F.input_file_name()).groupBy("part").agg(F.countDistinct("f").alias("n"))
+    assert all(r.n > 1 for r in files.collect())
