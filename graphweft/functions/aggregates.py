@@ -45,7 +45,7 @@ def quantiles(df: DataFrame, groups: list[str], x: str, **wanted: tuple[str, flo
     """
     counts = df.where(F.col(x).isNotNull()).groupBy(*groups, x).agg(F.count("*").alias("_n"))
     ranked = running_sum(counts, groups, [x], F.col("_n"), "_upto")
-    totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+    totals = ranked.groupBy(*groups).agg(F.max("_upto").alias("_total"))
     if groups:
         totals = totals.select(*[F.col(g).alias(f"_t_{g}") for g in groups], "_total")
         on = F.lit(True)

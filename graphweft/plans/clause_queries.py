@@ -44,10 +44,9 @@ def c02(spark, sf):
 
 
 @query("c03_return_star", """
-SELECT n_nationkey + 2000000000000 AS n_id, n_name, r_regionkey + 1000000000000 AS r_id, r_name
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_custkey + 3000000000000 AS c_id, c_name, n_nationkey + 2000000000000 AS n_id, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def c03(spark, sf):
-    m = supply(spark, sf).match().node("n", "Nation").out("IN_REGION").node("r", "Region").df()
+    m = supply(spark, sf).match().node("c", "Customer").out("LIVES_IN").node("n", "Nation").df()
     named = [x for x in m.columns if x.endswith(("_id", "_name"))]
     return m.select("*").select(*named)
 

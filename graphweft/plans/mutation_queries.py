@@ -34,14 +34,14 @@ def d01(spark, sf):
 
 
 @query("d01_create_paths", """
-SELECT n_name AS a, r_name AS b, 'IN' AS type, n_nationkey AS pos FROM nation JOIN region ON n_regionkey = r_regionkey
-UNION ALL SELECT r_name, n_name, 'HAS', n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_name AS a, n_name AS b, 'IN' AS type, c_custkey AS pos FROM customer JOIN nation ON n_nationkey = c_nationkey
+UNION ALL SELECT n_name, c_name, 'HAS', c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def d01_paths(spark, sf):
-    rows = table(spark, sf, "nation").join(table(spark, sf, "region"), c("n_regionkey") == c("r_regionkey"))
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), c("c_nationkey") == c("n_nationkey"))
     g = D.create_paths(
         customers(spark, sf), rows,
-        {"a": ("Spot", {"name": c("n_name")}), "b": ("Spot", {"name": c("r_name")})},
-        [("a", "IN", "b", {"pos": c("n_nationkey")}), ("b", "HAS", "a", {"pos": c("n_nationkey")})], ["n_nationkey"],
+        {"a": ("Spot", {"name": c("c_name")}), "b": ("Spot", {"name": c("n_name")})},
+        [("a", "IN", "b", {"pos": c("c_custkey")}), ("b", "HAS", "a", {"pos": c("c_custkey")})], ["c_custkey"],
     )
     m = g.match().node("a", "Spot").out(["IN", "HAS"], var="r").node("b", "Spot").df()
     return m.select(c("a_name").alias("a"), c("b_name").alias("b"), c("r_type").alias("type"), c("r_pos").alias("pos"))
@@ -149,9 +149,9 @@ def d09(spark, sf):
 
 
 @query("d10_unwind_create", """
-SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark""")
+SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM conversations""")
 def d10(spark, sf):
-    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("name"))
+    words = table(spark, sf, "conversations").select(F.explode(F.split("text", " ")).alias("name"))
     g = D.merge_nodes(customers(spark, sf), words, "Word", ["name"])
     return g.nodes.where(F.array_contains("labels", "Word")).select(c("name").alias("word"))
 
@@ -259,8 +259,8 @@ def l03(spark, sf):
 
 
 @query("l04_table_function", """
-SELECT pos, word, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM benchmark) GROUP BY 1, 2""")
+SELECT pos, word, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM conversations) GROUP BY 1, 2""")
 def l04(spark, sf):
     U.register_table_function(spark, "words_of", U.Words)
-    rows = spark.sql("SELECT w.pos, w.word FROM {b}, LATERAL words_of(text) w", b=table(spark, sf, "benchmark"))
+    rows = spark.sql("SELECT w.pos, w.word FROM {b}, LATERAL words_of(text) w", b=table(spark, sf, "conversations"))
     return rows.groupBy(c("pos").cast("long").alias("pos"), "word").agg(F.count("*").alias("n"))

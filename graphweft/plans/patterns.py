@@ -111,10 +111,11 @@ def b06(spark, sf):
 
 
 @query("b06_loose_parts", """
-SELECT r_name, n_name FROM region, nation WHERE n_regionkey <> r_regionkey""")
+SELECT r_name, c_name FROM region JOIN (SELECT c_name, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey) ON n_regionkey <> r_regionkey""")
 def b06_loose(spark, sf):
-    m = supply(spark, sf).match().node("r", "Region").path().node("n", "Nation").out("IN_REGION", var="e").node().df()
-    return m.where("e_dst <> r_id").select("r_name", "n_name")
+    # every region with the customers who do not live there
+    m = supply(spark, sf).match().node("r", "Region").path().node("c", "Customer").out("LIVES_IN").node().out("IN_REGION", var="e").node().df()
+    return m.where("e_dst <> r_id").select("r_name", "c_name")
 
 
 @query("b07_optional_match", """
@@ -336,11 +337,11 @@ def b22(spark, sf):
 
 
 @query("b23_map_projection", """
-SELECT n_name || '|' || r_name || '|' || CAST(length(n_name) AS VARCHAR) AS m FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_name || '|' || c_mktsegment || '|' || n_name || '|' || CAST(length(n_name) AS VARCHAR) AS m FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def b23(spark, sf):
-    m = supply(spark, sf).match().node("n", "Nation").out("IN_REGION").node("r", "Region").df()
-    projected = m.select(X.map_projection("n", ["name"], region=c("r_name"), size=F.length("n_name")).alias("m"))
-    return projected.select(F.concat_ws("|", "m.name", "m.region", "m.size").alias("m"))
+    m = supply(spark, sf).match().node("c", "Customer").out("LIVES_IN").node("n", "Nation").df()
+    projected = m.select(X.map_projection("c", ["name", "segment"], nation=c("n_name"), size=F.length("n_name")).alias("m"))
+    return projected.select(F.concat_ws("|", "m.name", "m.segment", "m.nation", "m.size").alias("m"))
 
 
 @query("b24_case", """
