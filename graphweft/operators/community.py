@@ -18,7 +18,7 @@ def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:
     """
     iterations = max(1, min(iterations, 100))
     both = graph.edges.select("src", "dst").unionAll(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    fan = Fanout(both)
+    fan = Fanout(both, resident=True)
     state = cut(graph.nodes.select("id", F.col("id").alias("community")))
     for _ in range(iterations):
         votes = fan.send(state).groupBy(F.col("dst").alias("id"), "community").agg(F.count("*").alias("n"))
@@ -78,7 +78,7 @@ def louvain(graph: Graph, resolution: float = 1.0, passes: int = 100) -> tuple[D
     Stops when no single move gains.
     """
     both = graph.edges.select("src", "dst").unionAll(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    fan = Fanout(both)
+    fan = Fanout(both, resident=True)
     two_m = fan.edge_count
     state = cut(graph.nodes.select("id", F.col("id").alias("community")))
     if not two_m:

@@ -81,8 +81,8 @@ def scc(graph: Graph) -> DataFrame:
             break
         edges = cut(_inside(edges, nodes))
         own = nodes.select("id", F.col("id").alias("label"))
-        f = _spread_min(Fanout(edges), own).withColumnRenamed("label", "f")
-        b = _spread_min(Fanout(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), own).withColumnRenamed("label", "b")
+        f = _spread_min(Fanout(edges, resident=True), own).withColumnRenamed("label", "f")
+        b = _spread_min(Fanout(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), resident=True), own).withColumnRenamed("label", "b")
         pair = cut(f.join(b, "id"))
         done.append(pair.where("f = b").select("id", F.col("f").alias("component")))
         rest = pair.where("f <> b")

@@ -29,7 +29,7 @@ def pagerank(
     With ``seeds(id)`` the walk restarts there only (personalised form).
     """
     iterations = _clamp(iterations, 100)
-    fan = Fanout(graph.edges.select("src", "dst"))
+    fan = Fanout(graph.edges.select("src", "dst"), resident=True)
     nodes = graph.nodes.select("id")
     if seeds is None:
         weight = F.lit(1.0 / max(nodes.count(), 1))
@@ -67,7 +67,7 @@ def top_pagerank(graph: Graph, k: int = 10, damping: float = 0.85, iterations: i
 def eigenvector(graph: Graph, iterations: int = 100, tolerance: float | None = 1e-10) -> DataFrame:
     """``id, score``: power iteration over in-edges with unit length after each round."""
     iterations = _clamp(iterations, 1000)
-    fan = Fanout(graph.edges.select("src", "dst"))
+    fan = Fanout(graph.edges.select("src", "dst"), resident=True)
     nodes = cut(graph.nodes.select("id"))
     uniform = 1.0 / max(nodes.count(), 1) ** 0.5
     state = nodes.withColumn("score", F.lit(uniform))

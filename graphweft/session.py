@@ -62,3 +62,21 @@ def cut(df: DataFrame) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Does ``df`` hold at most ``max_rows`` rows? Reads no more than it must."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def cut_placed(df: DataFrame, partitions: int, keys: list[str]) -> DataFrame:
+    """Like ``cut``, hash-placed and sorted by ``keys`` so that later joins on them need no shuffle.
+
+    Spark remembers the placement of a checkpoint only if the plan was not adaptive,
+    so adaptive execution is off for this one step. Pass an already materialised
+    frame: then the step is a single shuffle with nothing to adapt.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return df.repartition(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    finally:
+        spark.conf.set(name, before)

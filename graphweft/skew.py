@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .session import cut, cut_placed
+
 # A key with more rows than this on the big side is split over several tasks.
 ROWS_PER_SALT = 1_000_000
 # The table of hot keys is broadcast, so the chunk grows until it must fit this bound.
 MAX_HOT_KEYS = 100_000
+EDGES_PER_PARTITION = 5_000_000
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, total: int, chunk: int | None = None) -> tuple[DataFrame, int]:
@@ -59,22 +62,27 @@ class Fanout:
     ``edges`` needs ``src`` and ``dst``. Sources with very many edges are split
     over salts; a node row joins all copies of its key, so no task ever holds
     all edges of a hub. Without hubs the join is a plain equi-join.
-    """
 
-    def __init__(self, edges: DataFrame, chunk: int | None = None):
-        from .session import cut
+    ``resident`` edges are placed by source once, and every later ``send`` moves only
+    the state. That suits states with one row per node. States with many rows per
+    node (searches from many sources) leave it off, so that Spark's adaptive join
+    can split a node that most searches meet.
+    """
 
-        counts = edges.groupBy("src").agg(F.count("*").alias("_n"))
-        counts = cut(counts)
-        totals = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("t"), F.coalesce(F.max("_n"), F.lit(0)).alias("m"))
-        total, largest = totals.first()
+    def __init__(self, edges: DataFrame, chunk: int | None = None, resident: bool = False):
+        edges = cut(edges)
+        counts = cut(edges.groupBy("src").agg(F.count("*").alias("_n")))
+        total, largest = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
         hot, used = hot_keys(counts, "src", "_n", total, chunk)
         self.out_degree = counts.select(F.col("src").alias("id"), F.col("_n").alias("out_degree"))
         self.hot = cut(hot) if largest > used else None
         self.edge_count = total
+        keys = ["src"]
         if self.hot is not None:
             edges = add_salt(edges, self.hot, "src", [F.col("dst")])
-        self.edges = cut(edges)
+            keys.append("_salt")
+            edges = cut(edges)
+        self.edges = cut_placed(edges, _partitions(edges, total), keys) if resident else edges
 
     def send(self, state: DataFrame) -> DataFrame:
         """Join ``state(id, …)`` to the out-edges of ``id``; adds the edge columns but ``src``."""
@@ -84,3 +92,12 @@ class Fanout:
         spread = replicate(state, hot, "id").withColumnRenamed("_salt", "_slot")
         hit = (spread["id"] == self.edges["src"]) & (spread["_slot"] == self.edges["_salt"])
         return spread.join(self.edges, hit).drop("src", "_salt", "_slot")
+
+
+def _partitions(df: DataFrame, total: int) -> int:
+    """Few for small edge sets, at most EDGES_PER_PARTITION rows each for large ones.
+
+    At least two: Spark does not count a single partition as placed by a key.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, -(-total // EDGES_PER_PARTITION), min(configured, -(-total // 20_000)))

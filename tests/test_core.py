@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from graphweft import skew
+from graphweft.operators.clauses import explain
 from graphweft.ordered import dense_number, running_sum, with_next
 from graphweft.session import fits
 
@@ -56,10 +57,24 @@ def test_fanout_splits_hot_sources(spark):
     edges = [(0, i) for i in range(1, 60)] + [(i, 0) for i in range(1, 20)] + [(1, 2), (1, 2)]
     df = spark.createDataFrame(edges, "src long, dst long")
     state = spark.createDataFrame([(i, i * 10) for i in range(60)], "id long, x long")
-    plain, split = skew.Fanout(df), skew.Fanout(df, chunk=5)
+    plain, split, placed = skew.Fanout(df), skew.Fanout(df, chunk=5), skew.Fanout(df, chunk=5, resident=True)
     assert plain.hot is None and split.hot is not None
     assert split.edges.where("src = 0").select("_salt").distinct().count() > 5
-    assert rows(split.send(state), "id", "x", "dst") == rows(plain.send(state), "id", "x", "dst")
+    want = rows(plain.send(state), "id", "x", "dst")
+    assert rows(split.send(state), "id", "x", "dst") == want == rows(placed.send(state), "id", "x", "dst")
+
+
+def test_resident_edges_are_not_shuffled_again(spark):
+    df = spark.createDataFrame([(i % 50, i) for i in range(500)], "src long, dst long")
+    state = spark.createDataFrame([(i, i) for i in range(50)], "id long, x long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for chunk in (None, 3):  # without and with split sources
+            moved = [explain(skew.Fanout(df, chunk, resident).send(state), "simple").count("Exchange hashpartitioning(") for resident in (False, True)]
+            assert moved == [2, 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
 def test_join_spread(spark):
