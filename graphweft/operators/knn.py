@@ -52,11 +52,16 @@ def distances(metric: str, queries: np.ndarray, base: np.ndarray) -> np.ndarray:
     raise ValueError(f"unknown metric {metric}; one of {METRICS}")
 
 
-def _rough(metric: str, q: np.ndarray, b: np.ndarray) -> np.ndarray | None:
-    """A cheap value per pair for l2 and cosine, right up to rounding of about 1e-12."""
-    if metric == "l2":
-        return np.maximum((q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (q @ b.T), 0.0)
-    return None
+def _rough(metric: str, q: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Squared l2 distances by one matrix product, and how far off each row may be.
+
+    The product cancels badly for long vectors close to each other; the bound covers
+    the rounding of up to some ten thousand dimensions.
+    """
+    if metric != "l2":
+        return None
+    q2, b2 = (q * q).sum(1), (b * b).sum(1)
+    return q2[:, None] + b2[None, :] - 2.0 * (q @ b.T), 4e-12 * (q2 + b2.max())
 
 
 class TopK:
@@ -82,11 +87,13 @@ class TopK:
             for j, row in enumerate(part):
                 keep = np.arange(len(ids))
                 if rough is not None:
-                    # keep a margin around the k-th value, then measure the few survivors exactly
-                    limit = np.partition(rough[j], self.k)[self.k] if len(ids) > self.k else np.inf
+                    # keep a margin around the k-th value, then measure the few survivors exactly;
+                    # both the value and the limit may be off by the slack
+                    value, slack = rough[0][j], rough[1][j]
+                    limit = np.partition(value, self.k)[self.k] if len(ids) > self.k else np.inf
                     if len(self.dist[row]) >= self.k:
                         limit = min(limit, self.dist[row][-1] ** 2)
-                    keep = np.flatnonzero(rough[j] <= limit + 1e-9 + 1e-9 * abs(limit)) if np.isfinite(limit) else keep
+                    keep = np.flatnonzero(value <= limit + 2 * slack) if np.isfinite(limit) else keep
                     d = distances(self.metric, self.queries[row : row + 1], base[keep])[0]
                 else:
                     d = exact[j]

@@ -22,7 +22,7 @@ def pagerank(
     tolerance: float | None = 1e-6,
     seeds: DataFrame | None = None,
 ) -> DataFrame:
-    """``id, score``. Mass of nodes without out-edges is dropped, as the reference semantics ask.
+    """``id, score``. Mass of nodes without out-edges is dropped.
 
     Every round joins the scores to the out-edges and sums per target, one shuffle
     each. ``tolerance`` stops early (largest change below it); None runs all rounds.

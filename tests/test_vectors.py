@@ -197,3 +197,14 @@ def test_large_partitions_are_split(many, spark):
     assert rows(back, "id") == [(i,) for i in range(300)]
     files = back.withColumn("f", F.input_file_name()).groupBy("part").agg(F.countDistinct("f").alias("n"))
     assert all(r.n > 1 for r in files.collect())
+
+
+def test_long_vectors_close_together(spark):
+    # squared distances far below the rounding of the fast product
+    rng = np.random.default_rng(9)
+    m = np.round(1e4 + rng.normal(size=(400, 8)) * 0.01, 6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in knn_join(df, df, 5).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.id)
+    assert found == {i: brute(m, m[i], 5) for i in range(400)}
