@@ -17,7 +17,7 @@ def register_scalar(spark: SparkSession, name: str, fn: Callable, returns: str,
     def call(*columns: pd.Series) -> pd.Series:
         return fn(*columns) if user_data is None else fn(user_data, *columns)
 
-    udf = F.pandas_udf(call, returns, F.PandasUDFType.SCALAR)
+    udf = F.pandas_udf(call, returns)
     return spark.udf.register(name, udf)
 
 
