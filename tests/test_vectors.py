@@ -151,7 +151,10 @@ def test_ivf(many, spark):
         assert len(set(few) & set(exact)) >= 0.5 * len(exact)
     assert rows(ivf.search(df, ivf.clear(index), centres, 3, nprobe=1), "query_id", "id") == exact  # unassigned rows are always read
     assert rows(ivf.search(df, ivf.assign(df, None), centres, 3, 1), "query_id", "id") == exact
-    assert rows(ivf.search(df, index, centres, 3, 8, quantizer="int8", oversample=16), "query_id", "id") == exact
+    for blocks in (False, True):
+        for kind, oversample in (("int8", 16), ("binary", 100)):  # 300 candidates are all rows
+            found = ivf.search(df, index, centres, 3, 8, quantizer=kind, oversample=oversample, force_blocks=blocks)
+            assert rows(found, "query_id", "id") == exact
 
 
 def test_neighbour_graph(many):
