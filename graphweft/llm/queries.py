@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, pieces
+from ..session import new_folder
+from . import mixing, pieces, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,28 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_warc_salvage", warc.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back; payload size and digest are taken from the payload wherever a record holds one."""
+    path = new_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, "page_id", F.col("html"), "url")
+    found = warc.read_archives(spark, path).where("problem is null")
+    revisit = F.col("type") == "revisit"
+    return found.select(
+        warc.row_id(F.col("id")).cast("long").alias("page_id"),
+        F.when(revisit, F.col("payload_bytes")).otherwise(F.length("payload")).cast("long").alias("payload_bytes"),
+        F.when(revisit, F.substring_index("digest", ":", -1)).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        warc.row_id(F.col("refers_to")).cast("long").alias("refers_to"),
+    )
+
+
+@query("op4_url_rules", urlrules.SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules, "page_id").drop("url")
+
+
 @query("op7_mix_sources", mixing.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
