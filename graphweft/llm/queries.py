@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import mixing, pieces, urlrules, warc
+from . import fingerprint, mixing, pieces, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = fingerprint.with_next(docs, "doc_id", "text", lambda d: d.withColumn("sketch", fingerprint.sketch(F.col("text"))), ["text", "sketch"])
+    rows = rows.withColumn("n_chars", F.length("text")).withColumn(
+        "edited", F.expr("concat(substring(text, 1, n_chars - n_chars div 2), substring(next_text, 1, cast(n_chars div 2 as int)))")
+    )
+    rows = rows.withColumn("edited_sketch", fingerprint.sketch(F.col("edited")))
+    return rows.select(
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.to_text(F.col("sketch")).alias("fingerprint"), fingerprint.to_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 @query("op4_url_rules", urlrules.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
