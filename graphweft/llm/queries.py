@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import fingerprint, mixing, pieces, urlrules, warc
+from . import fingerprint, inner, mixing, pieces, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_top_inner_products", inner.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", inner.whole_numbers(F.col("embedding"), 256.0).alias("vec"))
+    return inner.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, "vec_id")
+
+
 @query("op4_url_rules", urlrules.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(urlrules.RULES, "host string, path string, verdict string")
