@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import dartminhash, fingerprint, inner, mixing, pieces, urlrules, warc
+from . import dartminhash, fingerprint, inner, mixing, pieces, quality, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_classes(table(spark, sf_dir, "documents"))
 
 
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query("op7_mix_sources", mixing.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
