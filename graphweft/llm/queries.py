@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import dartminhash, fingerprint, inner, licences, mixing, pieces, quality, urlrules, warc
+from . import dartminhash, fingerprint, inner, licences, mixing, pieces, quality, suffixes, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op8_repeated_bytes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op9_licences")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
