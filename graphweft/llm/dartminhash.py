@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..graph import Graph
 from ..operators.components import wcc
@@ -157,37 +157,39 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     tested = spark.createDataFrame([], "a long, b long, near double")
     led = spark.createDataFrame([], "key long, node long")
-    classes = members.select("node").distinct().withColumn("class", F.col("node"))
+    classes = cut(members.select("node").distinct().withColumn("class", F.col("node")))
     leaders = 1
     while True:
+        # buckets of more than one class, with what their leaders so far say about each member
         open_keys = members.join(classes, "node").groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
-        here = members.join(open_keys, "key")
-        # what the leaders so far say about each member of an open bucket
-        pairs = here.select("key", "node").join(led.withColumnRenamed("node", "leader"), "key").withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader"))
-        says = pairs.join(tested, ["a", "b"], "left").join(classes, "node").join(classes.select(F.col("node").alias("leader"), F.col("class").alias("other")), "leader")
-        said = says.groupBy("key", "node").agg(
-            F.max(F.col("node") == F.col("leader")).alias("led"), F.max(F.coalesce(F.col("near") >= near, F.lit(False))).alias("linked"),
-            F.max(F.coalesce((F.col("near") >= 2 * near - 1 - 1e-9) & (F.col("class") != F.col("other")), F.lit(False))).alias("between"),
-        )
-        waiting = here.join(said, ["key", "node"], "left").where("not coalesce(led, false) and (not coalesce(linked, false) or between)")
-        first = F.row_number().over(_by_company())
-        # a row per key and task is enough for one leader; for several a bounded window over what still waits
-        if leaders == 1:
-            chosen = waiting.groupBy("key").agg(F.max(F.struct("company", F.expr("-node").alias("m"))).alias("top")).select("key", F.expr("-top.m").alias("node"))
-        else:
-            chosen = waiting.withColumn("n", first).where(F.col("n") <= leaders).select("key", "node")
+        here = members.join(open_keys, "key").join(classes, "node")
+        if leaders > 1:
+            heads = led.join(classes, "node").select("key", F.col("node").alias("leader"), F.col("class").alias("other"))
+            pairs = here.select("key", "node", "class").join(heads, "key").withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader"))
+            said = pairs.join(tested, ["a", "b"], "left").groupBy("key", "node").agg(
+                F.max(F.col("node") == F.col("leader")).alias("led"), F.max(F.coalesce(F.col("near") >= near, F.lit(False))).alias("linked"),
+                F.max(F.coalesce((F.col("near") >= 2 * near - 1 - 1e-9) & (F.col("class") != F.col("other")), F.lit(False))).alias("between"),
+            )
+            here = here.join(said, ["key", "node"], "left").where("not coalesce(led, false) and (not coalesce(linked, false) or between)")
+            chosen = here.withColumn("n", F.row_number().over(W.partitionBy("key").orderBy(F.desc("company"), "node"))).where(F.col("n") <= leaders).select("key", "node")
+        else:  # one row per key and task is enough for the first
+            chosen = here.groupBy("key").agg(F.max(F.struct("company", F.expr("-node").alias("m"))).alias("top")).select("key", F.expr("-top.m").alias("node"))
         chosen = cut(chosen)
         if chosen.isEmpty():
             break
-        led = cut(led.unionAll(chosen))
+        led = led.unionAll(chosen)
         fresh = members.select("key", F.col("node").alias("other")).join(chosen, "key").where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         fresh = fresh.join(tested, ["a", "b"], "left_anti")
         both = fresh.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        tested = cut(tested.unionAll(both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, near double")))
-        links = tested.where(F.col("near") >= near).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        found = wcc(Graph(members.select(F.col("node").alias("id")).distinct(), links))
-        classes = cut(found.select(F.col("id").alias("node"), F.col("component").alias("class")))
-        leaders *= 2
+        new = cut(both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, near double"))
+        tested = tested.unionAll(new)
+        links = new.where(F.col("near") >= near)
+        if not links.isEmpty():  # join the classes that new links connect
+            ends = [classes.select(F.col("node").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab"]
+            joined = links.join(ends[0], "a").join(ends[1], "b").select(F.col("class_a").alias("src"), F.col("class_b").alias("dst")).where("src <> dst").distinct()
+            found = wcc(Graph(classes.select(F.col("class").alias("id")).distinct(), joined)).withColumnRenamed("id", "class")
+            classes = cut(classes.join(found, "class").select("node", F.col("component").alias("class")))
+        leaders *= 8
     ends = tested.where(F.col("near") >= near)
     links = ends.select(F.col("a").alias("node")).unionAll(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
     labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")).join(links, "node", "left")
@@ -196,12 +198,6 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return signed.select(F.col("id").alias(id_col), "digest").join(labelled, "digest").drop("digest")
 
 
-def _by_company():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy(F.desc("company"), "node")
-
-
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without those near an earlier one: the row with the smallest id of each class stays, of equal rows one.
 
