@@ -18,11 +18,15 @@ Repeated rows are separate documents. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..ordered import dense_number
 from ..session import cut
-from .common import count_words, groups_for
+from .common import WORD, count_words, groups_for
 
 BLOCK = 64
 SHARD_DOCS = 8192
@@ -94,6 +98,22 @@ def mix(
     )
 
 
+def first_words(text: Column, count: Column, size: Column) -> Column:
+    """A text up to the end of its ``count``-th word; whole if it has only ``size`` = ``count``."""
+
+    @F.arrow_udf("string")
+    def head(texts: pa.Array, counts: pa.Array, sizes: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), counts.to_pylist(), sizes.to_pylist(), strict=True)
+        return pa.array([t if n >= s else _up_to(t, n) for t, n, s in rows], pa.string())
+
+    return head(text, count, size)
+
+
+def _up_to(text: str, n: int) -> str:
+    last = next(islice(re.finditer(WORD, text), n - 1, None), None) if n > 0 else None
+    return text[: last.end()] if last else ""
+
+
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
