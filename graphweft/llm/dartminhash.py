@@ -11,11 +11,13 @@ with the weighted Jaccard likeness as probability.
 
 ``BANDS`` bands of ``ROWS`` coordinates are joined: texts that agree on a band meet in a
 bucket, with likeness 0.8 in at least one with probability 0.9993. Equal texts are one
-node from the start. In a bucket nobody is compared with everybody: leaders, those with the
-most company first, are compared exactly with all others. A node leads too if no leader
-is its near-duplicate, or if it is between 0.6 and 0.8 near to a leader that is not
-in its class yet. By the triangle inequality of the Jaccard distance that finds every link
-between classes in the bucket. Buckets within one class are finished.
+node from the start. In a bucket the member with the most company over all its buckets is the
+head; every other is compared with it exactly, and the links give classes. Members of
+the head's class need nothing from each other. Those outside it meet the members of
+other classes, but only pairs whose whole signatures agree to at least 0.8 less
+``MARGIN`` leave that join (with likeness 0.8 one pair in a thousand does not); they are
+compared exactly too. So pairs within a class are never made, and dissimilar ones
+that share a bucket by chance are never emitted.
 
 Result: a row per row of the input with the class, the smallest id of its members. Null
 and empty texts are equal; blank texts have no shingles and only equal texts join them.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..graph import Graph
 from ..operators.components import wcc
@@ -38,6 +40,7 @@ from . import words
 SHINGLE = 5
 NEAR = 0.8
 BANDS, ROWS = 24, 6
+MARGIN = 0.1
 _UNIT = 2.0**-53
 
 
@@ -89,16 +92,16 @@ def signatures(owner: np.ndarray, item: np.ndarray, weight: np.ndarray, owners:
     return out
 
 
-def _signed(texts: pa.Array, n: int, bands: int, rows: int) -> pa.Array:
-    """Band hashes per text, none for texts without shingles."""
+def _signed(texts: pa.Array, n: int, bands: int, rows: int) -> list[pa.Array]:
+    """Per text its band hashes and 32 bits of every coordinate, none for texts without shingles."""
     owner, shingle = words.shingle_hashes(texts, n)
     owner, shingle, times = words.counted(owner, shingle)
     has = np.bincount(owner, minlength=len(texts)) > 0
     parts = signatures(owner, shingle, times.astype(float), len(texts), bands * rows).reshape(len(texts), bands, rows)
     keys = words.combined(*[parts[:, :, i].ravel() for i in range(rows)], np.tile(np.arange(bands, dtype=np.uint64), len(texts)))
-    keys = keys.view(np.int64).reshape(len(texts), bands)[has].ravel()
-    offsets = np.concatenate([[0], np.cumsum(has * bands)])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys))
+    keys = keys.view(np.int64).reshape(len(texts), bands)
+    signs = (parts >> np.uint64(32)).astype(np.uint32).view(np.int32).reshape(len(texts), bands * rows)
+    return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * x.shape[1])]), pa.int32()), pa.array(x[has].ravel())) for x in (keys, signs)]
 
 
 def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -133,10 +136,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _pieces(batch, 8 << 20):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _signed(part.column(2), n, bands, rows)], ["id", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *_signed(part.column(2), n, bands, rows)], ["id", "digest", "bands", "signs"])
 
-    signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType()))))
-    nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType())).add("signs", T.ArrayType(T.IntegerType()))))
+    nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("signs").alias("signs"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -152,44 +155,33 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _pieces(batch, 8 << 20):
+            for part in _pieces(batch, 4 << 20):
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness(part.column(2), part.column(3), n))], ["a", "b", "near"])
 
-    tested = spark.createDataFrame([], "a long, b long, near double")
-    led = spark.createDataFrame([], "key long, node long")
+    def compared(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, near double")
+
+    # first everybody meets the member of its bucket with the most company
+    heads = members.groupBy("key").agg(F.max(F.struct("company", F.expr("-node").alias("m"))).alias("top")).select("key", F.expr("-top.m").alias("head"))
+    star = members.join(heads, "key").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     classes = cut(members.select("node").distinct().withColumn("class", F.col("node")))
-    leaders = 1
-    while True:
-        # buckets of more than one class, with what their leaders so far say about each member
-        open_keys = members.join(classes, "node").groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key")
-        here = members.join(open_keys, "key").join(classes, "node")
-        if leaders > 1:
-            heads = led.join(classes, "node").select("key", F.col("node").alias("leader"), F.col("class").alias("other"))
-            pairs = here.select("key", "node", "class").join(heads, "key").withColumn("a", F.least("node", "leader")).withColumn("b", F.greatest("node", "leader"))
-            said = pairs.join(tested, ["a", "b"], "left").groupBy("key", "node").agg(
-                F.max(F.col("node") == F.col("leader")).alias("led"), F.max(F.coalesce(F.col("near") >= near, F.lit(False))).alias("linked"),
-                F.max(F.coalesce((F.col("near") >= 2 * near - 1 - 1e-9) & (F.col("class") != F.col("other")), F.lit(False))).alias("between"),
-            )
-            here = here.join(said, ["key", "node"], "left").where("not coalesce(led, false) and (not coalesce(linked, false) or between)")
-            chosen = here.withColumn("n", F.row_number().over(W.partitionBy("key").orderBy(F.desc("company"), "node"))).where(F.col("n") <= leaders).select("key", "node")
-        else:  # one row per key and task is enough for the first
-            chosen = here.groupBy("key").agg(F.max(F.struct("company", F.expr("-node").alias("m"))).alias("top")).select("key", F.expr("-top.m").alias("node"))
-        chosen = cut(chosen)
-        if chosen.isEmpty():
-            break
-        led = led.unionAll(chosen)
-        fresh = members.select("key", F.col("node").alias("other")).join(chosen, "key").where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        both = fresh.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        new = cut(both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, near double"))
-        tested = tested.unionAll(new)
-        links = new.where(F.col("near") >= near)
-        if not links.isEmpty():  # join the classes that new links connect
-            ends = [classes.select(F.col("node").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab"]
-            joined = links.join(ends[0], "a").join(ends[1], "b").select(F.col("class_a").alias("src"), F.col("class_b").alias("dst")).where("src <> dst").distinct()
-            found = wcc(Graph(classes.select(F.col("class").alias("id")).distinct(), joined)).withColumnRenamed("id", "class")
-            classes = cut(classes.join(found, "class").select("node", F.col("component").alias("class")))
-        leaders *= 8
+    tested = cut(compared(star))
+    classes = _joined(classes, tested.where(F.col("near") >= near))
+    # then those outside the head's class meet the other classes of the bucket, as far as the signatures agree
+    placed = members.select("key", "node").join(classes, "node")
+    head_class = heads.join(classes.select(F.col("node").alias("head"), F.col("class").alias("head_class")), "head").select("key", "head_class")
+    out = placed.join(head_class, "key").where("class <> head_class")
+    signs = nodes.select("node", "signs")
+    open_keys = out.select("key").distinct()
+    one = out.select("key", "node", "class").join(signs, "node").select("key", F.col("node").alias("n1"), F.col("class").alias("c1"), F.col("signs").alias("s1"))
+    two = placed.join(open_keys, "key", "left_semi").join(signs, "node").select("key", F.col("node").alias("n2"), F.col("class").alias("c2"), F.col("signs").alias("s2"))
+    agree = F.aggregate(F.zip_with("s1", "s2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    alike = (one["key"] == two["key"]) & (F.col("c1") != F.col("c2")) & (agree >= int((near - MARGIN) * bands * rows))
+    fresh = one.join(two, alike).select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct()
+    more = cut(compared(fresh.join(tested, ["a", "b"], "left_anti")))
+    classes = _joined(classes, more.where(F.col("near") >= near))
+    tested = tested.unionAll(more)
     ends = tested.where(F.col("near") >= near)
     links = ends.select(F.col("a").alias("node")).unionAll(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
     labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")).join(links, "node", "left")
@@ -198,6 +190,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return signed.select(F.col("id").alias(id_col), "digest").join(labelled, "digest").drop("digest")
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, class`` after the classes that ``links(a, b)`` connect have become one."""
+    ends = [classes.select(F.col("node").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab"]
+    pairs = cut(links.join(ends[0], "a").join(ends[1], "b").select(F.col("class_a").alias("src"), F.col("class_b").alias("dst")).where("src <> dst").distinct())
+    if pairs.isEmpty():
+        return classes
+    found = wcc(Graph(classes.select(F.col("class").alias("id")).distinct(), pairs)).withColumnRenamed("id", "class")
+    return cut(classes.join(found, "class").select("node", F.col("component").alias("class")))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without those near an earlier one: the row with the smallest id of each class stays, of equal rows one.
 
