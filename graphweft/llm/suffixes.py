@@ -44,52 +44,58 @@ BUCKET = 8_000  # segments a bucket should have
 SHARD = 2_000  # segments a transform is built from
 LONGEST = 256  # windows in a segment
 SIEVE_BITS = 26
-_PIECE = 2 << 20
+_PIECE = 512 << 10
 _LAST = (1 << 63) - 1
 
 
+_SYMBOL = words.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_FACTOR = np.uint64(0xA0761D6478BD642F)
+
+
 def _strings(x: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the ``n`` symbols from each place on, by doubling."""
-    cur, size, out, done = words.mixed(x.astype(np.uint64) + np.uint64(1)), 1, None, 0
+    """Hash of the ``n`` bytes from each place on: a polynomial, put together by doubling."""
+    cur, size, power, out, done = _SYMBOL[x], 1, _FACTOR, None, 0
     while True:
         if n & size:
             if out is None:
                 out = cur
             else:
                 some = max(0, len(cur) - done)
-                out = words.mixed(out[:some] * np.uint64(0xD6E8FEB86659FD93) + cur[done:])
+                out = out[:some] * power + cur[done:]
             done += size
         if 2 * size > n:
-            return out
+            return words.mixed(out)
         some = max(0, len(cur) - size)
-        cur = words.mixed(cur[:some] * np.uint64(0xA0761D6478BD642F) + cur[size:])
-        size *= 2
+        cur = cur[:some] * power + cur[size:]
+        with np.errstate(over="ignore"):
+            size, power = 2 * size, power * power
 
 
-def _smallest(x: np.ndarray, n: int) -> np.ndarray:
-    """Minimum of the ``n`` values from each place on."""
+def _extreme(pick, x: np.ndarray, n: int) -> np.ndarray:
+    """Minimum or maximum of the ``n`` values from each place on."""
     size = 1
     while 2 * size <= n:
-        x = np.minimum(x[:-size], x[size:])
+        x = pick(x[:-size], x[size:])
         size *= 2
     rest = n - size
-    return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
+    return pick(x[: len(x) - rest], x[rest:]) if rest else x
 
 
 def segments(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text number, first window, number of windows and key of every segment, and how often its inner string occurs in it (1 or 2)."""
     data, offsets = words.text_bytes(texts)
     inner = max(1, length * 48 // 100)
+    many = length - inner + 1  # inner strings of a window
     out = []
     for begin in range(0, len(data), _PIECE):
         part = data[begin : begin + _PIECE + length - 1]
         if len(part) < length:
             continue
         strings = _strings(part, inner)
-        keys = _smallest(strings, length - inner + 1)
-        start = np.arange(begin, begin + len(keys))
-        text = np.searchsorted(offsets, start, "right") - 1
-        whole = start + length <= offsets[text + 1]
+        keys = _extreme(np.minimum, strings, many)
+        few = slice(np.searchsorted(offsets, begin, "right") - 1, np.searchsorted(offsets, begin + len(keys)))
+        text = np.repeat(np.arange(few.start, few.stop), np.diff(np.clip(offsets[few.start : few.stop + 1], begin, begin + len(keys))))
+        whole = np.arange(begin + length, begin + length + len(keys)) <= offsets[text + 1]
         border = np.ones(len(keys) + 1, bool)
         border[1:-1] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]) | (whole[1:] != whole[:-1])
         at = np.flatnonzero(border)
@@ -99,11 +105,13 @@ def segments(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         piece = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         at = np.repeat(at, parts) + piece * LONGEST
         size = np.minimum(LONGEST, np.repeat(size, parts) - piece * LONGEST)
-        # a segment that holds its inner string twice may repeat itself
-        reach = size + length - inner
-        ahead = np.arange(reach.sum()) - np.repeat(np.cumsum(reach) - reach - at, reach)
-        same = strings[ahead] == np.repeat(keys[at], reach)
-        times = np.minimum(2, np.add.reduceat(same, np.cumsum(reach) - reach, dtype=np.int64)) if len(at) else np.zeros(0, np.int64)
+        # inner strings that are the smallest of a window: one that a segment holds twice may repeat in it
+        padded = np.concatenate([np.zeros(many - 1, np.uint64), keys, np.zeros(many - 1, np.uint64)])
+        least = np.flatnonzero(_extreme(np.maximum, padded, many) == strings)
+        low, high = np.searchsorted(least, at), np.searchsorted(least, at + size + many - 1)
+        owner = np.repeat(np.arange(len(at)), high - low)
+        inside = least[np.arange(len(owner)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+        times = np.minimum(2, np.bincount(owner[strings[inside] == keys[at[owner]]], minlength=len(at)))
         key = (words.mixed(keys[at]) >> np.uint64(24)).astype(np.int64)
         out.append((text[at], at + begin - offsets[text[at]], size, key, times))
     if not out:
