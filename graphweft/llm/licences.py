@@ -12,7 +12,7 @@ A predicted family stands only if the paragraph also holds at least ``CONFIRM``
 
 A paragraph without any word of the vocabulary has no feature at all, so it has the
 intercepts' class, which must be ``unknown`` (checked after training); such paragraphs are
-left out by one regular expression before they are split into words. Texts are
+left out before their n-grams are made. Texts are
 scanned whole. Null, empty and blank texts have no paragraphs; repeated rows repeat their
 findings; an empty corpus gives an empty result. Null ids are kept.
 """
@@ -24,10 +24,13 @@ import math
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+
+from ..session import cut
 
 GRAMS = 3
 SAMPLE = 2000
+PARTS = 40  # of the sample
 CONFIRM = 0.6
 UNKNOWN = "unknown"
 _WORD = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -135,16 +138,24 @@ def vocabulary() -> list[str]:
     return sorted(g for g in found if not set(g.split()) <= set(FUNCTION_WORDS))
 
 
-def gate() -> str:
-    """A regular expression that finds any word of the vocabulary."""
-    single = sorted({w for g in vocabulary() for w in g.split()} - set(FUNCTION_WORDS), key=lambda w: (-len(w), w))
-    return r"(?i)(?<![a-z0-9])(?:" + "|".join(w.replace(".", r"\.").replace("+", r"\+") for w in single) + ")"
+def _telling() -> list[str]:
+    """Words of the vocabulary without function words."""
+    return sorted({w for g in vocabulary() for w in g.split()} - set(FUNCTION_WORDS))
+
+
+def _strings(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``<id_col>, paragraph, content`` of the lines that hold a word of the vocabulary; lines are numbered from 0."""
-    some = docs.where(F.col(text_col).rlike(gate())).select(id_col, F.posexplode(F.split(text_col, r"\r?\n")).alias("paragraph", "content"))
-    return some.where(F.col("content").rlike(gate()))
+    """``<id_col>, paragraph, content, w`` of the lines that hold a word of the vocabulary; lines are numbered from 0.
+
+    Texts without any part of such a word between other characters are left out first.
+    """
+    parts = sorted({p for w in _telling() for p in w.replace("+", "-").replace(".", "-").split("-") if p} - set(FUNCTION_WORDS))
+    some = docs.where(F.arrays_overlap(F.split(F.lower(text_col), "[^a-z0-9]+"), _strings(parts)))
+    lines = some.select(id_col, F.posexplode(F.split(text_col, r"\r?\n")).alias("paragraph", "content")).withColumn("w", words(F.col("content")))
+    return lines.where(F.arrays_overlap("w", _strings(_telling())))
 
 
 def _let(value: Column, body) -> Column:
@@ -182,7 +193,7 @@ class Scanner:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    with_words = rows.withColumn("w", words(F.col("content")))
+    with_words = rows if "w" in rows.columns else rows.withColumn("w", words(F.col("content")))
     with_grams = with_words.withColumn("g", F.concat(*[grams(F.col("w"), n) for n in range(1, GRAMS + 1)]))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary(), "g", "features", binary=True)
     return vectors.transform(with_grams).drop("g")
@@ -195,13 +206,14 @@ def train(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     rows = [(s, float(i)) for i, c in enumerate(classes) if c != UNKNOWN for t in TEMPLATES[c] for s in _shapes(t)]
     rows += [(s, 0.0) for t in MENTIONS for s in _shapes(t)]
     built = spark.createDataFrame(rows, "content string, label double")
+    # the smallest hashes in each of PARTS parts: the same paragraphs at every run, `sample` at most
     place = F.xxhash64("content")
-    strange = paragraphs(corpus, id_col, text_col).select("content").where(F.pmod(place, F.lit(1_000_003)) < 60_000)
-    strange = strange.where(F.array_max(similarities(words(F.col("content"))))["similarity"] < CONFIRM / 2)
-    strange = strange.orderBy(place, "content").limit(sample).withColumn("label", F.lit(0.0))
+    strange = paragraphs(corpus, id_col, text_col).where(F.array_max(similarities(F.col("w")))["similarity"] < CONFIRM / 2).select("content", place.alias("place"))
+    first = F.row_number().over(W.partitionBy(F.pmod("place", F.lit(PARTS))).orderBy("place", "content"))
+    strange = cut(strange.withColumn("n", first).where(F.col("n") <= sample // PARTS).select("content", F.lit(0.0).alias("label")))
     plain = spark.createDataFrame([("nothing of the kind", 0.0)] * 50, "content string, label double")
-    data = _featured(built.unionAll(strange).unionAll(plain)).withColumn("held", F.pmod(F.xxhash64("content"), F.lit(5)) == 0).select("features", "label", "held").cache()
-    fitted = LogisticRegression(regParam=1e-3, elasticNetParam=0.5, family="multinomial", maxIter=100).fit(data.where("not held"))
+    data = _featured(built.unionAll(strange).unionAll(plain)).withColumn("held", F.pmod(F.xxhash64("content"), F.lit(5)) == 0).select("features", "label", "held").coalesce(1).cache()  # a few thousand rows at most
+    fitted = LogisticRegression(regParam=1e-3, elasticNetParam=0.5, family="multinomial", maxIter=50).fit(data.where("not held"))
     held = fitted.transform(data.where("held")).select(vector_to_array("rawPrediction").alias("raw"), F.col("label").cast("int").alias("label")).collect()  # bounded by the training rows
     data.unpersist()
     temperature = min((1.15**i for i in range(20)), key=lambda t: sum(_loss(r["raw"], r["label"], t) for r in held))
