@@ -14,10 +14,10 @@ bucket, with likeness 0.8 in at least one with probability 0.9993. Equal texts a
 node from the start. In a bucket the member with the most company over all its buckets is the
 head; every other is compared with it exactly, and the links give classes. Members of
 the head's class need nothing from each other. Those outside it meet the members of
-other classes, but only pairs whose whole signatures agree to at least 0.8 less
-``MARGIN`` leave that join (with likeness 0.8 one pair in a thousand does not); they are
-compared exactly too. So pairs within a class are never made, and dissimilar ones
-that share a bucket by chance are never emitted.
+other classes in blocks of about ``BLOCK`` rows, whatever the bucket's size. In a block
+pair, texts of different classes whose whole signatures agree to at least 0.8 less
+``MARGIN`` (with likeness 0.8 one pair in a thousand does not) are compared exactly too,
+and only the links leave it.
 
 Result: a row per row of the input with the class, the smallest id of its members. Null
 and empty texts are equal; blank texts have no shingles and only equal texts join them.
@@ -41,6 +41,7 @@ SHINGLE = 5
 NEAR = 0.8
 BANDS, ROWS = 24, 6
 MARGIN = 0.1
+BLOCK = 64  # rows of a bucket that meet as many others at a time
 _UNIT = 2.0**-53
 
 
@@ -126,6 +127,24 @@ def likeness(left: pa.Array, right: pa.Array, n: int) -> np.ndarray:
     return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
 
 
+def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of two blocks of a bucket that are near-duplicates of different classes, each in the first band it shares."""
+    ids, kinds = ([t[c].to_numpy() for t in (left, right)] for c in ("node", "class"))
+    band = left["band"][0].as_py()
+    one, two = (t["signs"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, bands * rows) for t in (left, right))
+    same = one[:, None] == two[None]
+    shared = same.reshape(len(one), len(two), bands, rows).all(3)
+    fits = (same.sum(2) >= (near - MARGIN) * bands * rows) & shared.any(2) & (shared.argmax(2) == band)
+    i, j = np.nonzero(fits & (kinds[0][:, None] != kinds[1]))
+    value = [np.zeros(0)]
+    texts = [t["text"].combine_chunks() for t in (left, right)]
+    for at in range(0, len(i), 512):
+        value.append(likeness(texts[0].take(pa.array(i[at : at + 512])), texts[1].take(pa.array(j[at : at + 512])), n))
+    value = np.concatenate(value)
+    a, b, good = ids[0][i], ids[1][j], value >= near
+    return np.minimum(a, b)[good], np.maximum(a, b)[good], value[good]
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: float = NEAR, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``<id_col>, class_id, copies, links``: members of the class with this very text, and links of the text to others of its class."""
     spark = docs.sparkSession
@@ -141,11 +160,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType())).add("signs", T.ArrayType(T.IntegerType()))))
     nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("signs").alias("signs"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
-    banded = nodes.select("node", F.explode("bands").alias("key"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = cut(banded.join(shared, "key"))
     company = members.groupBy("node").agg(F.sum("size").alias("company"))
-    members = cut(members.join(company, "node").select("key", "node", "company"))
+    members = cut(members.join(company, "node").select("key", "band", "node", "company"))
 
     # texts of the nodes that share a bucket, once each
     wanted = members.select("node").distinct().join(nodes.select("node", "digest"), "node")
@@ -168,20 +187,31 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = cut(members.select("node").distinct().withColumn("class", F.col("node")))
     tested = cut(compared(star))
     classes = _joined(classes, tested.where(F.col("near") >= near))
-    # then those outside the head's class meet the other classes of the bucket, as far as the signatures agree
-    placed = members.select("key", "node").join(classes, "node")
+    # then those outside the head's class meet the other classes of the bucket, block by block
+    placed = members.select("key", "band", "node").join(classes, "node")
     head_class = heads.join(classes.select(F.col("node").alias("head"), F.col("class").alias("head_class")), "head").select("key", "head_class")
-    out = placed.join(head_class, "key").where("class <> head_class")
-    signs = nodes.select("node", "signs")
-    open_keys = out.select("key").distinct()
-    one = out.select("key", "node", "class").join(signs, "node").select("key", F.col("node").alias("n1"), F.col("class").alias("c1"), F.col("signs").alias("s1"))
-    two = placed.join(open_keys, "key", "left_semi").join(signs, "node").select("key", F.col("node").alias("n2"), F.col("class").alias("c2"), F.col("signs").alias("s2"))
-    agree = F.aggregate(F.zip_with("s1", "s2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    alike = (one["key"] == two["key"]) & (F.col("c1") != F.col("c2")) & (agree >= int((near - MARGIN) * bands * rows))
-    fresh = one.join(two, alike).select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct()
-    more = cut(compared(fresh.join(tested, ["a", "b"], "left_anti")))
-    classes = _joined(classes, more.where(F.col("near") >= near))
-    tested = tested.unionAll(more)
+    outside = placed.join(head_class, "key").where("class <> head_class").drop("head_class")
+    blocks = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("outer")).join(members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("inner")), "key")
+    data = texts.join(nodes.select("node", "signs"), "node")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in its own block, once for every block of the other side."""
+        rows = rows.join(blocks, "key").join(data, "node").withColumn(f"{own}_block", F.pmod(F.xxhash64("node"), F.col(own)))
+        return rows.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).drop(own, other)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.rename_columns([c.removeprefix("r_") for c in right.column_names])
+        out = [_links(left, right, near, n, bands, rows)] if left.num_rows and right.num_rows else []
+        return pa.table({c: np.concatenate([x[i] for x in out]) if out else np.zeros(0, "f8" if c == "near" else "i8") for i, c in enumerate(("a", "b", "near"))})
+
+    keys = ["key", "outer_block", "inner_block"]
+    inside = dealt(placed, "inner", "outer")
+    inside = inside.select(*[F.col(c).alias(f"r_{c}") for c in inside.columns])
+    met = dealt(outside, "outer", "inner").groupBy(*keys).cogroup(inside.groupBy(*[f"r_{k}" for k in keys]))
+    more = met.applyInArrow(meet, "a long, b long, near double")
+    more = cut(more.dropDuplicates(["a", "b"]))
+    classes = _joined(classes, more)
+    tested = tested.where(F.col("near") >= near).unionAll(more).dropDuplicates(["a", "b"])
     ends = tested.where(F.col("near") >= near)
     links = ends.select(F.col("a").alias("node")).unionAll(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
     labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")).join(links, "node", "left")
