@@ -8,13 +8,14 @@ Only keys whose inner string occurs more than once can hold a repeat. Their segm
 collection; equal ones are one, with the place of the first.
 
 Segments are dealt to buckets by key. In a bucket, shards of the segments are sorted by
-themselves into a Burrows-Wheeler transform each. The transforms are merged by
+themselves, to ``CONTEXT`` symbols, into a Burrows-Wheeler transform each. The transforms are merged by
 interleave refinement: the interleave starts as one shard after the other, and in each round
-a stable pass by the symbols of the transforms it puts together extends the sorted
-prefix by one. Borders between different prefixes mark where they appear, which gives
-common prefix lengths; after ``length`` rounds, or when no block splits any more, the
-blocks are the repeated intervals, without sorting the joint suffixes. The first place in
-a block stays, the windows at the others go.
+a stable pass by the symbols of the transforms it puts together extends the common
+prefix of every block by one. Blocks split at the borders that appear; a suffix alone in
+its block is finished and leaves. After ``length`` rounds the blocks are the repeated
+intervals, without sorting the joint suffixes. The first place in a block stays, the
+windows at the others go. A kind of segment that occurs in several places loses all
+windows at all but its first.
 
 A key with more than ``MOST`` different segments would not fit a bucket: its windows are
 compared one by one as 128-bit hashes in a grouped aggregation instead, which gives the same.
@@ -43,6 +44,7 @@ MOST = 20_000  # different segments of one key in a bucket
 BUCKET = 8_000  # segments a bucket should have
 SHARD = 2_000  # segments a transform is built from
 LONGEST = 256  # windows in a segment
+CONTEXT = 16  # symbols a shard is sorted by at least; the refinement supplies the rest
 SIEVE_BITS = 26
 _PIECE = 512 << 10
 _LAST = (1 << 63) - 1
@@ -119,8 +121,10 @@ def segments(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def transform(symbols: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order, to ``depth`` symbols at least, and Burrows-Wheeler transform of texts that end in symbol 0.
+def transform(symbols: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix order, to ``depth`` symbols at least, Burrows-Wheeler transform of texts that end in symbol 0, and its steps.
+
+    The step of a row is the row of the suffix that is one symbol longer, the transform's last-to-first mapping.
 
     ``ends`` has for each place the end of its text; equal suffixes keep their order.
     """
@@ -144,33 +148,31 @@ def transform(symbols: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nda
         order = np.argsort(rank, kind="stable")
         size *= 2
     before = np.where(order > 0, symbols[order - 1], 0).astype(np.uint8)
-    return order, before
-
-
-def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interleave of the shards, block number and common prefix with the row before, sorted by ``depth`` symbols."""
-    joint = np.concatenate(transforms)
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8 if len(transforms) < 256 else np.uint16), [len(t) for t in transforms])
-    first = np.repeat(np.arange(len(transforms), dtype=shard.dtype), [int((t == 0).sum()) for t in transforms])
-    block = np.zeros(len(joint), np.int32)
-    common = np.full(len(joint), depth, np.int16)
-    symbol = np.empty(len(joint), np.uint8)
-    blocks = 1
-    for done in range(depth):
-        symbol[np.argsort(shard, kind="stable")] = joint
-        order = np.argsort(symbol, kind="stable")
-        shard = shard[order]
-        shard[: len(first)] = first  # the ends of texts stand in the order of the shards
-        now, was = symbol[order], block[order]
-        border = np.zeros(len(joint), bool)
-        border[1:] = (now[1:] != now[:-1]) | (was[1:] != was[:-1])
-        border[1 : len(first)] = False
-        common[border & (common == depth)] = done
-        block = np.cumsum(border, dtype=np.int32)
-        if block[-1] + 1 == blocks:
-            break
-        blocks = int(block[-1]) + 1
-    return shard, block, common
+    row = np.empty(n, np.int64)
+    row[order] = place
+    return order, before, row[order - 1]
+
+
+def merge(transforms: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the joint transforms whose suffixes share their first ``depth`` symbols with another, and their block.
+
+    A shard is its transform, the steps, and the rows to begin with: those that ``depth`` steps lead to wanted
+    suffixes. The interleave starts as one shard after the other. A round is a stable pass by the
+    symbols: it puts the suffixes that are one symbol longer in order and splits blocks at new borders.
+    A suffix alone in its block stays alone when it grows, so it is finished and leaves.
+    """
+    base = np.cumsum([0, *(len(t) for t, _, _ in transforms)])
+    symbol, longer, row = (np.concatenate([x[i] + (0 if i == 0 else b) for x, b in zip(transforms, base, strict=False)]) for i in range(3))
+    symbol, block = symbol.astype(np.uint8), np.zeros(len(row), np.int32)
+    for _ in range(depth):
+        now = symbol[row]
+        order = np.argsort(now, kind="stable")
+        row, now, was = longer[row[order]], now[order], block[order]
+        border = np.ones(len(row) + 1, bool)
+        border[1:-1] = (now[1:] != now[:-1]) | (was[1:] != was[:-1])
+        shared = ~(border[:-1] & border[1:])
+        row, block = row[shared], np.cumsum(border[:-1], dtype=np.int32)[shared]
+    return row, block
 
 
 def repeated(texts: list[bytes], windows: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
@@ -181,18 +183,18 @@ def repeated(texts: list[bytes], windows: np.ndarray, doc: np.ndarray, start: np
         joined = np.frombuffer(b"\xff".join(texts[at : at + shard]) + b"\xff", np.uint8)
         symbols = joined + np.uint8(1)  # UTF-8 has no byte 255, which becomes the end
         stop = np.cumsum(sizes[at : at + shard] + 1) - 1
-        order, before = transform(symbols, np.repeat(stop, sizes[at : at + shard] + 1), length)
+        stops = np.repeat(stop, sizes[at : at + shard] + 1)
+        order, before, step = transform(symbols, stops, CONTEXT)
+        # windows are `length` steps from the last places of their text
+        last = np.arange(len(symbols)) > stops - np.repeat(windows[at : at + shard], sizes[at : at + shard] + 1)
         orders.append(order + base)
-        transforms.append(before)
+        transforms.append((before, step, np.flatnonzero(last[order])))
         base += len(symbols)
-    interleave, block, _ = merge(transforms, length)
-    place = np.empty(base, np.int64)
-    place[np.argsort(interleave, kind="stable")] = np.concatenate(orders)
+    row, block = merge(transforms, length)
+    place = np.concatenate(orders)[row]
     begins = np.cumsum(sizes + 1) - sizes - 1
     text = np.searchsorted(begins, place, "right") - 1
     window = place - begins[text]
-    good = window < windows[text]
-    text, window, block = text[good], window[good], block[good]
     d, s = doc[text], start[text] + window
     order = np.lexsort((s, d, block))
     text, window, block, d, s = (x[order] for x in (text, window, block, d, s))
@@ -222,6 +224,13 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, step)
 
 
+def _kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, most: int = MOST, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """All rows as ``doc, digest, n_bytes, copy``, and ``doc, digest, text, spans`` of the texts that lose bytes.
 
@@ -259,12 +268,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 yield pa.RecordBatch.from_arrays([pa.array(doc), *[pa.array(c[good]) for c in (start, size, key, times)]], ["doc", "start", "n", "key", "times"])
 
     met = plain.mapInArrow(sifted, "doc long, start long, n long, key long, times long").join(again, "key", "left_semi")
-    met = cut(met.join(rows.where("copy").select("doc").distinct(), "doc", "left_anti"))
+    met = _kept_table(met.join(rows.where("copy").select("doc").distinct(), "doc", "left_anti"), "segments")
     still = met.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
     listed = met.join(still, "key", "left_semi").groupBy("doc").agg(F.collect_set(F.struct("start", "n", "key")).alias("segments"))
-    folder = new_folder(spark, "repeats")
-    plain.join(listed, "doc").write.parquet(folder)  # a list is as long as its document
-    held = spark.read.parquet(folder).withColumn("digest", F.sha2("text", 256))
+    held = _kept_table(plain.join(listed, "doc"), "repeats").withColumn("digest", F.sha2("text", 256))  # a list is as long as its document
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,10 +294,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     schema = "key long, kind long, doc long, start long, n long, seg binary"
     places = held.select("doc", "text", "segments").mapInArrow(cut_out, schema)
     kinds = places.groupBy("key", "kind").agg(F.min(F.struct("doc", "start")).alias("at"), F.any_value("n").alias("n"), F.any_value("seg").alias("seg"), F.count("*").alias("copies"))
-    kinds = cut(kinds.select("key", "kind", F.col("at.doc").alias("doc"), F.col("at.start").alias("start"), "n", "seg", "copies"))
-    crowded = kinds.groupBy("key").agg(F.count("*").alias("kinds")).where(F.col("kinds") > most).select("key")
+    kinds = _kept_table(kinds.select("key", "kind", F.col("at.doc").alias("doc"), F.col("at.start").alias("start"), "n", "seg", "copies"), "kinds")
+    crowded = cut(kinds.groupBy("key").agg(F.count("*").alias("kinds")).where(F.col("kinds") > most).select("key"))
+    some = not crowded.isEmpty()
     buckets = max(1, kinds.count() // bucket)
-    small = kinds.join(crowded, "key", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    small = (kinds.join(crowded, "key", "left_anti") if some else kinds).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     result = "key long, kind long, doc long, start long, runs array<struct<a:long,b:long>>"
 
     def refine(table: pa.Table) -> pa.Table:
@@ -300,7 +308,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         return _with_runs(table, text, window, (copies > 1))
 
     found = small.groupBy("bucket").applyInArrow(refine, result)
-    found = cut(found.unionAll(_by_hash(kinds.join(crowded, "key", "left_semi"), length, result)))
+    found = cut(found.unionAll(_by_hash(kinds.join(crowded, "key", "left_semi"), length, result)) if some else found)
     # the first place of a kind loses the runs, any other place of it everything
     first_place = (F.col("p.doc") == F.col("f.doc")) & (F.col("p.start") == F.col("f.start"))
     gone = places.drop("seg").alias("p").join(found.alias("f"), ["key", "kind"]).select(
