@@ -284,25 +284,32 @@ def test_quotas_follow_the_highest_quotients(spark):
 
 # 8
 
-def test_merge_of_transforms_gives_the_joint_order():
+def test_merge_of_transforms_gives_the_repeated_intervals():
     random.seed(7)
-    for _ in range(40):
-        depth = random.choice([2, 4, 9])
-        texts = [bytes(random.choice(b"ab") for _ in range(random.randint(1, 15))) for _ in range(random.randint(2, 9))]
-        orders, parts = [], []
-        for t in texts:
-            symbols = np.frombuffer(t + b"\xff", np.uint8) + np.uint8(1)
-            order, bwt = suffixes.transform(symbols, np.full(len(symbols), len(t)), depth)
-            orders.append([t[i:] for i in order])
-            parts.append(bwt)
-        shard, block, common = suffixes.merge(parts, depth)
-        queue = [iter(o) for o in orders]
-        joint = [next(queue[s])[:depth] for s in shard]
-        assert joint == sorted(joint)
-        for i in range(1, len(joint)):
-            same = next((n for n in range(depth) if joint[i - 1][n : n + 1] != joint[i][n : n + 1]), depth)
-            if len(joint[i]) == depth == len(joint[i - 1]):
-                assert (block[i] == block[i - 1]) == (same == depth) and common[i] == same
+    for _ in range(60):
+        depth = random.choice([1, 2, 4, 9])
+        texts = [bytes(random.choice(b"ab") for _ in range(random.randint(1, 15))) for _ in range(random.randint(1, 9))]
+        rows, parts = [], []
+        for shard in (texts[:3], texts[3:4], texts[4:]):
+            if shard:
+                symbols = np.frombuffer(b"\xff".join(shard) + b"\xff", np.uint8) + np.uint8(1)
+                ends = np.flatnonzero(symbols == 0)
+                order, bwt, step = suffixes.transform(symbols, ends[np.searchsorted(ends, np.arange(len(symbols)))], depth)
+                begin = np.concatenate([[-1], ends])[np.searchsorted(ends, np.arange(len(symbols)))] + 1
+                suffix = [bytes(symbols[i : ends[np.searchsorted(ends, i)]] - 1) for i in order]
+                assert [s[:depth] for s in suffix] == sorted(s[:depth] for s in suffix)
+                rows += suffix
+                parts.append((bwt, step, np.flatnonzero((np.arange(len(symbols)) - begin >= depth)[order])))
+        row, block = suffixes.merge(parts, depth)
+        found = {}
+        for r, k in zip(row.tolist(), block.tolist()):
+            found.setdefault(k, []).append(r)
+        want = {}
+        for r, s in enumerate(rows):
+            if len(s) >= depth:
+                want.setdefault(s[:depth], []).append(r)
+        assert sorted(sorted(v) for v in found.values()) == sorted(v for v in want.values() if len(v) > 1)
+        assert [rows[v[0]][:depth] for _, v in sorted(found.items())] == sorted(w for w, v in want.items() if len(v) > 1)
 
 
 def plain_repeats(docs, length):
