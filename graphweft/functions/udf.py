@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+STATES_HELD = 50_000  # states of groups that a task keeps before it passes them on
+
+
 def register_scalar(spark: SparkSession, name: str, fn: Callable, returns: str, user_data=None):
     """A function over pandas Series, callable from SQL and the DataFrame API (L1).
 
@@ -38,12 +41,17 @@ def aggregate(
     keys = ", ".join(f"{n} {t}" for n, t in df.select(*groups).dtypes)
 
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def packed(states: dict) -> pd.DataFrame:
+            return pd.DataFrame([(*key, pickle.dumps(state)) for key, state in states.items()], columns=[*groups, "_state"])
+
         states: dict = {}
         for frame in frames:
             for key, part in frame.groupby(groups, sort=False, dropna=False):
                 states[key] = step(states.get(key) if key in states else init(), part)
-        rows = [(*key, pickle.dumps(state)) for key, state in states.items()]
-        yield pd.DataFrame(rows, columns=[*groups, "_state"])
+            if len(states) >= STATES_HELD:  # a group may leave a task in several states; merging them is exact
+                yield packed(states)
+                states = {}
+        yield packed(states)
 
     def final(frame: pd.DataFrame) -> pd.DataFrame:
         states = [pickle.loads(s) for s in frame["_state"]]  # states written by partial above

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..graph import Graph
 
@@ -51,6 +51,15 @@ def call(outer: DataFrame, inner: DataFrame, on: list[str], keep_empty: bool = F
     return outer.join(inner, on, "left" if keep_empty else "inner")
 
 
+def call_top(outer: DataFrame, inner: DataFrame, on: list[str], order: list[Column], limit: int, keep_empty: bool = False) -> DataFrame:
+    """CALL { WITH keys … ORDER BY … LIMIT n }: the first rows of the subquery for every outer row (C11).
+
+    Spark keeps ``limit`` rows per key and task before it shuffles.
+    """
+    rank = F.row_number().over(W.partitionBy(*on).orderBy(*order))
+    return call(outer, inner.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank"), on, keep_empty)
+
+
 def foreach(graph: Graph, rows: DataFrame, items: Column, name: str, update: Callable[[Graph, DataFrame], Graph]) -> Graph:
     """FOREACH (name IN items | update): all elements of all rows as one batch update."""
     return update(graph, unwind(rows, items, name))

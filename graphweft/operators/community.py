@@ -16,7 +16,8 @@ def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:
     Labels are node ids. Counting is partial before the shuffle, so a hub's
     neighbourhood is never gathered.
     """
-    iterations = max(1, min(iterations, 100))
+    if iterations < 1:
+        raise ValueError("iterations must be at least 1")
     both = graph.edges.select("src", "dst").unionAll(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     fan = Fanout(both, resident=True)
     state = cut(graph.nodes.select("id", F.col("id").alias("community")))

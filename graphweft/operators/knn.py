@@ -12,13 +12,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import fits
+from ..ordered import dense_number
+from ..session import cut
 
 METRICS = ("l2", "l1", "cosine", "hamming")
-# A query set may be sent to every executor up to this many matrix cells (64 MB of float64).
-BROADCAST_CELLS = 8_000_000
-# Rows per side of one task when both sides are too large to broadcast.
-BLOCK_ROWS = 8_192
+# Queries go to the executors in chunks of this many matrix cells (64 MB of float64).
+CHUNK_CELLS = 8_000_000
 _CELLS_AT_ONCE = 4_000_000  # bound of a temporary distance matrix
 
 
@@ -179,15 +178,33 @@ def nearest_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def query_matrix(queries: DataFrame, id_col: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
-    """The query ids and vectors on the driver; call only after a size check."""
-    got = queries.select(F.col(id_col).cast("long").alias("q"), F.col(vector).alias("v")).toArrow()
-    return got["q"].to_numpy(), to_matrix(got["v"])
+def query_chunks(queries: DataFrame, total: int, rows: int | None = None) -> Iterator[pa.Table]:
+    """The ``total`` queries (``query_id, qv``) chunk by chunk on the driver, ``rows`` at most or what ``CHUNK_CELLS`` holds."""
+    if rows is None:
+        rows = max(1, CHUNK_CELLS // max(1, queries.agg(F.coalesce(F.max(F.size("qv")), F.lit(1))).first()[0]))
+    if total <= rows:
+        yield queries.toArrow()
+        return
+    numbered = dense_number(queries, ["query_id"], "_n", 0)
+    for at in range(0, total, rows):
+        yield numbered.where((F.col("_n") >= at) & (F.col("_n") < at + rows)).drop("_n").toArrow()
 
 
-def small_enough(queries: DataFrame, vector: str) -> bool:
-    first = queries.select(F.size(vector)).first()
-    return first is None or fits(queries, BROADCAST_CELLS // max(first[0], 1))
+def scan_chunks(queries: DataFrame, base: DataFrame, k: int, scanner, rows: int | None = None) -> DataFrame:
+    """``query_id, id, distance, rank``: one scan of the unshuffled base per chunk of queries.
+
+    ``scanner(chunk)`` gives a broadcast variable, the base rows it needs, and the function that reads them.
+    Chunks are independent; each is finished before the next, so that one is on the executors at a time.
+    """
+    found, total = None, queries.count()
+    for chunk in query_chunks(queries, total, rows):
+        shared, some, scan = scanner(chunk)
+        best = nearest_k(some.mapInArrow(scan, PAIRS), k)
+        if chunk.num_rows < total:
+            best = cut(best)
+            shared.destroy()
+        found = best if found is None else found.unionAll(best)
+    return found
 
 
 def knn_join(
@@ -199,65 +216,26 @@ def knn_join(
     base_id: str = "id",
     vector: str = "embedding",
     skip_self: bool = False,
-    force_blocks: bool = False,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``query_id, id, distance, rank`` of the k nearest base rows per query.
 
-    A query set of checked size is broadcast and the base is scanned once, without
-    a shuffle of vectors. Larger query sets meet the base block by block.
+    The base is scanned once per chunk of queries, without a shuffle of vectors.
     """
     base = base.where(F.col(vector).isNotNull()).select(F.col(base_id).cast("long").alias("id"), F.col(vector).alias("v"))
-    if not force_blocks and small_enough(queries, vector):
-        ids, matrix = query_matrix(queries, query_id, vector)
-        shared = base.sparkSession.sparkContext.broadcast((ids, matrix))
+    q = queries.select(F.col(query_id).cast("long").alias("query_id"), F.col(vector).alias("qv"))
+
+    def scanner(chunk: pa.Table):
+        shared = base.sparkSession.sparkContext.broadcast((chunk["query_id"].to_numpy(), to_matrix(chunk["qv"])))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qid, q = shared.value
-            top = TopK(metric, q, k)
+            qid, matrix = shared.value
+            top = TopK(metric, matrix, k)
             for batch in batches:
                 if batch.num_rows:
                     top.add(batch["id"].to_numpy(), to_matrix(batch["v"]), skip_self=qid if skip_self else None)
             yield top.table(qid)
 
-        pairs = base.mapInArrow(scan, PAIRS)
-    else:
-        q = queries.select(F.col(query_id).cast("long").alias("query_id"), F.col(vector).alias("qv"))
-        pairs = block_pairs(q.withColumn("cell", F.lit(0)), base.withColumn("cell", F.lit(0)), k, metric, skip_self)
-    return nearest_k(pairs, k)
+        return shared, base, scan
 
-
-def block_pairs(queries: DataFrame, base: DataFrame, k: int, metric: str, skip_self: bool = False, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Local top-k of every (query block, base block) within a ``cell``.
-
-    ``queries(cell, query_id, qv)`` and ``base(cell, id, v)``. Both sides of a cell
-    are cut into blocks of about ``rows`` rows, so a cell that holds most of the
-    data is spread over many tasks and no task grows with the data.
-    """
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
-
-    # one row per cell; the number of cells is bounded by the index, not by the data
-    plan = blocks(queries, "_qn").join(blocks(base, "_bn"), "cell")
-    q = (
-        queries.join(F.broadcast(plan), "cell")
-        .withColumn("_q", F.pmod(F.xxhash64("query_id"), F.col("_qn")).cast("int"))
-        .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_bn") - 1)))
-        .select("cell", "_q", "_b", "query_id", "qv")
-    )
-    b = (
-        base.join(F.broadcast(plan), "cell")
-        .withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_bn")).cast("int"))
-        .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1)))
-        .select("cell", "_q", "_b", "id", "v")
-    )
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        qid = left["query_id"].to_numpy()
-        top = TopK(metric, to_matrix(left["qv"]), k) if left.num_rows else None
-        if top is None or right.num_rows == 0:
-            return pa.Table.from_batches([TopK(metric, np.empty((0, 0)), 0).table(np.empty(0, dtype="int64"))])
-        top.add(right["id"].to_numpy(), to_matrix(right["v"]), skip_self=qid if skip_self else None)
-        return pa.Table.from_batches([top.table(qid)])
-
-    keys = ["cell", "_q", "_b"]
-    return q.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(compare, PAIRS)
+    return scan_chunks(q, base, k, scanner, chunk_rows)

@@ -18,12 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..graph import EDGE_KEYS, Graph, symmetric
-from ..session import fits
-from .paths import UNBOUNDED_DEPTH, expand
-
-# A pattern part without a shared variable may be combined with every row of the rest
-# only when it is known to be this small.
-MAX_LOOSE_ROWS = 1_000
+from .paths import expand
 
 
 @dataclass
@@ -92,6 +87,7 @@ class Match:
         self.graph = graph
         self.unique_edges = unique_edges
         self._paths: list[list] = [[]]
+        self._on: dict[int, Column | None] = {}
         self._where: list[Column] = []
         self._optional: list[tuple["Match", Column | None]] = []
         self._count = 0
@@ -129,9 +125,14 @@ class Match:
         """``-[…]-``"""
         return self._hop("both", types, var, length, path, props)
 
-    def path(self) -> "Match":
-        """Start another comma-separated path."""
+    def path(self, on: Column | None = None) -> "Match":
+        """Start another comma-separated path.
+
+        A path that shares no variable with those before it needs ``on``, the condition
+        that relates the two; it becomes their join.
+        """
         self._paths.append([])
+        self._on[len(self._paths) - 1] = on
         return self
 
     def where(self, condition: Column) -> "Match":
@@ -205,7 +206,7 @@ class Match:
         edges = scan_edges(self.graph, hop.types, hop.props, hop.direction)
         low, high = hop.length
         starts = self.graph.nodes.select("id") if cur is None else cur.select(F.col(f"{left.var}_id").alias("id"))
-        paths = expand(edges, starts.distinct(), low, UNBOUNDED_DEPTH if high is None else high)
+        paths = expand(edges, starts.distinct(), low, high)
         p = hop.path or hop.var
         paths = paths.select(
             F.col("start").alias(f"{p}_start"),
@@ -237,7 +238,7 @@ class Match:
 
     def df(self) -> DataFrame:
         cur, bound, hops = None, set(), []
-        for steps in self._paths:
+        for number, steps in enumerate(self._paths):
             named = {s.var for s in steps if isinstance(s, _Node)}
             if cur is not None and steps[0].var not in bound and steps[-1].var in bound:
                 steps = self._flip(steps)
@@ -249,8 +250,10 @@ class Match:
                 if shared:
                     keep = [c for c in other.columns if c in shared or c not in cur.columns]
                     cur = cur.join(other.select(*keep), shared)
+                elif self._on.get(number) is None:
+                    raise ValueError("a path shares no variable with those before it; relate them by path(on=...)")
                 else:
-                    cur = product(cur, other)
+                    cur = cur.join(other, self._on[number])
                 bound |= named
         for condition in self._where:
             cur = cur.where(condition)
@@ -275,27 +278,6 @@ def left_outer(cur: DataFrame, other: DataFrame, id_columns: list[str], conditio
     return cur.join(renamed, on, "left").drop(*[f"_opt_{c}" for c in shared])
 
 
-def product(left: DataFrame, right: DataFrame, max_rows: int = MAX_LOOSE_ROWS) -> DataFrame:
-    """All combinations of two unrelated pattern parts.
-
-    One part must be provably small; it travels as one array next to each row of
-    the other. Two large unrelated parts have no useful result and are refused.
-    """
-    if fits(right, max_rows):
-        small, big = right, left
-    elif fits(left, max_rows):
-        small, big = left, right
-    else:
-        raise ValueError("two large pattern parts share no variable; relate them by a shared variable or a join")
-    rows = [tuple(r) for r in small.collect()]
-    if not rows:
-        return big.limit(0).withColumns({f.name: F.lit(None).cast(f.dataType) for f in small.schema.fields})
-    packed = small.sparkSession.createDataFrame(rows, small.schema).agg(F.collect_list(F.struct(*small.columns)).alias("_all"))
-    literal = packed.withColumn("_one", F.lit(1))
-    joined = big.withColumn("_one", F.lit(1)).join(F.broadcast(literal), "_one")
-    return joined.withColumn("_row", F.explode("_all")).select(*big.columns, *[F.col(f"_row.{c}").alias(c) for c in small.columns])
-
-
 def exists_pattern(rows: DataFrame, pattern: Match, on: list[str], negate: bool = False) -> DataFrame:
     """WHERE [NOT] EXISTS(pattern): semi or anti join on the shared variables."""
     ids = [f"{v}_id" for v in on]
@@ -314,5 +296,5 @@ def pattern_list(rows: DataFrame, pattern: Match, on: str, value: Column, out: s
 
 
 __all__ = [
-    "EDGE_KEYS", "Match", "exists_pattern", "left_outer", "pattern_list", "product", "property_filter", "scan_edges", "scan_nodes",
+    "EDGE_KEYS", "Match", "exists_pattern", "left_outer", "pattern_list", "property_filter", "scan_edges", "scan_nodes",
 ]

@@ -179,6 +179,15 @@ def set_map(graph: Graph, matched: DataFrame, values: dict[str, Column], replace
     return set_props(graph, matched, **full)
 
 
+def set_edge_map(graph: Graph, matched: DataFrame, values: dict[str, Column], replace: bool) -> Graph:
+    """SET r = {…} or SET r += {…} on the matched edges."""
+    full = dict(values)
+    if replace:
+        types = dict(graph.edges.dtypes)
+        full = {p: F.lit(None).cast(types[p]) for p in graph.edge_props} | full
+    return set_edge_props(graph, matched, **full)
+
+
 def _mark(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(ids.select("id").distinct().withColumn("_hit", F.lit(True)), "id", "left")
 
@@ -201,6 +210,12 @@ def remove_props(graph: Graph, ids: DataFrame, *names: str) -> Graph:
     return Graph(_mark(graph.nodes, ids).withColumns(gone).select(*graph.nodes.columns), graph.edges, graph.name)
 
 
+def remove_edge_props(graph: Graph, ids: DataFrame, *names: str) -> Graph:
+    """REMOVE r.k."""
+    gone = {n: F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(n)) for n in names}
+    return Graph(graph.nodes, _mark(graph.edges, ids).withColumns(gone).select(*graph.edges.columns), graph.name)
+
+
 # -- DELETE -----------------------------------------------------------------------------------
 def delete_nodes(graph: Graph, ids: DataFrame, detach: bool = False) -> Graph:
     """DELETE refuses nodes that still have edges; DETACH DELETE drops those edges too."""

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 from ..skew import Fanout
 
-UNBOUNDED_DEPTH = 100  # depth bound of an open-ended pattern, fixed by the query language
 _LAZY_DEPTH = 4  # up to this depth the levels stay one plan; beyond it each level is materialised
 
 
-def expand(edges: DataFrame, starts: DataFrame, low: int, high: int) -> DataFrame:
-    """Paths without repeated nodes, ``low`` to ``high`` edges long.
+def expand(edges: DataFrame, starts: DataFrame, low: int, high: int | None) -> DataFrame:
+    """Paths without repeated nodes, ``low`` to ``high`` edges long, without a bound if None.
 
     Returns ``start, end, depth, node_ids, edge_ids``. Each level joins the
     frontier to the edges once; the work is proportional to the paths found.
@@ -27,13 +28,10 @@ def expand(edges: DataFrame, starts: DataFrame, low: int, high: int) -> DataFram
         nothing.alias("edge_ids"),
     )
     found = [level] if low == 0 else []
-    deep = high > _LAZY_DEPTH
-    fan = Fanout(hops) if deep else None
-    for depth in range(1, high + 1):
-        if deep:
-            step = fan.send(level.withColumnRenamed("end", "id")).withColumnRenamed("id", "end")
-        else:
-            step = level.join(hops, F.col("end") == F.col("src"))
+    deep = high is None or high > _LAZY_DEPTH
+    fan = Fanout(hops)
+    for depth in count(1) if high is None else range(1, high + 1):
+        step = fan.send(level.withColumnRenamed("end", "id")).withColumnRenamed("id", "end")
         level = step.where(~F.array_contains("node_ids", F.col("dst"))).select(
             "start",
             F.col("dst").alias("end"),
@@ -54,7 +52,7 @@ def expand(edges: DataFrame, starts: DataFrame, low: int, high: int) -> DataFram
 
 
 def shortest_paths(
-    edges: DataFrame, starts: DataFrame, all_ties: bool = False, max_depth: int = UNBOUNDED_DEPTH
+    edges: DataFrame, starts: DataFrame, all_ties: bool = False, max_depth: int | None = None
 ) -> DataFrame:
     """Shortest path per (start, end) pair with end ≠ start.
 
@@ -75,7 +73,7 @@ def shortest_paths(
     )
     settled = level.select("start", "end")
     found = []
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         step = fan.send(level.withColumnRenamed("end", "id")).select(
             "start",
             F.col("dst").alias("end"),

@@ -11,8 +11,10 @@ from ..skew import Fanout
 CUT_EVERY = 5  # rounds between two materialisations when no convergence test needs one
 
 
-def _clamp(n: int, high: int) -> int:
-    return max(1, min(n, high))
+def _at_least_one(name: str, n: int) -> int:
+    if n < 1:
+        raise ValueError(f"{name} must be at least 1")
+    return n
 
 
 def pagerank(
@@ -28,7 +30,7 @@ def pagerank(
     each. ``tolerance`` stops early (largest change below it); None runs all rounds.
     With ``seeds(id)`` the walk restarts there only (personalised form).
     """
-    iterations = _clamp(iterations, 100)
+    _at_least_one("iterations", iterations)
     fan = Fanout(graph.edges.select("src", "dst"), resident=True)
     nodes = graph.nodes.select("id")
     if seeds is None:
@@ -61,12 +63,12 @@ def pagerank(
 
 def top_pagerank(graph: Graph, k: int = 10, damping: float = 0.85, iterations: int = 20, tolerance: float | None = 1e-6) -> DataFrame:
     """The k best, best first, ties by id."""
-    return pagerank(graph, damping, iterations, tolerance).orderBy(F.desc("score"), "id").limit(_clamp(k, 1000))
+    return pagerank(graph, damping, iterations, tolerance).orderBy(F.desc("score"), "id").limit(_at_least_one("k", k))
 
 
 def eigenvector(graph: Graph, iterations: int = 100, tolerance: float | None = 1e-10) -> DataFrame:
     """``id, score``: power iteration over in-edges with unit length after each round."""
-    iterations = _clamp(iterations, 1000)
+    _at_least_one("iterations", iterations)
     fan = Fanout(graph.edges.select("src", "dst"), resident=True)
     nodes = cut(graph.nodes.select("id"))
     uniform = 1.0 / max(nodes.count(), 1) ** 0.5

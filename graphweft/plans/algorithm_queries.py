@@ -40,7 +40,7 @@ _SEEDS = "SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND
 _PPR_STEP = f"""SELECT id, CASE WHEN id IN ({_SEEDS}) THEN 0.15 / (SELECT count(*) FROM ({_SEEDS})) ELSE 0 END + 0.85 * coalesce(sum(p.score / d), 0) AS score FROM users
  LEFT JOIN hop ON dst = users.id LEFT JOIN {{prev}} p(pid, score) ON pid = hop.src LEFT JOIN outdeg ON outdeg.src = hop.src GROUP BY id"""
 _PPR = _unrolled(
-    10, f"SELECT id, CASE WHEN id IN ({_SEEDS}) THEN 1.0 / (SELECT count(*) FROM ({_SEEDS})) ELSE 0.0 END AS score FROM users", _PPR_STEP,
+    20, f"SELECT id, CASE WHEN id IN ({_SEEDS}) THEN 1.0 / (SELECT count(*) FROM ({_SEEDS})) ELSE 0.0 END AS score FROM users", _PPR_STEP,
     "SELECT id, round(score, 9) AS score FROM {final}",
 )
 
@@ -53,7 +53,7 @@ def g03(spark, sf):
     events = table(spark, sf, "events")
     high = quantiles(events, [], "value", q=("cont", 0.99)).first().q
     seeds = events.where((c("event_type") == "purchase") & (c("value") > high)).select(c("user_id").alias("id"))
-    return ranking.pagerank(hop(spark, sf), iterations=10, tolerance=None, seeds=seeds).select("id", r(c("score"), "score"))
+    return ranking.pagerank(hop(spark, sf), iterations=20, tolerance=None, seeds=seeds).select("id", r(c("score"), "score"))
 
 
 _LP_STEP = """SELECT id, coalesce(max_by(label, (n, -label)), any_value(own)) AS community FROM

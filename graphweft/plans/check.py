@@ -21,7 +21,7 @@ def _cell(v):
 
 
 # Spark type → DuckDB type of the same column.
-SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT"}
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
 
 
 def type_differences(df, con, sql: str) -> list[str]:

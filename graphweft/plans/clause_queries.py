@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import clauses as K
-from .data import CHAIN_SQL, chain, supply, table
+from .data import CHAIN_SQL, ORDER, chain, supply, table
 from .registry import query
 
 c = F.col
@@ -126,6 +126,16 @@ def c11(spark, sf):
     return rows.select("c_name", F.coalesce("n", F.lit(0)).alias("n"), "biggest")
 
 
+@query("c11_call_top", """
+SELECT c_name, o_orderkey, o_totalprice AS total FROM customer LEFT JOIN
+ (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) ON o_custkey = c_custkey AND r <= 2""")
+def c11_top(spark, sf):
+    g = supply(spark, sf)
+    inner = g.match().node("c").out("PLACED").node("o", "Order").df().select("c_id", (c("o_id") - ORDER).alias("o_orderkey"), c("o_total").alias("total"))
+    rows = K.call_top(g.match().node("c", "Customer").df(), inner, ["c_id"], [F.desc("total"), F.asc("o_orderkey")], 2, keep_empty=True)
+    return rows.select("c_name", "o_orderkey", "total")
+
+
 @query("c12_foreach", f"""
 WITH {CHAIN_SQL}
 SELECT event_id AS id, unnest([event_type, event_type || '_seen']) AS tag FROM events""")

@@ -9,7 +9,7 @@ from ..operators import mutate as D
 from ..operators import sync
 from ..session import new_folder
 from ..streaming import feeds
-from .data import CUSTOMER, ORDER, supply, table
+from .data import CUSTOMER, ORDER, PART, supply, table
 from .registry import query
 from .table_queries import ORDERS_B, orders_b
 from .vector_queries import _CENTRES, label_centres
@@ -106,6 +106,17 @@ def d06(spark, sf):
     return g.nodes.where(F.array_contains("labels", "Customer")).select("id", "name", "acctbal", "segment")
 
 
+@query("d06_set_edge_map", """
+SELECT l_orderkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS quantity, l_extendedprice AS amount,
+ CASE WHEN l_returnflag = 'R' THEN NULL WHEN l_quantity > 40 THEN 'BULK' ELSE l_returnflag END AS flag FROM lineitem""")
+def d06_edges(spark, sf):
+    g = supply(spark, sf)
+    lines = g.edges.where("type = 'CONTAINS'")
+    g = D.set_edge_map(g, lines.where("quantity > 40"), {"flag": F.lit("BULK")}, replace=False)
+    g = D.set_edge_map(g, lines.where("flag = 'R'"), {"amount": c("amount")}, replace=True)
+    return g.edges.where("type = 'CONTAINS'").select((c("src") - ORDER).alias("l_orderkey"), (c("dst") - PART).alias("l_partkey"), "quantity", "amount", "flag")
+
+
 @query("d07_add_label", """
 SELECT 'Customer,Party' || CASE WHEN c_acctbal > 5000 THEN ',Rich' ELSE '' END AS labels, CAST(count(*) AS BIGINT) AS n FROM customer GROUP BY 1
 UNION ALL SELECT 'Order', count(*) FROM orders""")
@@ -125,6 +136,14 @@ def d08(spark, sf):
     return g.nodes.where(F.array_contains("labels", "Customer")).select("name", "segment", F.array_contains("labels", "Party").alias("is_party"))
 
 
+@query("d08_remove_edge", """
+SELECT l_orderkey, l_partkey, CASE WHEN l_quantity < 5 THEN NULL ELSE l_extendedprice END AS amount, l_returnflag AS flag FROM lineitem""")
+def d08_edges(spark, sf):
+    g = supply(spark, sf)
+    g = D.remove_edge_props(g, g.edges.where("type = 'CONTAINS' and quantity < 5"), "amount")
+    return g.edges.where("type = 'CONTAINS'").select((c("src") - ORDER).alias("l_orderkey"), (c("dst") - PART).alias("l_partkey"), "amount", "flag")
+
+
 @query("d09_detach_delete", """
 SELECT 'nodes' AS what, (SELECT count(*) FROM customer WHERE c_acctbal >= 0) + (SELECT count(*) FROM orders) AS n
 UNION ALL SELECT 'edges', (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0)
@@ -195,14 +214,14 @@ def _as_stream(spark, df, files=4):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@query("k01_change_feed", f"WITH {ORDERS_B} SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM b")
+@query("k01_change_feed", f"WITH {ORDERS_B} SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM b")
 def k01(spark, sf):
-    a, b = table(spark, sf, "orders").drop("o_orderdate"), orders_b(spark, sf).drop("o_orderdate")
+    a, b = table(spark, sf, "orders"), orders_b(spark, sf)
     changes = sync.diff(a, b, ["o_orderkey"])
     values = F.coalesce("new", "old")
     final = changes.select("op", F.lit(2).cast("long").alias("seq"), "o_orderkey", values["o_custkey"].alias("o_custkey"),
                            values["o_orderstatus"].alias("o_orderstatus"), values["o_totalprice"].alias("o_totalprice"),
-                           values["o_orderpriority"].alias("o_orderpriority"))
+                           values["o_orderdate"].alias("o_orderdate"), values["o_orderpriority"].alias("o_orderpriority"))
     # an earlier change of every touched row that must lose, whatever the order of arrival
     stale = final.withColumns({"op": F.lit("UPDATE"), "seq": F.lit(1).cast("long"), "o_orderstatus": F.lit("?")})
     feed = feeds.FeedTable(spark, new_folder(spark, "table"), ["o_orderkey"], a)

@@ -114,8 +114,8 @@ def b06(spark, sf):
 SELECT r_name, c_name FROM region JOIN (SELECT c_name, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey) ON n_regionkey <> r_regionkey""")
 def b06_loose(spark, sf):
     # every region with the customers who do not live there
-    m = supply(spark, sf).match().node("r", "Region").path().node("c", "Customer").out("LIVES_IN").node().out("IN_REGION", var="e").node().df()
-    return m.where("e_dst <> r_id").select("r_name", "c_name")
+    m = supply(spark, sf).match().node("r", "Region").path(on=c("e_dst") != c("r_id")).node("c", "Customer").out("LIVES_IN").node().out("IN_REGION", var="e").node().df()
+    return m.select("r_name", "c_name")
 
 
 @query("b07_optional_match", """

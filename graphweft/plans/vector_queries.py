@@ -218,7 +218,7 @@ SELECT query_id, id, round(d, 6) AS distance FROM (
  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE rank <= 3""")
 def h18_blocks(spark, sf):
     e = base(spark, sf)
-    pairs = knn_join(e, e, 3, "cosine", "vec_id", "vec_id", skip_self=True, force_blocks=True)
+    pairs = knn_join(e, e, 3, "cosine", "vec_id", "vec_id", skip_self=True, chunk_rows=100)
     return pairs.select("query_id", "id", r6(c("distance"), "distance"))
 
 
@@ -319,7 +319,7 @@ def h24(spark, sf):
 
 @query("h24_ivf_search_blocks", _ivf_sql(3, 4))
 def h24_blocks(spark, sf):
-    return _ivf(spark, sf, 3, 4, force_blocks=True)
+    return _ivf(spark, sf, 3, 4, chunk_rows=150)
 
 
 @query("h24_ivf_all_probes_exact", """

@@ -20,6 +20,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, driver_me
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="graphweft-"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
@@ -28,8 +29,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, driver_me
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local master falls back to a temporary folder: on a cluster that
-    would be a folder of one machine, lost with it.
+    Where no folder is named, one below the session's warehouse, which executors share too.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -37,9 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="graphweft-")
+        named = f"{warehouse.rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 

@@ -81,14 +81,3 @@ def edges_to_json(graph: Graph) -> DataFrame:
     props = [F.struct(*graph.edge_props).alias("properties")] if graph.edge_props else []
     body = F.struct("id", "type", F.col("src").alias("start"), F.col("dst").alias("end"), *props)
     return graph.edges.select("id", F.to_json(body).alias("json"))
-
-
-def graph_from_eav(nodes: DataFrame, labels: DataFrame, edges: DataFrame, node_props: list[DataFrame], keys: dict[str, str], name: str) -> Graph:
-    """A graph from the entity-attribute-value layout: ids, labels, edges and property tables."""
-    eav = reduce(lambda a, b: a.unionByName(b), node_props)
-    grouped = labels.groupBy(F.col("node_id").alias("id")).agg(F.array_sort(F.collect_set("label")).alias("labels"))
-    wide = from_eav(eav, keys).withColumnRenamed("entity", "id")
-    empty = F.array().cast("array<string>")
-    full = nodes.select("id").join(grouped, "id", "left").join(wide, "id", "left").withColumn("labels", F.coalesce("labels", empty))
-    ends = edges.select("id", F.col("source_id").alias("src"), F.col("target_id").alias("dst"), "type")
-    return Graph(full, ends, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -9,6 +10,7 @@ from ..skew import MAX_HOT_KEYS
 
 MAX_DIMENSIONS = 8_192  # fixed value
 ROWS_PER_FILE = 1_000_000
+_DTYPES = {"float32": "<f4", "int8": "i1"}
 _KINDS = {"float32": ("array<float>", 4, pa.float32()), "int8": ("array<tinyint>", 1, pa.int8())}
 
 
@@ -30,10 +32,18 @@ def from_blob(blob: Column, dims: int, kind: str = "float32") -> Column:
     if not 1 <= dims <= MAX_DIMENSIONS:
         raise ValueError(f"dimensions must be between 1 and {MAX_DIMENSIONS}")
 
+    dtype = _DTYPES[kind]
+
     @F.arrow_udf(spark_type)
     def unpack(column: pa.Array) -> pa.Array:
-        values = [None if b is None else pa.Array.from_buffers(arrow_type, dims, [None, pa.py_buffer(b)]).to_pylist() for b in column.to_pylist()]
-        return pa.array(values, pa.list_(arrow_type))
+        # all blobs have the checked size, so their bytes in a row are the vectors in a row
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        blobs = column.drop_null()
+        _, offsets, data = blobs.buffers()
+        ends = np.frombuffer(offsets, "<i4")[blobs.offset : blobs.offset + len(blobs) + 1]
+        raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and len(blobs) else np.zeros(0, np.uint8)
+        places = np.concatenate([[0], np.cumsum(np.where(valid, dims, 0))]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(places), pa.array(raw.view(dtype), arrow_type), mask=pa.array(~valid))
 
     wrong = F.raise_error(F.concat(F.lit(f"expected {dims * width} bytes, got "), F.octet_length(blob)))
     return unpack(F.when(blob.isNull() | (F.octet_length(blob) == dims * width), blob).otherwise(wrong))
@@ -41,13 +51,16 @@ def from_blob(blob: Column, dims: int, kind: str = "float32") -> Column:
 
 def to_blob(vector: Column, kind: str = "float32") -> Column:
     """The packed form of a vector."""
-    dtype = {"float32": "<f4", "int8": "i1"}[kind]
+    dtype = np.dtype(_DTYPES[kind])
 
     @F.arrow_udf("binary")
     def pack(column: pa.Array) -> pa.Array:
-        import numpy as np
-
-        return pa.array([None if v is None else np.asarray(v, dtype=dtype).tobytes() for v in column.to_pylist()], pa.binary())
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        sizes = np.where(valid, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0) * dtype.itemsize
+        raw = np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False).astype(dtype))
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+        mask = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+        return pa.Array.from_buffers(pa.binary(), len(column), [mask, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())])
 
     return pack(vector)
 

@@ -197,3 +197,11 @@ def test_pair_and_knn(plain, spark):
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 9)], "a long, b long")
     assert rows(similarity.pair_similarity(g, pairs)) == [(1, 2, 1.0), (1, 3, 0.5), (1, 9, 0.0)]
     assert rows(similarity.knn_nodes(g, 1, spark.createDataFrame([(1,)], "id long")), "a", "b", "rank") == [(1, 2, 1)]
+
+
+def test_k_and_iterations_as_given(plain):
+    g = plain(range(3000), [(i, (i * 7 + 1) % 3000) for i in range(3000)])
+    assert ranking.top_pagerank(g, 2000, iterations=1).count() == 2000
+    for bad in (lambda: ranking.top_pagerank(g, 0), lambda: ranking.pagerank(g, iterations=0), lambda: community.label_propagation(g, 0)):
+        with pytest.raises(ValueError):
+            bad()

@@ -14,13 +14,13 @@ c = F.col
 
 
 @pytest.fixture(scope="module")
-def people(make):
-    p = lambda name, age, city=None: (name, "Person", {"age": age, "city": city})
+def fleet(make):
+    ship = lambda name, tonnage, home=None: (name, "Ship", {"tonnage": tonnage, "home": home})
+    good = lambda name, price: (name, "Good", {"price": price})
     return make(
-        [p("Alice", 30, "NYC"), p("Bob", 25, "LA"), p("Carol", 30, "NYC"), p("David", 35), p("Eve", 28),
-         ("TechCorp", "Company", {"employees": 100}), ("AcmeCorp", "Company", {"employees": 50}), ("StartupInc", "Company", {}),
-         ("Widget", "Product", {"price": 19.99}), ("Gadget", "Product", {"price": 29.99}), ("Thing", "Product", {"price": 9.99})],
-        node_schema="age long, city string, employees long, price double",
+        [ship("Orla", 120, "Cork"), ship("Petrel", 80, "Brest"), ship("Quill", 120, "Brest"), ship("Rook", 45), ship("Sable", 300), ship("Tern", 45, "Cork"),
+         ("North pier", "Pier", {"berths": 4}), ("South pier", "Pier", {"berths": 9}), good("Rope", 3.5), good("Tar", 12.25), good("Salt", 0.75), good("Tin", 40.0)],
+        node_schema="tonnage long, home string, berths long, price double",
     )
 
 
@@ -28,92 +28,89 @@ def names(df, col="n_name"):
     return sorted(r[0] for r in df.select(col).collect())
 
 
-def test_node_scans(people):
-    m = lambda *a, **k: people.match().node("n", *a, **k)
-    assert len(names(m("Person").df())) == 5
-    assert names(m("person").df()) == []
-    assert names(m(age=30).df()) == ["Alice", "Carol"]
-    assert names(m(name="Alice", age=30).df()) == ["Alice"]
-    assert names(m(price=19.99).df()) == ["Widget"]
-    assert names(m("Person", city=None).df()) == ["David", "Eve"]
+def test_node_scans(fleet):
+    m = lambda *a, **k: fleet.match().node("n", *a, **k)
+    assert len(names(m("Ship").df())) == 6
+    assert names(m("ship").df()) == []
+    assert names(m(tonnage=120).df()) == ["Orla", "Quill"]
+    assert names(m(name="Tern", tonnage=45).df()) == ["Tern"]
+    assert names(m(price=12.25).df()) == ["Tar"]
+    assert names(m("Ship", home=None).df()) == ["Rook", "Sable"]
 
 
-def test_where(people):
-    w = lambda cond: names(people.match().node("n", "Person").where(cond).df())
-    assert w(c("n_age") > 25) == ["Alice", "Carol", "David", "Eve"]
-    assert w((c("n_age") > 25) & (c("n_city") == "NYC")) == ["Alice", "Carol"]
-    assert w((c("n_age") < 28) | (c("n_city") == "LA")) == ["Bob"]
-    assert w(~(c("n_age") == 30)) == ["Bob", "David", "Eve"]
+def test_where(fleet):
+    w = lambda cond: names(fleet.match().node("n", "Ship").where(cond).df())
+    assert w(c("n_tonnage") >= 120) == ["Orla", "Quill", "Sable"]
+    assert w((c("n_tonnage") >= 120) & (c("n_home") == "Brest")) == ["Quill"]
+    assert w((c("n_tonnage") < 50) | (c("n_home") == "Brest")) == ["Petrel", "Quill", "Rook", "Tern"]
+    assert w(~(c("n_tonnage") == 45)) == ["Orla", "Petrel", "Quill", "Sable"]
 
 
 @pytest.fixture(scope="module")
-def org(make):
+def labs(make):
     e = lambda a, t, b, **p: (a, t, b, p)
-    person = lambda name, age: (name, "Person", {"age": age})
+    person = lambda name, rank: (name, "Researcher", {"rank": rank})
+    lab = lambda name, opened: (name, "Lab", {"opened": opened})
     return make(
-        [person("Alice", 30), person("Bob", 25), person("Charlie", 35), person("Diana", 28), person("Eve", 32),
-         ("TechCorp", "Company", {"founded": 2010}), ("StartupInc", "Company", {"founded": 2020}), ("MegaCorp", "Company", {"founded": 1995}),
-         ("WebApp", "Project", {}), ("NYC", "City", {}), ("San Francisco", "City", {})],
-        [e("Alice", "WORKS_FOR", "TechCorp", since="2022"), e("Bob", "WORKS_FOR", "StartupInc", since="2023"),
-         e("Charlie", "WORKS_FOR", "TechCorp", since="2020"), e("Eve", "WORKS_FOR", "MegaCorp", since="2018"),
-         e("Charlie", "MANAGES", "Alice"), e("Diana", "MANAGES", "Bob"), e("Alice", "WORKS_ON", "WebApp"), e("Charlie", "LEADS", "WebApp"),
-         e("Alice", "LIVES_IN", "NYC"), e("Bob", "LIVES_IN", "San Francisco"), e("TechCorp", "LOCATED_IN", "NYC"),
-         e("StartupInc", "LOCATED_IN", "San Francisco"), e("Diana", "CONSULTS_FOR", "StartupInc")],
-        "age long, founded long", "since string",
+        [person("Iva", 3), person("Jon", 1), person("Kei", 5), person("Lou", 2), person("Mae", 4), person("Nils", 1),
+         lab("Optics", 1988), lab("Acoustics", 2015), lab("Soils", 2003), ("Laser", "Device", {}), ("Turin", "Town", {}), ("Ghent", "Town", {})],
+        [e("Iva", "IN_LAB", "Optics", since="2019"), e("Jon", "IN_LAB", "Optics", since="2024"), e("Kei", "IN_LAB", "Acoustics", since="2016"),
+         e("Lou", "IN_LAB", "Soils", since="2021"), e("Mae", "IN_LAB", "Soils", since="2010"), e("Kei", "TUTORS", "Iva"), e("Mae", "TUTORS", "Lou"),
+         e("Mae", "TUTORS", "Jon"), e("Iva", "USES", "Laser"), e("Jon", "USES", "Laser"), e("Mae", "OWNS", "Laser"), e("Iva", "FROM", "Turin"),
+         e("Lou", "FROM", "Ghent"), e("Kei", "FROM", "Turin"), e("Optics", "AT", "Turin"), e("Soils", "AT", "Ghent"), e("Nils", "VISITS", "Acoustics")],
+        "rank long, opened long", "since string",
     )
 
 
-def test_two_hops(org):
-    m = org.match().node("p", "Person").out("WORKS_FOR").node("c", "Company").out("LOCATED_IN").node("city").df()
-    assert rows(m, "p_name", "c_name", "city_name") == [("Alice", "TechCorp", "NYC"), ("Bob", "StartupInc", "San Francisco"), ("Charlie", "TechCorp", "NYC")]
+def test_two_hops(labs):
+    m = labs.match().node("p", "Researcher").out("IN_LAB").node("l", "Lab").out("AT").node("t").df()
+    assert rows(m, "p_name", "l_name", "t_name") == [("Iva", "Optics", "Turin"), ("Jon", "Optics", "Turin"), ("Lou", "Soils", "Ghent"), ("Mae", "Soils", "Ghent")]
 
 
-def test_grouping(org):
-    m = org.match().node("m", "Person").out("MANAGES").node("e", "Person").df()
-    assert rows(K.returning(m, "m_name", n=F.count("e_id"))) == [("Charlie", 1), ("Diana", 1)]
-    m = org.match().node("p", "Person").out("WORKS_FOR").node("c", "Company").df()
-    assert rows(K.returning(m, "c_name", n=F.count("p_id"))) == [("MegaCorp", 1), ("StartupInc", 1), ("TechCorp", 2)]
-    assert rows(m.where((c("p_age") > 30) & (c("c_founded") < 2015)), "p_name", "c_name") == [("Charlie", "TechCorp"), ("Eve", "MegaCorp")]
+def test_grouping(labs):
+    m = labs.match().node("m", "Researcher").out("TUTORS").node("e", "Researcher").df()
+    assert rows(K.returning(m, "m_name", n=F.count("e_id"))) == [("Kei", 1), ("Mae", 2)]
+    m = labs.match().node("p", "Researcher").out("IN_LAB").node("l", "Lab").df()
+    assert rows(K.returning(m, "l_name", n=F.count("p_id"))) == [("Acoustics", 1), ("Optics", 2), ("Soils", 2)]
+    assert rows(m.where((c("p_rank") > 2) & (c("l_opened") < 2005)), "p_name", "l_name") == [("Iva", "Optics"), ("Mae", "Soils")]
 
 
-def test_shared_variables(org):
-    colleagues = (
-        org.match().node("a", "Person").out("WORKS_FOR").node("c", "Company").path().node("b", "Person").out("WORKS_FOR").node("c")
+def test_shared_variables(labs):
+    together = (
+        labs.match().node("a", "Researcher").out("IN_LAB").node("l", "Lab").path().node("b", "Researcher").out("IN_LAB").node("l")
         .where(c("a_name") != c("b_name")).df()
     )
-    assert rows(colleagues, "a_name", "c_name", "b_name") == [("Alice", "TechCorp", "Charlie"), ("Charlie", "TechCorp", "Alice")]
-    home = (
-        org.match().node("p", "Person").out("LIVES_IN").node("t").path().node("p").out("WORKS_FOR").node("c").out("LOCATED_IN").node("t").df()
-    )
-    assert rows(home, "p_name", "t_name", "c_name") == [("Alice", "NYC", "TechCorp"), ("Bob", "San Francisco", "StartupInc")]
-
-
-def test_directions_and_edge_filters(org):
-    both = org.match().node("a").either("MANAGES").node("b").df()
-    assert rows(both, "a_name", "b_name") == [("Alice", "Charlie"), ("Bob", "Diana"), ("Charlie", "Alice"), ("Diana", "Bob")]
-    lead = org.match().node("l").out("LEADS").node("pr").into("WORKS_ON", var="w").node("dev").df()
-    assert rows(lead, "l_name", "pr_name", "dev_name") == [("Charlie", "WebApp", "Alice")]
-    assert rows(lead, "w_src", "w_dst") == [(1, 9)]  # stored direction, though matched backwards
-    recent = org.match().node("p").out("WORKS_FOR", var="r").node("c").where(c("r_since") >= "2022").df()
-    assert names(recent, "p_name") == ["Alice", "Bob"]
-    assert names(org.match().node("p").out("WORKS_FOR", since="2018").node().df(), "p_name") == ["Eve"]
-
-
-def test_optional_keeps_rows(org):
-    works = org.match().node("p").out("WORKS_FOR", var="w").node("c", "Company")
-    m = org.match().node("p", "Person").optional(works, where=c("c_founded") > 2000).df()
-    assert rows(m.select("p_name", F.coalesce("c_name", F.lit("-")))) == [
-        ("Alice", "TechCorp"), ("Bob", "StartupInc"), ("Charlie", "TechCorp"), ("Diana", "-"), ("Eve", "-")]
-
-
-def test_exists_and_comprehension(org):
-    people = org.match().node("p", "Person").df()
-    manages = lambda: org.match().node("p").out("MANAGES").node("x")
-    assert names(exists_pattern(people, manages(), ["p"]), "p_name") == ["Charlie", "Diana"]
-    assert names(exists_pattern(people, manages(), ["p"], negate=True), "p_name") == ["Alice", "Bob", "Eve"]
-    lists = pattern_list(people, org.match().node("p").out(["WORKS_FOR", "CONSULTS_FOR"]).node("c"), "p", c("c_name"), "where_to")
+    assert rows(together, "a_name", "l_name", "b_name") == [("Iva", "Optics", "Jon"), ("Jon", "Optics", "Iva"), ("Lou", "Soils", "Mae"), ("Mae", "Soils", "Lou")]
+    home = labs.match().node("p", "Researcher").out("FROM").node("t").path().node("p").out("IN_LAB").node("l").out("AT").node("t").df()
+    assert rows(home, "p_name", "t_name", "l_name") == [("Iva", "Turin", "Optics"), ("Lou", "Ghent", "Soils")]
+
+
+def test_directions_and_edge_filters(labs):
+    both = labs.match().node("a").either("TUTORS").node("b").df()
+    assert rows(both, "a_name", "b_name") == [("Iva", "Kei"), ("Jon", "Mae"), ("Kei", "Iva"), ("Lou", "Mae"), ("Mae", "Jon"), ("Mae", "Lou")]
+    users = labs.match().node("o").out("OWNS").node("d").into("USES", var="w").node("u").df()
+    assert rows(users, "o_name", "d_name", "u_name") == [("Mae", "Laser", "Iva"), ("Mae", "Laser", "Jon")]
+    assert rows(users, "w_src", "w_dst") == [(1, 10), (2, 10)]  # stored direction, though matched backwards
+    recent = labs.match().node("p").out("IN_LAB", var="r").node("l").where(c("r_since") >= "2019").df()
+    assert names(recent, "p_name") == ["Iva", "Jon", "Lou"]
+    assert names(labs.match().node("p").out("IN_LAB", since="2016").node().df(), "p_name") == ["Kei"]
+
+
+def test_optional_keeps_rows(labs):
+    works = labs.match().node("p").out("IN_LAB", var="w").node("l", "Lab")
+    m = labs.match().node("p", "Researcher").optional(works, where=c("l_opened") > 2000).df()
+    assert rows(m.select("p_name", F.coalesce("l_name", F.lit("-")))) == [
+        ("Iva", "-"), ("Jon", "-"), ("Kei", "Acoustics"), ("Lou", "Soils"), ("Mae", "Soils"), ("Nils", "-")]
+
+
+def test_exists_and_comprehension(labs):
+    staff = labs.match().node("p", "Researcher").df()
+    tutors = lambda: labs.match().node("p").out("TUTORS").node("x")
+    assert names(exists_pattern(staff, tutors(), ["p"]), "p_name") == ["Kei", "Mae"]
+    assert names(exists_pattern(staff, tutors(), ["p"], negate=True), "p_name") == ["Iva", "Jon", "Lou", "Nils"]
+    lists = pattern_list(staff, labs.match().node("p").out(["IN_LAB", "VISITS"]).node("l"), "p", c("l_name"), "where_to")
     assert {r.p_name: r.where_to for r in lists.collect()} == {
-        "Alice": ["TechCorp"], "Bob": ["StartupInc"], "Charlie": ["TechCorp"], "Diana": ["StartupInc"], "Eve": ["MegaCorp"]}
+        "Iva": ["Optics"], "Jon": ["Optics"], "Kei": ["Acoustics"], "Lou": ["Soils"], "Mae": ["Soils"], "Nils": ["Acoustics"]}
 
 
 def test_edges_bind_once(plain):
@@ -124,15 +121,20 @@ def test_edges_bind_once(plain):
     assert (1, 1, 1) in rows(free, "a_id", "b_id", "c_id")
 
 
-def test_loose_parts(people, monkeypatch):
-    m = people.match().node("a", "Product").path().node("b", "Company").df()
-    assert m.count() == 9
-    empty = people.match().node("a", "Product").path().node("b", "Nobody").df()
+def test_loose_parts(fleet):
+    m = fleet.match().node("a", "Good").path(on=c("a_price") > c("b_berths")).node("b", "Pier").df()
+    assert rows(m, "a_name", "b_name") == [("Tar", "North pier"), ("Tar", "South pier"), ("Tin", "North pier"), ("Tin", "South pier")]
+    empty = fleet.match().node("a", "Good").path(on=c("a_id") != c("b_id")).node("b", "Nobody").df()
     assert empty.count() == 0 and "b_name" in empty.columns
-    import graphweft.operators.match as match
-
     with pytest.raises(ValueError):
-        match.product(people.nodes, people.nodes, max_rows=2)
+        fleet.match().node("a", "Good").path().node("b", "Pier").df()
+
+
+def test_open_ended_paths_have_no_bound(plain):
+    g = plain(range(13), [(i, i + 1) for i in range(12)])
+    assert expand(g.edges, g.nodes.where("id = 0").select("id"), 1, None).agg(F.max("depth")).first()[0] == 12
+    far = shortest_paths(g.edges, g.nodes.where("id = 0").select("id"))
+    assert (far.count(), far.agg(F.max("depth")).first()[0]) == (12, 12)
 
 
 @pytest.fixture(scope="module")

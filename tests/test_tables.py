@@ -26,34 +26,34 @@ def one(spark, col):
 
 # -- diff and patch --------------------------------------------------------------------------
 @pytest.fixture(scope="module")
-def fruit(spark):
-    schema = "id long, name string, farbe string"
-    a = spark.createDataFrame([(0, "Apfel", "Grün"), (1, "Banane", "Gälb"), (3, "Dattel", "Rot")], schema)
-    b = spark.createDataFrame([(0, "Apfel", "Grün"), (1, "Banane", "Gelb"), (2, "Clementine", "Orange")], schema)
+def stations(spark):
+    schema = "code long, place string, line string, depth double"
+    a = spark.createDataFrame([(40, "Århus", "L2", 12.5), (41, "Łódź", "L7", None), (52, "Évora", "L2", 3.0), (77, "Sète", "L9", 8.25), (90, "Zürich", "L1", 1.0)], schema)
+    b = spark.createDataFrame([(40, "Århus", "L2", 12.5), (41, "Łódź", "L8", 6.0), (77, "Sète", "L9", 8.25), (83, "Kraków", "L3", 0.5), (90, "Zürich", "L1", None), (95, "Åre", None, 4.0)], schema)
     return a, b
 
 
-def test_diff(fruit):
-    a, b = fruit
-    d = {r.id: r for r in sync.diff(a, b, ["id"]).collect()}
-    assert set(d) == {1, 2, 3}
-    assert (d[1].op, d[1].changed, d[1].old.farbe, d[1].new.farbe) == ("UPDATE", ["farbe"], "Gälb", "Gelb")
-    assert (d[2].op, d[2].old, d[2].new.name) == ("INSERT", None, "Clementine")
-    assert (d[3].op, d[3].old.farbe, d[3].new) == ("DELETE", "Rot", None)
-    assert rows(sync.apply_all(a, sync.diff(a, b, ["id"]), ["id"])) == rows(b)
-    assert sync.diff(a, a, ["id"]).count() == 0
-
-
-def test_patch_refuses_what_does_not_fit(fruit, spark):
-    a, b = fruit
-    changes = sync.diff(a, b, ["id"])
-    moved = a.withColumn("farbe", F.when(c("id") == 1, "Blau").otherwise(c("farbe")))
-    result = sync.patch(moved, changes, ["id"])
-    assert [(r.op, r.id) for r in result.conflicts.collect()] == [("UPDATE", 1)]
-    assert rows(result.table) == [(0, "Apfel", "Grün"), (1, "Banane", "Blau"), (2, "Clementine", "Orange")]
+def test_diff(stations):
+    a, b = stations
+    d = {r.code: r for r in sync.diff(a, b, ["code"]).collect()}
+    assert {k: r.op for k, r in d.items()} == {41: "UPDATE", 52: "DELETE", 83: "INSERT", 90: "UPDATE", 95: "INSERT"}
+    assert sorted(d[41].changed) == ["depth", "line"] and (d[41].old.depth, d[41].new.line) == (None, "L8")
+    assert d[90].changed == ["depth"] and d[90].new.depth is None
+    assert (d[83].old, d[95].new.place, d[52].old.place, d[52].new) == (None, "Åre", "Évora", None)
+    assert set(map(tuple, sync.apply_all(a, sync.diff(a, b, ["code"]), ["code"]).collect())) == set(map(tuple, b.collect()))
+    assert sync.diff(b, b, ["code"]).count() == 0
+
+
+def test_patch_refuses_what_does_not_fit(stations, spark):
+    a, b = stations
+    changes = sync.diff(a, b, ["code"])
+    moved = a.where("code <> 52").withColumn("depth", F.when(c("code") == 90, 2.0).otherwise(c("depth")))
+    result = sync.patch(moved, changes, ["code"])
+    assert sorted((r.op, r.code) for r in result.conflicts.collect()) == [("DELETE", 52), ("UPDATE", 90)]
+    assert {r.code: r.depth for r in result.table.collect()} == {40: 12.5, 41: 6.0, 77: 8.25, 83: 0.5, 90: 2.0, 95: 4.0}
     with pytest.raises(ValueError):
-        sync.apply_all(moved, changes, ["id"])
-    assert sorted((r.op, r.id) for r in sync.patch(b, changes, ["id"]).conflicts.collect()) == [("DELETE", 3), ("INSERT", 2), ("UPDATE", 1)]
+        sync.apply_all(moved, changes, ["code"])
+    assert sorted((r.op, r.code) for r in sync.patch(b, changes, ["code"]).conflicts.collect()) == [("DELETE", 52), ("INSERT", 83), ("INSERT", 95), ("UPDATE", 41), ("UPDATE", 90)]
 
 
 def test_diff_nulls_and_keys(spark):
@@ -90,7 +90,7 @@ def pair(make):
 
 
 def test_match_create_delete(pair):
-    a = pair.match().node("a", name="Alice").path().node("b", name="Bob").df()
+    a = pair.match().node("a", name="Alice").path(on=c("a_id") != c("b_id")).node("b", name="Bob").df()
     g = D.create_edges(pair, a, "a_id", "b_id", "KNOWS", ["a_id"])
     assert (g.nodes.count(), g.edges.count()) == (2, 1)
     none = pair.match().node("a", name="Nobody").df()
@@ -133,10 +133,8 @@ def test_eav_and_json(make, spark):
     g = make([("A", ["X", "Y"], {"n": 1, "ok": True}), ("B", "X", {"n": None, "ok": False})], [("A", "E", "B", {"w": 1.5})], "n long, ok boolean", "w double")
     eav = tables.to_eav(g.nodes)
     assert rows(eav.where("key = 'n'"), "entity", "int") == [(1, 1)]
-    labels = g.nodes.select(c("id").alias("node_id"), F.explode("labels").alias("label"))
-    ends = g.edges.select("id", c("src").alias("source_id"), c("dst").alias("target_id"), "type")
-    back = tables.graph_from_eav(g.nodes, labels, ends, [eav], {"name": "string", "n": "bigint", "ok": "boolean"}, "g")
-    assert set(map(str, back.nodes.select("id", "labels", "name", "n", "ok").collect())) == set(map(str, g.nodes.select("id", "labels", "name", "n", "ok").collect()))
+    back = tables.from_eav(eav, {"name": "string", "n": "bigint", "ok": "boolean"})
+    assert set(map(str, back.select("entity", "name", "n", "ok").collect())) == set(map(str, g.nodes.select(c("id").alias("entity"), "name", "n", "ok").collect()))
     assert tables.nodes_to_json(g).where("id = 2").first().json == '{"id":2,"labels":["X"],"properties":{"name":"B","ok":false}}'
     assert tables.edges_to_json(g).first().json == '{"id":1,"type":"E","start":1,"end":2,"properties":{"w":1.5}}'
     assert tables.rows_to_json(spark.createDataFrame([(1, "x")], "a int, b string")).first().json == '{"a":1,"b":"x"}'
@@ -157,6 +155,10 @@ def test_feed_is_idempotent_and_ordered(spark):
     assert rows(feed.table()) == want
     feed.compact()
     assert rows(feed.table()) == want
+    feed.apply(spark.createDataFrame([("UPDATE", 9, 1, "newest")], schema), 2)
+    again = FeedTable(spark, feed.folder, ["k"], start)  # a restart finds base and changes
+    again.apply(spark.createDataFrame([("INSERT", 10, 4, "e")], schema), 3)
+    assert rows(again.table()) == [(1, "newest"), (3, "d"), (4, "e")]
 
 
 def test_edge_merge_stream(spark):

@@ -116,14 +116,11 @@ def test_filters_come_first(many, spark):
     assert [r.id for r in near] == [int(i) for i in np.argsort(d, kind="stable") if 0 < d[i] <= 4.0]
 
 
-@pytest.mark.parametrize("blocks", [False, True])
+@pytest.mark.parametrize("chunk", [None, 64])
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-def test_batches(many, metric, blocks, monkeypatch):
+def test_batches(many, metric, chunk):
     m, df = many
-    import graphweft.operators.knn as module
-
-    monkeypatch.setattr(module.block_pairs, "__defaults__", (False, 64))  # several blocks per side
-    got = knn_join(df, df, 4, metric, force_blocks=blocks, skip_self=False)
+    got = knn_join(df, df, 4, metric, chunk_rows=chunk, skip_self=False)
     found = {}
     for r in got.orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append(r.id)
@@ -145,15 +142,15 @@ def test_ivf(many, spark):
     nearest = np.sqrt(((m[:, None] - centres[None]) ** 2).sum(2)).argmin(1)
     assert {r.id: r.cell for r in index.select("id", "cell").collect()} == dict(enumerate(nearest.tolist()))
     exact = rows(knn_join(df, df, 3), "query_id", "id")
-    for blocks in (False, True):
-        assert rows(ivf.search(df, index, centres, 3, nprobe=8, force_blocks=blocks), "query_id", "id") == exact
-        few = rows(ivf.search(df, index, centres, 3, nprobe=2, force_blocks=blocks), "query_id", "id")
+    for chunk in (None, 90):
+        assert rows(ivf.search(df, index, centres, 3, nprobe=8, chunk_rows=chunk), "query_id", "id") == exact
+        few = rows(ivf.search(df, index, centres, 3, nprobe=2, chunk_rows=chunk), "query_id", "id")
         assert len(set(few) & set(exact)) >= 0.5 * len(exact)
     assert rows(ivf.search(df, ivf.clear(index), centres, 3, nprobe=1), "query_id", "id") == exact  # unassigned rows are always read
     assert rows(ivf.search(df, ivf.assign(df, None), centres, 3, 1), "query_id", "id") == exact
-    for blocks in (False, True):
+    for chunk in (None, 90):
         for kind, oversample in (("int8", 16), ("binary", 100)):  # 300 candidates are all rows
-            found = ivf.search(df, index, centres, 3, 8, quantizer=kind, oversample=oversample, force_blocks=blocks)
+            found = ivf.search(df, index, centres, 3, 8, quantizer=kind, oversample=oversample, chunk_rows=chunk)
             assert rows(found, "query_id", "id") == exact
 
 
@@ -177,10 +174,26 @@ def test_table_changes(spark, sample):
     assert rows(S.delete(sample, spark.createDataFrame([(1,), (1,)], "id long")), "id") == [(2,), (3,), (4,)]
 
 
-def test_neighbour_graph_of_a_large_table(many, monkeypatch):
+def test_rescore_has_no_bound(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(6000, 4)))], "id long, embedding array<double>")
+    assert rescore(add_codes(df, "int8"), [0.0] * 4, 5000, "int8", oversample=1).count() == 5000
+
+
+def test_cells_in_blocks(many, monkeypatch):
     m, df = many
-    monkeypatch.setattr(neighbour_graph, "small_enough", lambda *a: False)  # candidates by inverted file
-    graph, start = neighbour_graph.build(df, degree=12, beam=24, hubs=8)
+    centres = m[::3] + 0.25
+    whole = rows(ivf.assign(df, centres), "id", "cell")
+    monkeypatch.setattr(ivf, "_CENTRES_AT_ONCE", 7)
+    assert rows(ivf.assign(df, centres), "id", "cell") == whole
+    wanted = np.argsort(np.sqrt(((m[:, None] - centres[None]) ** 2).sum(2)), axis=1, kind="stable")[:, :4]
+    got = df.select("id", ivf.cell_of(c("embedding"), centres, "l2", 4).alias("n")).collect()
+    assert {r.id: r.n for r in got} == dict(enumerate(wanted.tolist()))
+
+
+def test_neighbour_graph_from_exact_candidates(many):
+    m, df = many
+    graph, start = neighbour_graph.build(df, degree=12, beam=24, hubs=8, candidates=knn_join(df, df, 24, skip_self=True))
     found = rows(neighbour_graph.search(df, graph, start, df, 5, beam=64), "query_id", "id")
     exact = rows(knn_join(df, df, 5), "query_id", "id")
     assert len(set(found) & set(exact)) >= 0.9 * len(exact)
