@@ -41,7 +41,7 @@ SHINGLE = 5
 NEAR = 0.8
 BANDS, ROWS = 24, 6
 MARGIN = 0.1
-BLOCK = 64  # rows of a bucket that meet as many others at a time
+BLOCK = 256  # rows of a bucket that meet as many others at a time
 _UNIT = 2.0**-53
 
 
@@ -132,10 +132,14 @@ def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, row
     ids, kinds = ([t[c].to_numpy() for t in (left, right)] for c in ("node", "class"))
     band = left["band"][0].as_py()
     one, two = (t["signs"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, bands * rows) for t in (left, right))
-    same = one[:, None] == two[None]
-    shared = same.reshape(len(one), len(two), bands, rows).all(3)
-    fits = (same.sum(2) >= (near - MARGIN) * bands * rows) & shared.any(2) & (shared.argmax(2) == band)
-    i, j = np.nonzero(fits & (kinds[0][:, None] != kinds[1]))
+    found = []
+    for at in range(0, len(one), 16):
+        same = one[at : at + 16, None] == two[None]
+        shared = same.reshape(-1, len(two), bands, rows).all(3)
+        fits = (same.sum(2) >= (near - MARGIN) * bands * rows) & shared.any(2) & (shared.argmax(2) == band)
+        some = np.nonzero(fits & (kinds[0][at : at + 16, None] != kinds[1]))
+        found.append((some[0] + at, some[1]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     value = [np.zeros(0)]
     texts = [t["text"].combine_chunks() for t in (left, right)]
     for at in range(0, len(i), 512):
