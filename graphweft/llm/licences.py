@@ -1,8 +1,8 @@
 """Licence scans: a trained paragraph classifier, in DataFrame functions and Spark ML only.
 
 Paragraphs are the lines of a text. A multinomial logistic regression with an L1 share
-reads the word 1- to ``GRAMS``-grams that occur in the templates and are not function words
-only, and names a licence family or ``unknown``. It is trained on the templates in
+reads the word 1- to ``GRAMS``-grams of the templates that hold a telling word (three
+characters or more, no function word), and names a licence family or ``unknown``. It is trained on the templates in
 several forms, on sentences that only mention licences, and on at most ``SAMPLE`` paragraphs
 of the corpus that resemble no template. A temperature fitted on paragraphs held out of
 the training calibrates the probabilities, that of ``unknown`` among them.
@@ -10,7 +10,7 @@ the training calibrates the probabilities, that of ``unknown`` among them.
 A predicted family stands only if the paragraph also holds at least ``CONFIRM`` of the
 2-grams of one of the family's templates; otherwise it is reported unconfirmed.
 
-A paragraph without any word of the vocabulary has no feature at all, so it has the
+A paragraph without any telling word has no feature at all, so it has the
 intercepts' class, which must be ``unknown`` (checked after training); such paragraphs are
 left out before their n-grams are made. Texts are
 scanned whole. Null, empty and blank texts have no paragraphs; repeated rows repeat their
@@ -132,15 +132,17 @@ def _py_grams(w: list[str], n: int) -> list[str]:
     return [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
 
 
-def vocabulary() -> list[str]:
-    """The n-grams of the templates, without those of function words only."""
-    found = {g for forms in TEMPLATES.values() for t in forms for n in range(1, GRAMS + 1) for g in _py_grams(_py_words(t), n)}
-    return sorted(g for g in found if not set(g.split()) <= set(FUNCTION_WORDS))
+def _telling() -> list[str]:
+    """Words of the templates of three characters or more, one a letter, that are no function words."""
+    found = {w for forms in TEMPLATES.values() for t in forms for w in _py_words(t)} - set(FUNCTION_WORDS)
+    return sorted(w for w in found if len(w) > 2 and any(c.isalpha() for c in w))
 
 
-def _telling() -> list[str]:
-    """Words of the vocabulary without function words."""
-    return sorted({w for g in vocabulary() for w in g.split()} - set(FUNCTION_WORDS))
+def vocabulary() -> list[str]:
+    """The n-grams of the templates that hold a telling word."""
+    found = {g for forms in TEMPLATES.values() for t in forms for n in range(1, GRAMS + 1) for g in _py_grams(_py_words(t), n)}
+    telling = set(_telling())
+    return sorted(g for g in found if telling & set(g.split()))
 
 
 def _strings(values: list[str]) -> Column:
@@ -148,11 +150,11 @@ def _strings(values: list[str]) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``<id_col>, paragraph, content, w`` of the lines that hold a word of the vocabulary; lines are numbered from 0.
+    """``<id_col>, paragraph, content, w`` of the lines that hold a telling word; lines are numbered from 0.
 
-    Texts without any part of such a word between other characters are left out first.
+    Texts without the longest part of any such word between other characters are left out first.
     """
-    parts = sorted({p for w in _telling() for p in w.replace("+", "-").replace(".", "-").split("-") if p} - set(FUNCTION_WORDS))
+    parts = sorted({max(w.replace("+", "-").replace(".", "-").split("-"), key=lambda p: (p not in FUNCTION_WORDS, len(p))) for w in _telling()})
     some = docs.where(F.arrays_overlap(F.split(F.lower(text_col), "[^a-z0-9]+"), _strings(parts)))
     lines = some.select(id_col, F.posexplode(F.split(text_col, r"\r?\n")).alias("paragraph", "content")).withColumn("w", words(F.col("content")))
     return lines.where(F.arrays_overlap("w", _strings(_telling())))
