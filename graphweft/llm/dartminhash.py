@@ -93,16 +93,30 @@ def signatures(owner: np.ndarray, item: np.ndarray, weight: np.ndarray, owners:
     return out
 
 
-def _signed(texts: pa.Array, n: int, bands: int, rows: int) -> list[pa.Array]:
-    """Per text its band hashes and 32 bits of every coordinate, none for texts without shingles."""
+def _coordinates(texts: pa.Array, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of texts, and which of them have any shingle."""
     owner, shingle = words.shingle_hashes(texts, n)
     owner, shingle, times = words.counted(owner, shingle)
-    has = np.bincount(owner, minlength=len(texts)) > 0
-    parts = signatures(owner, shingle, times.astype(float), len(texts), bands * rows).reshape(len(texts), bands, rows)
+    return signatures(owner, shingle, times.astype(float), len(texts), k), np.bincount(owner, minlength=len(texts)) > 0
+
+
+def _lists(x: np.ndarray, has: np.ndarray) -> pa.Array:
+    """Rows as lists, empty where a text has no shingle."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * x.shape[1])]), pa.int32()), pa.array(x[has].ravel()))
+
+
+def _banded(texts: pa.Array, n: int, bands: int, rows: int) -> pa.Array:
+    """A hash per band."""
+    found, has = _coordinates(texts, n, bands * rows)
+    parts = found.reshape(len(texts), bands, rows)
     keys = words.combined(*[parts[:, :, i].ravel() for i in range(rows)], np.tile(np.arange(bands, dtype=np.uint64), len(texts)))
-    keys = keys.view(np.int64).reshape(len(texts), bands)
-    signs = (parts >> np.uint64(32)).astype(np.uint32).view(np.int32).reshape(len(texts), bands * rows)
-    return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * x.shape[1])]), pa.int32()), pa.array(x[has].ravel())) for x in (keys, signs)]
+    return _lists(keys.view(np.int64).reshape(len(texts), bands), has)
+
+
+def _signs(texts: pa.Array, n: int, k: int) -> pa.Array:
+    """32 bits of every coordinate."""
+    found, has = _coordinates(texts, n, k)
+    return _lists((found >> np.uint64(32)).astype(np.uint32).view(np.int32), has)
 
 
 def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -159,10 +173,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _pieces(batch, 8 << 20):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *_signed(part.column(2), n, bands, rows)], ["id", "digest", "bands", "signs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _banded(part.column(2), n, bands, rows)], ["id", "digest", "bands"])
 
-    signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType())).add("signs", T.ArrayType(T.IntegerType()))))
-    nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("signs").alias("signs"))
+    signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType()))))
+    nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -196,7 +210,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     head_class = heads.join(classes.select(F.col("node").alias("head"), F.col("class").alias("head_class")), "head").select("key", "head_class")
     outside = placed.join(head_class, "key").where("class <> head_class").drop("head_class")
     blocks = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("outer")).join(members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("inner")), "key")
-    data = texts.join(nodes.select("node", "signs"), "node")
+    open_nodes = placed.join(blocks.select("key"), "key", "left_semi").select("node").distinct()
+
+    def sign_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _pieces(batch, 8 << 20):
+                yield pa.RecordBatch.from_arrays([*part.columns, _signs(part.column(1), n, bands * rows)], ["node", "text", "signs"])
+
+    data = texts.select("node", "text").join(open_nodes, "node", "left_semi").mapInArrow(sign_whole, "node long, text string, signs array<int>")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         """Each row in its own block, once for every block of the other side."""
