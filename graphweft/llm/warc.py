@@ -9,8 +9,9 @@ write, and their size is bounded by ``ARCHIVE_BYTES`` and one record.
 
 Reading: a record counts only if its member unpacks with the right checksum, it begins
 with a version line, its block is as long as it says and its payload digest agrees.
-After a failed check the reader searches for the next position where a member or version
-line starts a record that passes, takes up there, and reports the bytes between as a gap.
+After a failed check the reader searches all the rest for the next position where a gzip member or
+version line starts a record that passes, takes up there, and reports the bytes between as a gap.
+Neither the start of an archive nor its name says which of the two it holds.
 An archive is read as a whole by one task, so the reader refuses files above
 ``MAX_ARCHIVE_BYTES``, the usual size of a WARC file.
 
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"  # fixed value
 RECORD_END = b"\r\n\r\n"
 VERSION = b"WARC/1."
+GZIP = b"\x1f\x8b\x08"
 MIN_SHARED = 100  # payloads below are never referred to
 ARCHIVE_BYTES = 16 << 20
 MAX_ARCHIVE_BYTES = 1 << 30
@@ -144,7 +146,7 @@ def _plain_at(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
 
 def _member_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes] | str:
     """The gzip member at a position: where it ends, headers (None for an empty member), payload."""
-    if not data.startswith(b"\x1f\x8b\x08", at):
+    if not data.startswith(GZIP, at):
         return "no gzip member"
     unpacker = zlib.decompressobj(31)
     view, block, pos = memoryview(data), [], at
@@ -166,21 +168,27 @@ def _member_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes]
     return found if isinstance(found, str) else (stop, *found)
 
 
+def _any_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes] | str:
+    """The gzip member or plain record at a position."""
+    return _member_at(data, at) if data.startswith(GZIP, at) else _plain_at(data, at)
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
     """Records (offset, length, headers, payload, None) and gaps (offset, length, None, None, problem) in order."""
-    packed = data.find(b"\x1f\x8b\x08", 0, 1 << 16)
-    plain = data.find(VERSION, 0, 1 << 16)
-    gzip = packed >= 0 and (plain < 0 or packed < plain)
-    mark, read = (b"\x1f\x8b\x08", _member_at) if gzip else (VERSION, _plain_at)
     at, bad, problem = 0, None, ""
+    ahead = {GZIP: -1, VERSION: -1}  # next place of each mark; searched for only once passed
     while at < len(data):
-        found = read(data, at)
+        found = _any_at(data, at)
+        if not isinstance(found, str) and found[1] is None and bad is not None and found[0] < len(data) and not data.startswith((GZIP, VERSION), found[0]):
+            found = "empty gzip member in a gap"  # bytes of a damaged payload
         if isinstance(found, str):
             if bad is None:
                 bad, problem = at, found
-            at = data.find(mark, at + 1)
-            if at < 0:
-                at = len(data)
+            for mark, place in ahead.items():
+                if place <= at:
+                    place = data.find(mark, at + 1)
+                    ahead[mark] = place if place >= 0 else len(data)
+            at = min(ahead.values())
             continue
         if bad is not None:
             yield bad, at - bad, None, None, problem

@@ -1,6 +1,7 @@
 """The operators on small made cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import gzip
+import hashlib
 import random
 
 import numpy as np
@@ -85,6 +86,29 @@ def test_warc_salvage(packed):
     assert list(warc.salvage(b"")) == []
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_warc_salvage_behind_long_leading_damage(packed):
+    rng = random.Random(11)
+
+    def record(i, body):
+        whole = warc._record(str(i), "u", body, len(body), hashlib.sha256(body).hexdigest(), None, "d") + warc.RECORD_END
+        return warc._member(whole) if packed else whole
+
+    parts = [record(0, rng.randbytes(100_000))] + [record(i, f"payload {i}".encode()) for i in range(1, 4)]
+    rest, n = b"".join(parts[1:]), len(parts[0])
+    ids = [f"<urn:row:{i}>" for i in range(1, 4)]
+    broken = bytes([parts[0][0] ^ 0x55]) + parts[0][1:]  # its mark is damaged, the next is 100 000 bytes on
+    for lead in (bytes(100_000), broken):
+        found = list(warc.salvage(lead + rest))
+        assert [(r[0], r[1]) for r in found if r[4]] == [(0, len(lead))] and [r[2]["warc-record-id"] for r in found if r[2]] == ids
+    # a gzip file in the payload of a damaged first record does not decide the kind
+    for inner in (gzip.compress(b"a page"), gzip.compress(b"")):
+        first = bytearray(record(0, b"x" * 50 + inner + b"y" * 50))
+        first[0] ^= 0x55
+        found = list(warc.salvage(bytes(first) + rest))
+        assert [(r[0], r[1]) for r in found if r[4]] == [(0, len(first))] and [r[2]["warc-record-id"] for r in found if r[2]] == ids
+
+
 # 2
 
 def test_sketches(spark, odd, none):
