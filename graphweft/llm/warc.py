@@ -11,7 +11,9 @@ Reading: a record counts only if its member unpacks with the right checksum, it
 with a version line, its block is as long as it says and its payload digest agrees.
 After a failed check the reader searches all the rest for the next position where a gzip member or
 version line starts a record that passes, takes up there, and reports the bytes between as a gap.
-Neither the start of an archive nor its name says which of the two it holds.
+Neither the start of an archive nor its name says which of the two it holds. A member that
+unpacks is read to its end: all its records count, and what does not parse in it is a gap with
+the member's place. It is unpacked as a whole, so memory holds the archive and one member.
 An archive is read as a whole by one task, so the reader refuses files above
 ``MAX_ARCHIVE_BYTES``, the usual size of a WARC file.
 
@@ -25,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -144,8 +146,14 @@ def _plain_at(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     return found if isinstance(found, str) else (stop + 4, *found)
 
 
-def _member_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes] | str:
-    """The gzip member at a position: where it ends, headers (None for an empty member), payload."""
+def _record_at(data: bytes, at: int) -> tuple[int, list[tuple]] | str:
+    """The same in the form ``_walk`` takes."""
+    found = _plain_at(data, at)
+    return found if isinstance(found, str) else (found[0], [(*found[1:], None)])
+
+
+def _member_at(data: bytes, at: int) -> tuple[int, bytes] | str:
+    """The gzip member at a position: where it ends, what it holds."""
     if not data.startswith(GZIP, at):
         return "no gzip member"
     unpacker = zlib.decompressobj(31)
@@ -158,28 +166,36 @@ def _member_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes]
         return f"gzip: {e}"
     if not unpacker.eof:
         return "gzip member cut off"
-    stop = min(pos, len(data)) - len(unpacker.unused_data)
-    whole = b"".join(block)
-    if not whole:
-        return stop, None, b""
-    if not whole.endswith(RECORD_END):
-        return "no end of record"
-    found = _parse(whole[:-4])
-    return found if isinstance(found, str) else (stop, *found)
+    return min(pos, len(data)) - len(unpacker.unused_data), b"".join(block)
+
+
+def _packed_at(data: bytes, at: int) -> tuple[int, list[tuple]] | str:
+    """The gzip member at a position: where it ends, its records and gaps (headers, payload, problem); one without any record is a problem."""
+    member = _member_at(data, at)
+    if isinstance(member, str):
+        return member
+    stop, whole = member
+    inside = [
+        (head, body, problem and f"{problem}: bytes {begin} to {begin + n} of the unpacked member")
+        for begin, n, head, body, problem in _walk(whole, _record_at, (VERSION,))
+    ]
+    if whole and not any(head is not None for head, _, _ in inside):
+        return inside[0][2]
+    return stop, inside
 
 
-def _any_at(data: bytes, at: int) -> tuple[int, dict[str, str] | None, bytes] | str:
-    """The gzip member or plain record at a position."""
-    return _member_at(data, at) if data.startswith(GZIP, at) else _plain_at(data, at)
+def _any_at(data: bytes, at: int) -> tuple[int, list[tuple]] | str:
+    """What starts at a position, a gzip member or a plain record."""
+    return _packed_at(data, at) if data.startswith(GZIP, at) else _record_at(data, at)
 
 
-def salvage(data: bytes) -> Iterator[tuple]:
-    """Records (offset, length, headers, payload, None) and gaps (offset, length, None, None, problem) in order."""
+def _walk(data: bytes, read: Callable[[bytes, int], tuple[int, list[tuple]] | str], marks: tuple[bytes, ...]) -> Iterator[tuple]:
+    """What ``read`` finds from mark to mark, as ``salvage`` yields it."""
     at, bad, problem = 0, None, ""
-    ahead = {GZIP: -1, VERSION: -1}  # next place of each mark; searched for only once passed
+    ahead = dict.fromkeys(marks, -1)  # next place of each mark; searched for only once passed
     while at < len(data):
-        found = _any_at(data, at)
-        if not isinstance(found, str) and found[1] is None and bad is not None and found[0] < len(data) and not data.startswith((GZIP, VERSION), found[0]):
+        found = read(data, at)
+        if not isinstance(found, str) and not found[1] and bad is not None and found[0] < len(data) and not data.startswith(marks, found[0]):
             found = "empty gzip member in a gap"  # bytes of a damaged payload
         if isinstance(found, str):
             if bad is None:
@@ -193,14 +209,22 @@ def salvage(data: bytes) -> Iterator[tuple]:
         if bad is not None:
             yield bad, at - bad, None, None, problem
             bad = None
-        stop, head, body = found
-        if head is not None:
-            yield at, stop - at, head, body, None
+        stop, inside = found
+        for row in inside:
+            yield at, stop - at, *row
         at = stop
     if bad is not None:
         yield bad, len(data) - bad, None, None, problem
 
 
+def salvage(data: bytes) -> Iterator[tuple]:
+    """Records (offset, length, headers, payload, None) and gaps (offset, length, None, None, problem) in order.
+
+    Records and gaps inside a gzip member have the place of the member.
+    """
+    return _walk(data, _any_at, (GZIP, VERSION))
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps of all archives below ``path``, columns as in ``SALVAGED``; ``problem`` is set for gaps."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(

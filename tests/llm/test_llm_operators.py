@@ -109,6 +109,28 @@ def test_warc_salvage_behind_long_leading_damage(packed):
         assert [(r[0], r[1]) for r in found if r[4]] == [(0, len(first))] and [r[2]["warc-record-id"] for r in found if r[2]] == ids
 
 
+def test_warc_members_of_several_records(spark, tmp_path):
+    def record(i):
+        body = f"payload {i}".encode()
+        return warc._record(str(i), "u", body, len(body), hashlib.sha256(body).hexdigest(), None, "d") + warc.RECORD_END
+
+    records = [record(i) for i in range(6)]
+    ids = lambda data: [r[2]["warc-record-id"] for r in warc.salvage(data) if r[2]]
+    all_ids = [f"<urn:row:{i}>" for i in range(6)]
+    one = gzip.compress(b"".join(records))
+    few = [gzip.compress(b"".join(records[i : i + 2])) for i in (0, 2, 4)]
+    assert ids(one) == all_ids and ids(b"".join(few)) == all_ids and not [r for r in warc.salvage(one + b"".join(few)) if r[4]]
+    wrong = gzip.compress(records[0] + records[1].replace(b"payload 1", b"payload x") + records[2])  # packed with a wrong digest
+    found = list(warc.salvage(few[0] + wrong + few[2]))
+    assert [r[2]["warc-record-id"] if r[2] else None for r in found] == [all_ids[0], all_ids[1], all_ids[0], None, all_ids[2], all_ids[4], all_ids[5]]
+    assert found[3][:2] == (len(few[0]), len(wrong)) and "payload digest differs" in found[3][4]
+    hurt = bytearray(b"".join(few))
+    hurt[len(few[0]) + 40] ^= 0x55
+    assert ids(bytes(hurt)) == all_ids[:2] + all_ids[4:]
+    (tmp_path / "a.warc.gz").write_bytes(one)
+    assert sorted(r.id for r in warc.read_archives(spark, str(tmp_path)).collect()) == all_ids
+
+
 # 2
 
 def test_sketches(spark, odd, none):
