@@ -22,7 +22,8 @@ compared one by one as 128-bit hashes in a grouped aggregation instead, which gi
 
 Documents are ordered by id, null last. Null texts are empty; texts shorter than
 ``length`` lose nothing. Rows with the same id are one document for the order: none is
-earlier than another. Texts equal to an earlier one go entirely and are left out early.
+earlier than another. Their texts are told apart by id and digest. Texts equal to an earlier
+one go entirely and are left out early.
 Matches are judged on the input, never across documents, on UTF-8 bytes; a span may
 begin inside a character.
 """
@@ -239,9 +240,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), text.alias("text"))
-    digests = plain.select("doc", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.sha2(text, 256).alias("digest"), text.alias("text"))
+    digests = plain.select("doc", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     first = digests.groupBy("digest").agg(F.min("doc").alias("first"))
+    tag = F.xxhash64("digest").alias("tag")  # tells the texts of one id apart in less room than the digest
     rows = cut(digests.join(first, "digest").select("doc", "digest", "n_bytes", ((F.col("doc") > F.col("first")) & (F.col("n_bytes") >= length)).alias("copy")))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,38 +263,36 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _pieces(batch):
-                owner, start, size, key, times = segments(part.column(1), length)
+                owner, start, size, key, times = segments(part.column(2), length)
                 place = key & ((1 << SIEVE_BITS) - 1)
                 good = (sieve.value[place >> 6] >> (place & 63)) & 1 == 1
-                doc = part.column(0).to_numpy()[owner[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(doc), *[pa.array(c[good]) for c in (start, size, key, times)]], ["doc", "start", "n", "key", "times"])
+                doc, tags = (part.column(i).to_numpy()[owner[good]] for i in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tags), *[pa.array(c[good]) for c in (start, size, key, times)]], ["doc", "tag", "start", "n", "key", "times"])
 
-    met = plain.mapInArrow(sifted, "doc long, start long, n long, key long, times long").join(again, "key", "left_semi")
-    met = _kept_table(met.join(rows.where("copy").select("doc").distinct(), "doc", "left_anti"), "segments")
+    met = plain.select("doc", tag, "text").mapInArrow(sifted, "doc long, tag long, start long, n long, key long, times long").join(again, "key", "left_semi")
+    met = _kept_table(met.join(rows.where("copy").select("doc", tag).distinct(), ["doc", "tag"], "left_anti"), "segments")
     still = met.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
-    listed = met.join(still, "key", "left_semi").groupBy("doc").agg(F.collect_set(F.struct("start", "n", "key")).alias("segments"))
-    held = _kept_table(plain.join(listed, "doc"), "repeats").withColumn("digest", F.sha2("text", 256))  # a list is as long as its document
+    listed = met.join(still, "key", "left_semi").groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "n", "key")).alias("segments"))
+    held = _kept_table(plain.withColumn("tag", tag).drop("digest").join(listed, ["doc", "tag"]), "repeats").withColumn("digest", F.sha2("text", 256))  # a list is as long as its document
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _pieces(batch):
-                lists = part.column(2)
+                lists = part.column(3)
                 flat = lists.flatten()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
                 start, size, key = (flat.field(i).to_numpy() for i in range(3))
-                raw = [t.encode() for t in part.column(1).to_pylist()]
+                raw = [t.encode() for t in part.column(2).to_pylist()]
                 seg = [raw[o][s : s + n + length - 1] for o, s, n in zip(owner.tolist(), start.tolist(), size.tolist(), strict=True)]
                 kind = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in seg]
-                doc = part.column(0).to_numpy()[owner]
-                whole = np.array([len(s) for s in seg]) == size + length - 1  # other texts of the same id may be shorter
-                out = pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(kind, pa.int64()), pa.array(doc), pa.array(start), pa.array(size), pa.array(seg, pa.binary())],
-                    ["key", "kind", "doc", "start", "n", "seg"],
+                doc, tags = (part.column(i).to_numpy()[owner] for i in range(2))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(kind, pa.int64()), pa.array(doc), pa.array(tags), pa.array(start), pa.array(size), pa.array(seg, pa.binary())],
+                    ["key", "kind", "doc", "tag", "start", "n", "seg"],
                 )
-                yield out.filter(pa.array(whole))
 
-    schema = "key long, kind long, doc long, start long, n long, seg binary"
-    places = held.select("doc", "text", "segments").mapInArrow(cut_out, schema)
+    schema = "key long, kind long, doc long, tag long, start long, n long, seg binary"
+    places = held.select("doc", "tag", "text", "segments").mapInArrow(cut_out, schema)
     kinds = places.groupBy("key", "kind").agg(F.min(F.struct("doc", "start")).alias("at"), F.any_value("n").alias("n"), F.any_value("seg").alias("seg"), F.count("*").alias("copies"))
     kinds = _kept_table(kinds.select("key", "kind", F.col("at.doc").alias("doc"), F.col("at.start").alias("start"), "n", "seg", "copies"), "kinds")
     crowded = cut(kinds.groupBy("key").agg(F.count("*").alias("kinds")).where(F.col("kinds") > most).select("key"))
@@ -312,11 +312,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     # the first place of a kind loses the runs, any other place of it everything
     first_place = (F.col("p.doc") == F.col("f.doc")) & (F.col("p.start") == F.col("f.start"))
     gone = places.drop("seg").alias("p").join(found.alias("f"), ["key", "kind"]).select(
-        F.col("p.doc").alias("doc"), F.col("p.start").alias("start"),
+        F.col("p.doc").alias("doc"), F.col("p.tag").alias("tag"), F.col("p.start").alias("start"),
         F.explode(F.when(first_place, F.col("runs")).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("p.n").alias("b"))))).alias("run"),
     )
-    spans = gone.groupBy("doc").agg(F.collect_list(F.struct((F.col("start") + F.col("run.a")).alias("a"), (F.col("start") + F.col("run.b") + (length - 1)).alias("b"))).alias("spans"))
-    lost = held.select("doc", "digest", "text").dropDuplicates(["doc", "digest"]).join(spans, "doc")
+    spans = gone.groupBy("doc", "tag").agg(F.collect_list(F.struct((F.col("start") + F.col("run.a")).alias("a"), (F.col("start") + F.col("run.b") + (length - 1)).alias("b"))).alias("spans"))
+    lost = held.select("doc", "tag", "digest", "text").dropDuplicates(["doc", "tag"]).join(spans, ["doc", "tag"]).drop("tag")
     return rows, lost.withColumn("spans", _united(F.col("spans"), F.octet_length("text")))
 
 

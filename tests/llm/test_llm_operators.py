@@ -387,6 +387,20 @@ def test_repeated_bytes(spark, how):
     assert got == plain_repeats(docs, 100)
 
 
+def test_repeated_bytes_of_rows_with_one_id(spark):
+    """Of rows that share an id, null or repeated, one is an exact copy and another repeats a part."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    first, second = text(400), text(300)
+    docs = [(1, first), (2, second), (9, second), (9, text(80) + first[50:250] + text(60)), (9, text(150)), (None, first), (None, text(30) + second[:180] + text(50)), (None, text(40) + first[200:] + "é"), (None, text(200))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    numbered = [(99 if d is None else d, t) for d, t in docs]
+    got = sorted((99 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in suffixes.digests(df).collect())
+    assert got == plain_repeats(numbered, 100) and sum(n > 0 for _, _, n, _ in got) == 5
+    left = "\n".join(r.text for r in suffixes.remove(df).where("doc_id is null or doc_id > 2").collect())
+    assert first[60:240] not in left and second[10:170] not in left and first[210:390] not in left
+
+
 def test_repeated_bytes_of_odd_rows(spark, odd, none):
     got = suffixes.digests(odd)
     assert got.count() == odd.count()
