@@ -1,8 +1,8 @@
 """Licence scans: a trained paragraph classifier, in DataFrame functions and Spark ML only.
 
 Paragraphs are the lines of a text. A multinomial logistic regression with an L1 share
-reads the word 1- to ``GRAMS``-grams of the templates that hold a telling word (three
-characters or more, no function word), and names a licence family or ``unknown``. It is trained on the templates in
+reads the word 1- to ``GRAMS``-grams of the templates that hold a telling word (no
+function word), and names a licence family or ``unknown``. It is trained on the templates in
 several forms, on sentences that only mention licences, and on at most ``SAMPLE`` paragraphs
 of the corpus that resemble no template. A temperature fitted on paragraphs held out of
 the training calibrates the probabilities, that of ``unknown`` among them.
@@ -132,17 +132,15 @@ def _py_grams(w: list[str], n: int) -> list[str]:
     return [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
 
 
-def _telling() -> list[str]:
-    """Words of the templates of three characters or more, one a letter, that are no function words."""
-    found = {w for forms in TEMPLATES.values() for t in forms for w in _py_words(t)} - set(FUNCTION_WORDS)
-    return sorted(w for w in found if len(w) > 2 and any(c.isalpha() for c in w))
-
-
 def vocabulary() -> list[str]:
-    """The n-grams of the templates that hold a telling word."""
+    """The n-grams of the templates, without those of function words only."""
     found = {g for forms in TEMPLATES.values() for t in forms for n in range(1, GRAMS + 1) for g in _py_grams(_py_words(t), n)}
-    telling = set(_telling())
-    return sorted(g for g in found if telling & set(g.split()))
+    return sorted(g for g in found if not set(g.split()) <= set(FUNCTION_WORDS))
+
+
+def _telling() -> list[str]:
+    """The single words among the features; every n-gram of the vocabulary holds one."""
+    return sorted({w for g in vocabulary() for w in g.split()} - set(FUNCTION_WORDS))
 
 
 def _strings(values: list[str]) -> Column:

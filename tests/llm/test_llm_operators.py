@@ -430,6 +430,18 @@ def test_licences(spark, odd):
     assert licences.scan(df.where("false"), scanner).count() == 0
 
 
+def test_bare_cc_by_lines(spark):
+    """Short words are features too, so notices of nothing else are scored."""
+    corpus = spark.createDataFrame([(1, "a plain line")], "doc_id long, text string")
+    lines = ["(c) 2021 A. Smith, CC BY 4.0", "Text and figures: CC BY 4.0", "Available under CC BY 4.0 terms", "CC BY 4.0", "He came by at 4 and left.", "The cc went out by post."]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    scanner = licences.train(corpus)
+    assert {r.doc_id for r in licences.paragraphs(df, "doc_id", "text").collect()} >= {0, 1, 2, 3, 5}
+    got = {r.doc_id: r.family for r in licences.scan(df, scanner).collect()}
+    assert [got.get(i) for i in range(4)] == ["CC-BY"] * 4 and 4 not in got
+    assert {"cc", "cc by", "by 4.0", "cc by 4.0"} <= set(licences.vocabulary())
+
+
 def test_licence_templates_left_out_of_training(spark):
     """Wordings that the model has not seen, as held-out accuracy."""
     corpus = spark.createDataFrame([(1, "a plain line")], "doc_id long, text string")
