@@ -19,7 +19,8 @@ pair, texts of different classes whose whole signatures agree to at least 0.8 le
 ``MARGIN`` (with likeness 0.8 one pair in a thousand does not) are compared exactly too,
 and only the links leave it.
 
-Result: a row per row of the input with the class, the smallest id of its members. Null
+Result: a row per row of the input with the class, the smallest id of its members. Links
+inside a class are not counted, since pairs that cannot change a class are never compared. Null
 and empty texts are equal; blank texts have no shingles and only equal texts join them.
 Null ids have a class like others, null if all ids in it are null. Repeated rows stay.
 """
@@ -164,7 +165,7 @@ def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, row
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: float = NEAR, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``<id_col>, class_id, copies, links``: members of the class with this very text, and links of the text to others of its class."""
+    """``<id_col>, class_id, copies``: the class, and how many of its members have this very text."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -203,8 +204,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = members.groupBy("key").agg(F.max(F.struct("company", F.expr("-node").alias("m"))).alias("top")).select("key", F.expr("-top.m").alias("head"))
     star = members.join(heads, "key").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     classes = cut(members.select("node").distinct().withColumn("class", F.col("node")))
-    tested = cut(compared(star))
-    classes = _joined(classes, tested.where(F.col("near") >= near))
+    classes = _joined(classes, compared(star).where(F.col("near") >= near))
     # then those outside the head's class meet the other classes of the bucket, block by block
     placed = members.select("key", "band", "node").join(classes, "node")
     head_class = heads.join(classes.select(F.col("node").alias("head"), F.col("class").alias("head_class")), "head").select("key", "head_class")
@@ -236,12 +236,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = met.applyInArrow(meet, "a long, b long, near double")
     more = cut(more.dropDuplicates(["a", "b"]))
     classes = _joined(classes, more)
-    tested = tested.where(F.col("near") >= near).unionAll(more).dropDuplicates(["a", "b"])
-    ends = tested.where(F.col("near") >= near)
-    links = ends.select(F.col("a").alias("node")).unionAll(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
-    labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")).join(links, "node", "left")
+    labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     least = labelled.groupBy("class").agg(F.min("first").alias("class_id"))
-    labelled = labelled.join(least, "class").select("digest", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    labelled = labelled.join(least, "class").select("digest", "class_id", "copies")
     return signed.select(F.col("id").alias(id_col), "digest").join(labelled, "digest").drop("digest")
 
 

@@ -261,6 +261,17 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert len(group) == 1 and len(set(classes.values())) == 21
 
 
+def test_near_classes_do_not_depend_on_the_order_of_rows(spark):
+    """Every column is a fact of the table, none of the comparisons that were made."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:n], f"e{n}", *base[n + 1 :]]) for n in range(0, 200, 20)] + ["another text of seven words in all"] * 3
+    rows = list(enumerate(texts))
+    want = sorted((i, 0 if i < 10 else 10, 1 if i < 10 else 3) for i in range(13))
+    for some in (rows, rows[::-1]):
+        got = dartminhash.near_classes(spark.createDataFrame(some, "doc_id long, text string"))
+        assert got.columns == ["doc_id", "class_id", "copies"] and sorted(map(tuple, got.collect())) == want
+
+
 # 6
 
 def test_vote_model_finds_accuracies():
