@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by merged Burrows-Wheeler transforms.
+"""Removal of repeated byte strings by radix refinement over shard Burrows-Wheeler transforms.
 
 Every byte that a string of ``length`` bytes covers which also starts earlier goes.
 A window (a start and its ``length`` bytes) has a key, the smallest hash of its inner
@@ -8,8 +8,8 @@ Only keys whose inner string occurs more than once can hold a repeat. Their segm
 collection; equal ones are one, with the place of the first.
 
 Segments are dealt to buckets by key. In a bucket, shards of the segments are sorted by
-themselves, to ``CONTEXT`` symbols, into a Burrows-Wheeler transform each. The transforms are merged by
-interleave refinement: the interleave starts as one shard after the other, and in each round
+themselves, to ``CONTEXT`` symbols, into a Burrows-Wheeler transform each. The windows are then
+radix-refined, without the shards' order: they start as one block, and in each round
 a stable pass by the symbols of the transforms it puts together extends the common
 prefix of every block by one. Blocks split at the borders that appear; a suffix alone in
 its block is finished and leaves. After ``length`` rounds the blocks are the repeated
