@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import dartminhash, fingerprint, inner, licences, mixing, pieces, quality, suffixes, urlrules, warc
+from . import audit, dartminhash, fingerprint, inner, language, licences, mixing, pieces, quality, spelling, suffixes, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_language")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from three quarters of the documents; ``accepted`` is false where the margin is narrow."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    languages = language.learn(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), languages).drop("text")
+
+
+@query("op12_filter_audit", audit.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(audit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op13_spelling_variants", spelling.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), slips=spelling.SLIP))
