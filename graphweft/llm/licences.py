@@ -155,7 +155,12 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parts = sorted({max(w.replace("+", "-").replace(".", "-").split("-"), key=lambda p: (p not in FUNCTION_WORDS, len(p))) for w in _telling()})
     some = docs.where(F.arrays_overlap(F.split(F.lower(text_col), "[^a-z0-9]+"), _strings(parts)))
     lines = some.select(id_col, F.posexplode(F.split(text_col, r"\r?\n")).alias("paragraph", "content")).withColumn("w", words(F.col("content")))
-    return lines.where(F.arrays_overlap("w", _strings(_telling())))
+    return _only(lines, F.arrays_overlap("w", _strings(_telling())))
+
+
+def _only(rows: DataFrame, condition: Column) -> DataFrame:
+    """``rows`` that fulfil the condition. The optimizer cannot move it below the columns it reads, so that those are worked out once a row."""
+    return rows.withColumn("_one", F.explode(F.when(condition, F.array(F.lit(1))))).drop("_one")
 
 
 def _let(value: Column, body) -> Column:
@@ -208,7 +213,8 @@ def train(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     built = spark.createDataFrame(rows, "content string, label double")
     # the smallest hashes in each of PARTS parts: the same paragraphs at every run, `sample` at most
     place = F.xxhash64("content")
-    strange = paragraphs(corpus, id_col, text_col).where(F.array_max(similarities(F.col("w")))["similarity"] < CONFIRM / 2).select("content", place.alias("place"))
+    far = F.array_max(similarities(F.col("w")))["similarity"] < CONFIRM / 2
+    strange = _only(paragraphs(corpus, id_col, text_col), far).select("content", place.alias("place"))
     first = F.row_number().over(W.partitionBy(F.pmod("place", F.lit(PARTS))).orderBy("place", "content"))
     strange = cut(strange.withColumn("n", first).where(F.col("n") <= sample // PARTS).select("content", F.lit(0.0).alias("label")))
     plain = spark.createDataFrame([("nothing of the kind", 0.0)] * 50, "content string, label double")
@@ -237,7 +243,7 @@ def scan(docs: DataFrame, scanner: Scanner | None = None, id_col: str = "doc_id"
     scored = scanner.probabilities(paragraphs(docs, id_col, text_col))
     names = F.array(*[F.lit(c) for c in scanner.classes])
     best = scored.withColumn("probability", F.array_max("p")).withColumn("family", F.get(names, F.array_position("p", F.array_max("p")).cast("int") - 1))
-    found = best.where(F.col("family") != UNKNOWN)
+    found = _only(best, F.col("family") != UNKNOWN)
     own = F.filter(similarities(F.col("w")), lambda s: s["family"] == F.col("family"))
     found = found.withColumn("similarity", F.array_max(own)["similarity"])
     return found.select(id_col, "paragraph", "family", "probability", "similarity", (F.col("similarity") >= CONFIRM).alias("confirmed"))
