@@ -4,13 +4,16 @@ Sizes are words. The mix is ``share`` times everything. Sources, ordered by code
 point with null last, take the weights in turn; a target above ``most`` times its
 source's size stops there and the excess is shared anew by weight.
 
+The blocks of the whole mix, ``BLOCK`` words each, go one by one to the source with the highest quotient
+target / (2 a + 1), a being the blocks it has (Sainte-Laguë; ties: code point order), so a source's quota is within a
+block or so of its target, however many shards there are. ``apportion`` finds the quotient at which the blocks
+run out by narrowing an interval over the table of sources and deals the last few in order; no row per block is made.
+
 Documents are dealt to shards of about ``SHARD_DOCS`` rows by a seeded hash, so a
-source that holds a third of all rows is spread over all shards. Within a shard a
-source's part of its target is met by whole blocks of ``BLOCK`` words: the shard's
-blocks go one by one to the source with the highest quotient target / (2 a + 1),
-a being the blocks it has (Sainte-Laguë; ties: code point order). The blocks of
-a source lie along its documents in seeded order; a quota above the source's size in
-the shard takes whole passes first and blocks from the start of the order then.
+source that holds a third of all rows is spread over all shards. A shard's quota of a source is the difference of the
+source's quota at the words before and after the shard, rounded down: whole words that add up to the quota. The quota
+lies along the source's documents in seeded order; one above the source's size in
+the shard takes whole passes first and words from the start of the order then.
 
 Nulls: a null source is a source, a null text has size 0, a null id is ordinary.
 Repeated rows are separate documents. An empty table gives an empty result.
@@ -18,13 +21,14 @@ Repeated rows are separate documents. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..ordered import dense_number
+from ..ordered import dense_number, running_sum
 from ..session import cut
 from .common import WORD, count_words, groups_for
 
@@ -54,6 +58,39 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     return ranked.select("source", "source_size", F.when(capped, F.lit(most) * F.col("source_size")).otherwise(F.col("_w") * F.lit(level)).cast("double").alias("target"))
 
 
+def apportion(targets: DataFrame, block: int = BLOCK, most: float = 2.0) -> DataFrame:
+    """``source, source_size, target, _words``: the words of every source's blocks, at most ``most`` times its size."""
+    targets = cut(targets)
+    total, high = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0)), F.max("target")).first()
+    blocks = math.floor(total / block + 0.5)
+
+    def above(quotient: Column) -> Column:
+        """How many of the source's quotients lie above this one."""
+        return F.greatest(F.ceil((F.col("target") / quotient - 1) / 2), F.lit(0)).cast("long")
+
+    # at `least` the blocks do not suffice, at `high` they do; until no source has two quotients between
+    high, least = 2.0 * (high or 1.0), 0.0
+    for _ in range(64):
+        spread = [least + (high - least) * i / 32 for i in range(1, 32)]
+        counts = targets.agg(*[F.sum(above(F.lit(q))) for q in spread]).first() if blocks else []
+        fits = [q for q, n in zip(spread, counts, strict=False) if n <= blocks]
+        tight = [q for q, n in zip(spread, counts, strict=False) if n > blocks]
+        narrower = (max(tight, default=least), min(fits, default=high))
+        if not blocks or narrower == (least, high):
+            break
+        least, high = narrower
+        if least and targets.where(above(F.lit(least)) - above(F.lit(high)) > 1).isEmpty():
+            break
+    given = targets.withColumn("_given", above(F.lit(high)) if blocks else F.lit(0).cast("long"))
+    left = blocks - (given.agg(F.sum("_given")).first()[0] or 0)
+    following = given.where(above(F.lit(least)) > F.col("_given")) if blocks and least else given.where("false")
+    last = dense_number(following.withColumn("_quotient", F.col("target") / (2 * F.col("_given") + 1)), [F.desc("_quotient"), F.col("source").asc_nulls_last()], "_n").where(F.col("_n") <= left)
+    one_more = last.select(F.col("source").alias("_source"), F.lit(1).cast("long").alias("_more"))
+    joined = given.join(one_more, F.col("source").eqNullSafe(F.col("_source")), "left")
+    words = F.least((F.col("_given") + F.coalesce("_more", F.lit(0))) * block, F.floor(F.lit(most) * F.col("source_size")))
+    return cut(joined.select("source", "source_size", "target", words.cast("long").alias("_words")))
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS,
     share: float = 1.5, most: float = 2.0, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: str = SEED, keep: tuple[str, ...] = (),
@@ -69,22 +106,15 @@ def mix(
         _seeded(F.col(id_col), seed).alias("_seed"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
     ).withColumn("_shard", F.pmod(F.conv(F.substring("_seed", 1, 8), 16, 10).cast("long"), F.lit(shards)))
     cells = cut(rows.groupBy("_shard", "source").agg(F.sum("size").alias("_cell")))
-    targets = cut(source_targets(cells.groupBy("source").agg(F.sum("_cell").alias("source_size")), weights, share, most))
-    wanted = cells.alias("c").join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))).select(
-        "c._shard", "c.source", "c._cell", "t.source_size", "t.target",
-        F.when(F.col("source_size") > 0, F.col("target") * F.col("_cell") / F.col("source_size")).otherwise(0.0).alias("_want"),
-    )
-    in_shard = W.partitionBy("_shard")
-    wanted = wanted.withColumn("_blocks", F.floor(F.sum("_want").over(in_shard.orderBy(F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)) / block + 0.5))
-    quotients = wanted.where("_want > 0").select(
-        "_shard", "source", "_blocks", "_want", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(most) * F.col("_cell") / block))).alias("_a")
-    ).withColumn("_quotient", F.col("_want") / (2 * F.col("_a") + 1))
-    best = F.row_number().over(in_shard.orderBy(F.desc("_quotient"), F.col("source").asc_nulls_last()))
-    quota = quotients.withColumn("_n", best).where("_n <= _blocks").groupBy("_shard", "source").agg(F.count("*").alias("_quota"))
+    targets = source_targets(cells.groupBy("source").agg(F.sum("_cell").alias("source_size")), weights, share, most)
+    quotas = apportion(targets, block, most)
+    # a hot source has a cell in every shard; the sum runs over ranges of cells
+    summed = running_sum(cells.withColumn("_named", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit(""))), ["_named", "source"], ["_shard"], F.col("_cell"), "_upto")
+    summed = summed.withColumn("source", F.when(F.col("_named"), F.col("source")))
+    part = lambda words: F.call_function("div", F.col("_words").cast("decimal(19,0)") * words.cast("decimal(19,0)"), F.greatest(F.col("source_size"), F.lit(1)).cast("decimal(19,0)"))
     quota = cut(
-        wanted.alias("c").join(quota.alias("q"), (F.col("c._shard") == F.col("q._shard")) & F.col("c.source").eqNullSafe(F.col("q.source")), "left").select(
-            "c._shard", "c.source", "c._cell", "c.source_size", "c.target",
-            F.least(F.coalesce("q._quota", F.lit(0)) * block, F.floor(F.lit(most) * F.col("c._cell"))).alias("_quota"),
+        summed.alias("c").join(quotas.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))).select(
+            "c._shard", "c.source", "c._cell", "t.source_size", "t.target", (part(F.col("_upto")) - part(F.col("_upto") - F.col("_cell"))).cast("long").alias("_quota")
         )
     )
     inside = W.partitionBy("_shard", "source").orderBy("_seed", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
@@ -129,21 +159,21 @@ levels AS (
   FROM ranked WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST)),
 level AS (SELECT try_level AS l FROM levels WHERE w * try_level <= 2.0::DOUBLE * source_size ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST LIMIT 1),
 targets AS (SELECT source, source_size, CASE WHEN w * l > 2.0::DOUBLE * source_size THEN 2.0::DOUBLE * source_size ELSE w * l END AS target FROM ranked, level),
-cells AS (SELECT shard, source, sum(size)::BIGINT AS cell FROM rows GROUP BY shard, source),
-wanted AS (
-  SELECT shard, c.source, cell, source_size, target, CASE WHEN source_size > 0 THEN target * cell / source_size ELSE 0 END AS want
-  FROM cells c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source),
-blocks AS (SELECT *, floor(sum(want) OVER (PARTITION BY shard ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) / 64 + 0.5::DOUBLE) AS blocks FROM wanted),
+total AS (SELECT floor(sum(target) / 64 + 0.5::DOUBLE) AS blocks FROM targets),
 quotients AS (
-  SELECT shard, source, blocks, want / (2 * a + 1) AS quotient
-  FROM (SELECT *, unnest(range(0, ceil(2.0::DOUBLE * cell / 64)::BIGINT + 1)) AS a FROM blocks WHERE want > 0)),
+  SELECT source, target / (2 * a + 1) AS quotient
+  FROM (SELECT *, unnest(range(0, ceil(2.0::DOUBLE * target / 64)::BIGINT + 2)) AS a FROM targets WHERE target > 0)),
 quota AS (
-  SELECT shard, source, count(*) AS quota
-  FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY quotient DESC, source NULLS LAST) AS k FROM quotients) WHERE k <= blocks GROUP BY shard, source),
+  SELECT source, count(*) AS quota
+  FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, source NULLS LAST) AS k FROM quotients), total WHERE k <= blocks GROUP BY source),
+words AS (
+  SELECT t.source, source_size, target, least(coalesce(q.quota, 0) * 64, 2 * source_size)::HUGEINT AS words
+  FROM targets t LEFT JOIN quota q ON t.source IS NOT DISTINCT FROM q.source),
+cells AS (SELECT shard, source, cell, (sum(cell) OVER (PARTITION BY source ORDER BY shard))::HUGEINT AS upto FROM (SELECT shard, source, sum(size)::BIGINT AS cell FROM rows GROUP BY shard, source)),
 placed AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY shard, source ORDER BY seed, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM rows),
 cut AS (
-  SELECT w.*, least(coalesce(q.quota, 0) * 64, 2 * cell)::BIGINT AS words
-  FROM wanted w LEFT JOIN quota q ON w.shard = q.shard AND w.source IS NOT DISTINCT FROM q.source)
+  SELECT c.*, source_size, target, (words * upto // greatest(source_size, 1) - words * (upto - cell) // greatest(source_size, 1))::BIGINT AS words
+  FROM cells c JOIN words w ON c.source IS NOT DISTINCT FROM w.source)
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE (words // cell) * size + greatest(0, least(size, words % cell - before)) END::BIGINT AS taken
 FROM placed p JOIN cut c ON p.shard = c.shard AND p.source IS NOT DISTINCT FROM c.source
