@@ -31,28 +31,24 @@ def betweenness(graph: Graph, sources: DataFrame | None = None) -> DataFrame:
     edges = graph.edges.where("src <> dst").select("src", "dst")
     forward = Fanout(edges)
     backward = Fanout(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    levels = search_levels(forward, graph.nodes.select("id") if sources is None else sources)
-    below = levels[-1].withColumn("delta", F.lit(0.0))
-    parts = []
-    for depth in range(len(levels) - 2, 0, -1):
+    search = search_levels(forward, graph.nodes.select("id") if sources is None else sources)
+    # what a level owes the nodes before it is added up per node as soon as it is known
+    total = graph.nodes.select("id", F.lit(0.0).alias("score"))
+    below = search.at(search.depth).withColumn("delta", F.lit(0.0))
+    for depth in range(search.depth - 1, 0, -1):
         sent = backward.send(below.select("source", "id", ((1.0 + F.col("delta")) / F.col("sigma")).alias("share")))
         summed = sent.groupBy("source", F.col("dst").alias("id")).agg(F.sum("share").alias("share"))
-        here = levels[depth].join(summed, ["source", "id"], "left")
+        here = search.at(depth).join(summed, ["source", "id"], "left")
         below = cut(here.select("source", "id", "sigma", (F.col("sigma") * F.coalesce("share", F.lit(0.0))).alias("delta")))
-        parts.append(below.select("id", "delta"))
-    total = graph.nodes.select("id", F.lit(0.0).alias("delta"))
-    for p in parts:
-        total = total.unionAll(p)
-    return total.groupBy("id").agg(F.sum("delta").alias("score"))
+        total = cut(total.unionAll(below.select("id", "delta")).groupBy("id").agg(F.sum("score").alias("score")))
+    return total
 
 
 def closeness(graph: Graph) -> DataFrame:
     """``id, score``: sum of 1/distance over the undirected view, divided by n − 1."""
     simple = symmetric(graph.edges.where("src <> dst").select("src", "dst").distinct()).distinct()
-    levels = search_levels(Fanout(simple), graph.nodes.select("id"))
+    search = search_levels(Fanout(simple), graph.nodes.select("id"))
     n = graph.nodes.count()
     # the view is undirected, so summing per reached node equals summing per source
-    total = graph.nodes.select("id", F.lit(0.0).alias("s"))
-    for depth, level in enumerate(levels[1:], start=1):
-        total = total.unionAll(level.select("id", F.lit(1.0 / depth).alias("s")))
-    return total.groupBy("id").agg((F.sum("s") / max(n - 1, 1)).alias("score"))
+    reached = search.pairs().where("depth > 0").select("id", (1.0 / F.col("depth")).alias("s"))
+    return graph.nodes.select("id", F.lit(0.0).alias("s")).unionAll(reached).groupBy("id").agg((F.sum("s") / max(n - 1, 1)).alias("score"))

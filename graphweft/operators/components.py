@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import skew
 from ..graph import Graph
-from ..session import cut
+from ..session import cut, settle
 from ..skew import Fanout
 
+FOLD_FROM = 20  # folding pays where more than one node in so many has a single exit
+
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
     """Row count and an order-free hash of the rows."""
@@ -48,52 +52,152 @@ def wcc(graph: Graph, chunk: int | None = None) -> DataFrame:
     return graph.nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
+def _jumped(pointers: DataFrame, steps: int, **carried: str) -> DataFrame:
+    """``id, at`` after ``2 ** steps`` steps along ``pointers(id, at)``; where a pointer ends, it stays.
+
+    Each round joins the pointers with themselves, which doubles what one covers. ``carried`` columns become their minimum over all nodes passed.
+    """
+    for _ in range(steps):
+        nxt = pointers.select(F.col("id").alias("at"), F.col("at").alias("_to"), *[F.col(c).alias(f"_{c}") for c in carried])
+        pointers = settle(
+            pointers.join(nxt, "at", "left").select("id", F.coalesce("_to", "at").alias("at"), *[F.least(c, f"_{c}").alias(c) for c in carried])
+        )
+    return pointers
+
+
+class _Folded:
+    """Nodes with a single out-edge, taken into the node at which their way ends.
+
+    A cycle through such a node also passes that end, so the node is in the end's component if something of this component
+    leads to it, and alone otherwise (``unfold``). Ways that never end lead into rings, which are components.
+    """
+
+    def __init__(self, edges: DataFrame, single: DataFrame, forward: bool):
+        """``single(id, at)``: the nodes and their successors, seen in the given direction."""
+        self.forward, self.single = forward, settle(single)
+        n = self.single.count()
+        self.steps = n.bit_length()
+        ways = _jumped(self.single.withColumn("least", F.least("id", "at")), self.steps, least="")
+        ids = self.single.select(F.col("id").alias("at"))
+        endless = ways.join(ids, "at", "left_semi")
+        ring = endless.select(F.col("at").alias("id")).distinct()
+        rings = endless.join(ring, "id", "left_semi").select("id", F.col("least").alias("component"))
+        alone = endless.join(ring, "id", "left_anti").select("id", F.col("id").alias("component"))
+        #: components that are complete by now
+        self.done = settle(rings.unionAll(alone))
+        self.ends = settle(ways.join(ids, "at", "left_anti").select("id", "at"))
+        taken = self.single.select("id")
+        back = self._turned(edges)
+        rest = back.join(taken.withColumnRenamed("id", "src"), "src", "left_anti")
+        ends = self.ends.select(F.col("id").alias("dst"), F.col("at").alias("_end"))
+        gone = self.done.select(F.col("id").alias("dst"))
+        placed = rest.join(gone, "dst", "left_anti").join(ends, "dst", "left")
+        #: edges that lead into the folded nodes
+        self.entries = settle(placed.where("_end is not null").select("src", "dst"))
+        self.edges = settle(self._turned(placed.select("src", F.coalesce("_end", "dst").alias("dst")).where("src <> dst").distinct()))
+        self.count = n
+
+    def _turned(self, edges: DataFrame) -> DataFrame:
+        return edges if self.forward else edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+    def unfold(self, known: DataFrame) -> DataFrame:
+        """``known(id, component)`` with the folded nodes added."""
+        if self.ends.isEmpty():
+            return settle(known.unionByName(self.done))
+        ends = self.ends.join(known.select(F.col("id").alias("at"), F.col("component").alias("of_end")), "at").select("id", "of_end")
+        into = self.entries.join(known.select(F.col("id").alias("src"), F.col("component").alias("of_src")), "src").select(F.col("dst").alias("id"), "of_src").distinct()
+        hit = ends.join(into, "id").where("of_src = of_end").select("id").distinct().withColumn("hit", F.lit(True))
+        state = settle(ends.join(self.single.join(self.ends.select("id"), "id"), "id").join(hit, "id", "left").select("id", "at", "of_end", F.coalesce("hit", F.lit(False)).alias("hit")))
+        for _ in range(self.steps):  # whatever is led to leads on: to the next, then two, four ... further
+            passed = state.where("hit").select(F.col("at").alias("id")).distinct().withColumn("_passed", F.lit(True))
+            jump = state.select(F.col("id").alias("at"), F.col("at").alias("_to"))
+            state = settle(
+                state.join(passed, "id", "left").join(jump, "at", "left")
+                .select("id", F.coalesce("_to", "at").alias("at"), "of_end", (F.col("hit") | F.coalesce("_passed", F.lit(False))).alias("hit"))
+            )
+        found = state.select("id", F.when(F.col("hit"), F.col("of_end")).otherwise(F.col("id")).alias("component"))
+        return settle(known.unionByName(found).unionByName(self.done))
+
+
+def _single_exits(edges: DataFrame) -> DataFrame:
+    """``id, at``: nodes with one successor, and that successor; edges are distinct."""
+    return edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("_n"), F.min("dst").alias("at")).where("_n = 1").select("id", "at")
+
+
+def _reversed(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+
 def _spread_min(fan: Fanout, state: DataFrame) -> DataFrame:
-    """Push the smallest label along the edges until nothing changes: ``id, label``."""
-    state = cut(state.select("id", "label", F.lit(True).alias("fresh")))
+    """The least label that reaches each node: ``id, label``; a label is a struct with the ``id`` of the node it began at.
+
+    In every round a node takes the least label of its predecessors, and then the label of its label's node:
+    what reaches that node reaches this one too. So labels travel as far again as they have come, not one edge.
+    """
+    state = settle(state.select("id", "label", F.lit(True).alias("fresh")))
     while True:
-        offers = fan.send(state.where("fresh").select("id", "label")).select(F.col("dst").alias("id"), "label", F.lit(None).cast("bigint").alias("was"))
-        merged = state.select("id", "label", F.col("label").alias("was")).unionAll(offers).groupBy("id").agg(
-            F.min("label").alias("label"), F.min("was").alias("was")
+        offers = fan.send(state.where("fresh").select("id", "label")).select(F.col("dst").alias("id"), "label", F.lit(None).cast(state.schema["label"].dataType).alias("was"))
+        merged = state.select("id", "label", F.col("label").alias("was")).unionAll(offers).groupBy("id").agg(F.min("label").alias("label"), F.min("was").alias("was"))
+        merged = settle(merged.where("was is not null"))
+        # only nodes that have a label of another node are asked for theirs
+        asked = merged.select(F.col("label.id").alias("id")).distinct()
+        better = merged.join(asked, "id", "left_semi").where("label.id <> id").select(F.col("id").alias("_of"), F.col("label").alias("_label"))
+        state = merged.join(better, F.col("label.id") == F.col("_of"), "left").select(
+            "id", F.coalesce("_label", "label").alias("label"), (F.coalesce("_label", "label") < F.col("was")).alias("fresh")
         )
-        state = cut(merged.where("was is not null").select("id", "label", (F.col("label") < F.col("was")).alias("fresh")))
+        state = settle(state)
         if state.where("fresh").isEmpty():
             return state.select("id", "label")
 
 
 def scc(graph: Graph) -> DataFrame:
-    """``id, component``: trimming, then smallest labels spread forward and backward.
+    """``id, component``: folding, trimming, then labels of many pivots spread forward and backward.
+
+    Nodes with a single successor or predecessor are folded into the node at which their way ends, by pointer jumping, so rings,
+    chains and trees go in a number of rounds that follows the logarithm of their length (``_Folded``). Nodes
+    without predecessor or successor are components by themselves.
 
-    ``f`` is the smallest id that reaches a node, ``b`` the smallest it reaches. Where
-    they agree, that id is in the node's component and names it. Members of one
-    component share both, so edges between different pairs are dropped and the rest
-    repeats. A spread takes as many rounds as the longest shortest path.
+    Then every node is a pivot with a seeded random rank: ``f`` is the first rank that reaches a node, ``b`` the first it reaches. Where they
+    agree, the node is in that pivot's component. Members of one component share both, so edges between different pairs are
+    dropped and the rest repeats. Labels travel by pointer jumping as well.
     """
-    nodes = cut(graph.nodes.select("id"))
+    nodes = cut(graph.nodes.select("id").distinct())
     edges = cut(graph.edges.where("src <> dst").select("src", "dst").distinct())
-    done = []
+    done, folded = [], []
     while True:
         # a node without incoming or outgoing edges is a component by itself
         inner = edges.select(F.col("src").alias("id")).distinct().join(edges.select(F.col("dst").alias("id")).distinct(), "id")
         done.append(cut(nodes.join(inner, "id", "left_anti").select("id", F.col("id").alias("component"))))
         nodes = cut(nodes.join(inner, "id", "left_semi"))
-        if nodes.isEmpty():
+        n = nodes.count()
+        if not n:
             break
         edges = cut(_inside(edges, nodes))
-        own = nodes.select("id", F.col("id").alias("label"))
+        for forward in (True, False):
+            single = cut(_single_exits(edges if forward else _reversed(edges)))
+            if single.count() * FOLD_FROM > n:
+                fold = _Folded(edges, single, forward)
+                folded.append(fold)
+                edges = fold.edges
+                nodes = cut(nodes.join(fold.single.select("id"), "id", "left_anti"))
+        if folded and folded[-1].count and edges.isEmpty():
+            continue
+        own = nodes.select("id", F.struct(F.xxhash64("id").alias("rank"), "id").alias("label"))
         f = _spread_min(Fanout(edges, resident=True), own).withColumnRenamed("label", "f")
-        b = _spread_min(Fanout(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), resident=True), own).withColumnRenamed("label", "b")
+        b = _spread_min(Fanout(_reversed(edges), resident=True), own).withColumnRenamed("label", "b")
         pair = cut(f.join(b, "id"))
-        done.append(pair.where("f = b").select("id", F.col("f").alias("component")))
-        rest = pair.where("f <> b")
+        done.append(pair.where("f = b").select("id", F.col("f.id").alias("component")))
+        rest = pair.where("f <> b").select("id", F.col("f.id").alias("f"), F.col("b.id").alias("b"))
         nodes = rest.select("id")
         tail = rest.select(F.col("id").alias("src"), F.struct("f", "b").alias("_s"))
         head = rest.select(F.col("id").alias("dst"), F.struct("f", "b").alias("_d"))
         edges = cut(edges.join(tail, "src").join(head, "dst").where("_s = _d").select("src", "dst"))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionAll(more)
-    return out
+    known = reduce(DataFrame.unionAll, done)
+    for fold in reversed(folded):
+        known = fold.unfold(known)
+    # the smallest member names the component
+    named = known.groupBy("component").agg(F.min("id").alias("_name"))
+    return known.join(named, "component").select("id", F.col("_name").alias("component"))
 
 
 def _inside(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -6,8 +6,11 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut
+from ..ordered import sort_into_ranges
+from ..placed import PlacedTable, levels
+from ..session import cut, new_folder
 from ..skew import Fanout
+from .forest import ways_up
 
 _LAZY_DEPTH = 4  # up to this depth the levels stay one plan; beyond it each level is materialised
 
@@ -56,44 +59,52 @@ def shortest_paths(
 ) -> DataFrame:
     """Shortest path per (start, end) pair with end ≠ start.
 
-    Breadth-first from all ``starts(id)`` at once. A pair is settled at the first
-    level that reaches it, so later levels only carry new pairs. One path per
-    pair (smallest node ids, then edge ids) or, with ``all_ties``, every one.
+    Breadth-first from all ``starts(id)`` at once. A pair is settled at the first level that reaches it and keeps one pointer to
+    the node before it, in a placed table; whole paths are put together at the end. One path per pair (smallest node
+    ids, then edge ids) or, with ``all_ties``, every one.
+
+    Pairs of a level are ranked by the rank of the node before them and their own id. That is the order of their
+    paths, so the smallest rank leads to the smallest path, and no path is carried along.
     """
-    hops = edges.where("src <> dst").select("src", "dst", F.col("id").alias("edge_id"))
-    fan = Fanout(hops)
-    level = cut(
-        starts.select(
-            F.col("id").alias("start"),
-            F.col("id").alias("end"),
-            F.lit(0).alias("depth"),
-            F.array("id").alias("node_ids"),
-            F.array().cast("array<bigint>").alias("edge_ids"),
-        )
+    fan = Fanout(edges.where("src <> dst").select("src", "dst", F.col("id").alias("edge_id")))
+    nothing = F.lit(None).cast("long")
+    first = starts.select(F.col("id").alias("start"), "id", F.lit(0).alias("depth"), nothing.alias("above"), nothing.alias("edge_id"), F.lit(0).cast("long").alias("rank"))
+    table, links, depth = PlacedTable(first.distinct(), ["start", "id"]), new_folder(edges.sparkSession, "links"), 0
+    while max_depth is None or depth < max_depth:
+        step = fan.send(levels(table, depth).select("start", "id", "rank"))
+        offers = step.select("start", F.col("dst").alias("id"), "rank", "edge_id", F.col("id").alias("above"))
+        depth += 1
+        if all_ties:
+            offers = cut(table.missing(offers))
+            offers.withColumn("depth", F.lit(depth)).write.mode("append").parquet(links)
+        best = offers.groupBy("start", "id").agg(F.min(F.struct("rank", "edge_id", "above")).alias("_b"))
+        fresh = (best if all_ties else table.missing(best)).select("start", "id", F.lit(depth).alias("depth"), "_b.above", "_b.edge_id", F.col("_b.rank").alias("_rank"))
+        table.add(sort_into_ranges(fresh, ["start", "_rank", "id"]).withColumn("rank", F.shiftleft("_range", 33) + F.col("_pos")))
+        if levels(table, depth).isEmpty():
+            break
+    if all_ties:
+        return _every_path(edges.sparkSession.read.parquet(links) if depth else None, first, depth)
+    pairs = table.rows().where("depth > 0")
+    met = ways_up(table.rows().select("start", "id", "above"), pairs.select("start", "id", F.col("id").alias("end"), "depth"), ["start"])
+    on = met.join(table.rows().select("start", "id", "edge_id"), ["start", "id"])
+    steps = F.array_sort(F.collect_list(F.struct((F.col("depth") - F.col("back")).alias("at"), "id", "edge_id")))
+    return on.groupBy("start", "end", "depth").agg(steps.alias("_s")).select(
+        "start", "end", "depth", F.transform("_s", lambda x: x["id"]).alias("node_ids"), F.transform(F.slice("_s", 2, F.col("depth")), lambda x: x["edge_id"]).alias("edge_ids")
     )
-    settled = level.select("start", "end")
-    found = []
-    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
-        step = fan.send(level.withColumnRenamed("end", "id")).select(
-            "start",
-            F.col("dst").alias("end"),
-            F.lit(depth).alias("depth"),
-            F.array_append("node_ids", F.col("dst")).alias("node_ids"),
-            F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids"),
+
+
+def _every_path(links: DataFrame | None, first: DataFrame, deepest: int) -> DataFrame:
+    """All ways over ``links(start, id, above, edge_id, depth)``; the rows are the paths asked for."""
+    level = first.select("start", F.col("id").alias("end"), "depth", F.array("id").alias("node_ids"), F.array().cast("array<bigint>").alias("edge_ids"))
+    folder = new_folder(first.sparkSession, "paths")
+    level.write.parquet(f"{folder}/d=0")
+    for depth in range(1, deepest + 1):
+        before = first.sparkSession.read.schema(level.schema).parquet(f"{folder}/d={depth - 1}").drop("depth")
+        level = links.where(F.col("depth") == depth).join(before.withColumnRenamed("end", "above"), ["start", "above"]).select(
+            "start", F.col("id").alias("end"), "depth", F.array_append("node_ids", F.col("id")).alias("node_ids"), F.array_append("edge_ids", F.col("edge_id")).alias("edge_ids")
         )
-        fresh = step.join(settled, ["start", "end"], "left_anti")
-        if not all_ties:
-            best = fresh.groupBy("start", "end").agg(F.min(F.struct("node_ids", "edge_ids")).alias("_p"))
-            fresh = best.select("start", "end", F.lit(depth).alias("depth"), "_p.node_ids", "_p.edge_ids")
-        level = cut(fresh)
-        if level.isEmpty():
-            break
-        found.append(level)
-        settled = settled.unionAll(level.select("start", "end").distinct())
-    result = found[0] if found else level
-    for more in found[1:]:
-        result = result.unionAll(more)
-    return result
+        level.write.parquet(f"{folder}/d={depth}")
+    return first.sparkSession.read.schema(level.schema).parquet(*[f"{folder}/d={d}" for d in range(1, deepest + 1)] or [f"{folder}/d=0"]).where("depth > 0")
 
 
 def path_length(path: str) -> Column:

@@ -60,6 +60,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a written table that is read again.
+
+    A checkpoint keeps what the optimizer has inferred about its columns. In loops that join a frame with itself, as pointer jumping
+    does, these constraints multiply with every round; a table begins without any.
+    """
+    folder = new_folder(df.sparkSession, "settled")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Does ``df`` hold at most ``max_rows`` rows? Reads no more than it must."""
     return df.limit(max_rows + 1).count() <= max_rows
