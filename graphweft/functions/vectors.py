@@ -1,7 +1,7 @@
 """Scalar vector functions (H1–H12) as native expressions on arrays.
 
-Float vectors are ``ARRAY<FLOAT>``, int8 vectors ``ARRAY<TINYINT>``, bit vectors
-``ARRAY<BIGINT>`` with 64 dimensions per word, lowest bit first. Arithmetic runs in
+Float vectors are ``ARRAY<FLOAT>``, int8 vectors ``ARRAY<TINYINT>``, bit vectors packed bytes (``functions.bits``) or, for the
+search kernels, ``ARRAY<BIGINT>`` with 64 dimensions per word, lowest bit first. Arithmetic runs in
 double. Searches over whole tables use the Arrow kernels of ``operators.knn``.
 """
 
@@ -12,8 +12,15 @@ from pyspark.sql import Column, functions as F
 WORD = 64
 
 
-def _checked(a: Column, b: Column, value: Column) -> Column:
-    """NULL for NULL input, an error for vectors of different length."""
+def _numbers(v: Column, value: Column, kinds: tuple[str, ...] = ("array<float>", "array<double>", "array<tinyint>", "array<int>")) -> Column:
+    """``value``, or an error if ``v`` is a vector of another kind; the type is known when the query is planned."""
+    return F.when(F.typeof(v).isin(*kinds), value).otherwise(F.raise_error(F.concat(F.lit("not for vectors of type "), F.typeof(v))))
+
+
+def _checked(a: Column, b: Column, value: Column, bits: bool = False) -> Column:
+    """NULL for NULL input, an error for vectors of different length, and for bits where numbers are meant or the reverse."""
+    kinds = ("array<bigint>",) if bits else ("array<float>", "array<double>", "array<tinyint>", "array<int>")
+    value = _numbers(a, _numbers(b, value, kinds), kinds)
     message = F.concat(F.lit("vector dimensions differ: "), F.size(a), F.lit(" and "), F.size(b))
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None))
@@ -53,11 +60,12 @@ def distance_cosine(a: Column, b: Column) -> Column:
 def distance_hamming(a: Column, b: Column) -> Column:
     """Differing bits of two packed vectors."""
     differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return _checked(a, b, F.aggregate(differing, F.lit(0), lambda acc, x: acc + x))
+    return _checked(a, b, F.aggregate(differing, F.lit(0), lambda acc, x: acc + x), bits=True)
 
 
 def vec_length(v: Column) -> Column:
-    return F.size(v)
+    """Dimensions; a word of a packed bit vector has 64."""
+    return F.size(v) * F.when(F.typeof(v) == "array<bigint>", F.lit(WORD)).otherwise(F.lit(1))
 
 
 def vec_type(v: Column) -> Column:
@@ -85,11 +93,17 @@ def vec_slice(v: Column, start: int, end: int) -> Column:
     if start < 0 or end <= start:
         raise ValueError("slice needs 0 <= start < end")
     too_long = F.raise_error(F.lit(f"slice end {end} is beyond the vector"))
-    return F.when(F.size(v) < end, too_long).otherwise(F.slice(v, start + 1, end - start))
+    numbers = F.slice(v, start + 1, end - start)
+    if start % WORD == 0 and end % WORD == 0:
+        words = F.slice(v, start // WORD + 1, (end - start) // WORD)
+    else:
+        words = F.when(F.typeof(v) == "array<bigint>", F.raise_error(F.lit("words of bits are cut at multiples of 64; use bits.part"))).otherwise(v)
+    return F.when(vec_length(v) < end, too_long).when(F.typeof(v) == "array<bigint>", words).otherwise(numbers)
 
 
 def vec_normalize(v: Column) -> Column:
-    return F.transform(v, lambda x: x.cast("double") / norm(v))
+    """Unit length; for float vectors only."""
+    return _numbers(v, F.transform(v, lambda x: x.cast("double") / norm(v)), ("array<float>", "array<double>"))
 
 
 def vec_f32(text_or_array: Column, parse: bool = False) -> Column:

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..functions import vectors as V
+from ..functions import bits, vectors as V
 from ..operators import ivf, neighbour_graph
 from ..operators.knn import knn, knn_join
 from ..operators.rescore import add_codes, rescore
@@ -69,12 +69,14 @@ def h04(spark, sf):
 
 @query("h05_length_type_json", """
 SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n, 'float32' AS t, 'int8' AS t8, 'bit' AS tb,
- '[' || array_to_string(list_transform(embedding, lambda x: CAST(CAST(round(x * 100) AS INTEGER) AS VARCHAR)), ',') || ']' AS js FROM embeddings""")
+ '[' || array_to_string(list_transform(embedding, lambda x: CAST(CAST(round(x * 100) AS INTEGER) AS VARCHAR)), ',') || ']' AS js,
+ CAST(64 AS BIGINT) AS nb, CAST(64 AS BIGINT) AS nw, 'bit' AS tp, '[' || array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), ',') || ']' AS jb FROM embeddings""")
 def h05(spark, sf):
     v = c("embedding")
     return base(spark, sf).select(
         "vec_id", V.vec_length(v).cast("long").alias("n"), V.vec_type(v).alias("t"), V.vec_type(V.quantize_int8(v)).alias("t8"),
         V.vec_type(V.quantize_binary(v)).alias("tb"), V.vec_to_json(F.transform(v, lambda x: F.round(x * 100).cast("int"))).alias("js"),
+        bits.length(bits.quantize(v)).cast("long").alias("nb"), V.vec_length(V.quantize_binary(v)).cast("long").alias("nw"), bits.kind(bits.quantize(v)).alias("tp"), bits.to_json(bits.quantize(v)).alias("jb"),
     )
 
 
@@ -94,10 +96,11 @@ def h06(spark, sf):
     return base(spark, sf).select("vec_id", _fold(V.vec_add(v, q)).alias("added"), _fold(V.vec_sub(v, q)).alias("subtracted"))
 
 
-@query("h07_slice", f"SELECT vec_id, {_FOLD.format(v='embedding[9:24]')} AS part, CAST(16 AS BIGINT) AS n FROM embeddings")
+@query("h07_slice", f"""SELECT vec_id, {_FOLD.format(v='embedding[9:24]')} AS part, CAST(16 AS BIGINT) AS n,
+ '[' || array_to_string(list_transform(embedding[9:24], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), ',') || ']' AS bits FROM embeddings""")
 def h07(spark, sf):
     part = V.vec_slice(c("embedding"), 8, 24)
-    return base(spark, sf).select("vec_id", _fold(part).alias("part"), F.size(part).cast("long").alias("n"))
+    return base(spark, sf).select("vec_id", _fold(part).alias("part"), F.size(part).cast("long").alias("n"), bits.to_json(bits.part(bits.quantize(c("embedding")), 8, 24)).alias("bits"))
 
 
 @query("h08_normalize", f"""
@@ -111,13 +114,19 @@ def h08(spark, sf):
 
 @query("h09_constructors", f"""
 SELECT vec_id, {_FOLD.format(v='embedding')} AS f, {_FOLD.format(v='list_transform(embedding, lambda x: CAST(trunc(x::DOUBLE * 100) AS INTEGER))')} AS i8,
- CAST(1 AS BIGINT) AS words FROM embeddings""")
+ CAST(1 AS BIGINT) AS words, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS from_text, true AS packed FROM embeddings""")
 def h09(spark, sf):
     v = c("embedding")
     small = F.transform(v, lambda x: (x.cast("double") * 100).cast("int"))
-    return base(spark, sf).select(
+    packed = base(spark, sf).select(
         "vec_id", _fold(V.vec_f32(F.to_json(v), parse=True)).alias("f"), _fold(V.vec_int8(F.to_json(small), parse=True)).alias("i8"),
-        F.size(V.quantize_binary(v)).cast("long").alias("words"),
+        V.quantize_binary(v).alias("w"), bits.quantize(v).alias("q"),
+    )
+    text = packed.withColumn("text", bits.to_json(c("q")))
+    again = text.withColumn("b", bits.vec_bit(c("text"), parse=True))
+    return again.select(
+        "vec_id", "f", "i8", F.size("w").cast("long").alias("words"),
+        F.array_join(bits.each(c("b")).cast("array<string>"), "").alias("from_text"), (bits.words(bits.vec_bit(c("q"))) == c("w")).alias("packed"),
     )
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import bits
 from ..skew import MAX_HOT_KEYS
 
 MAX_DIMENSIONS = 8_192  # fixed value
@@ -23,11 +24,20 @@ def from_json_text(text: Column, dims: int, kind: str = "float32") -> Column:
     """``'[1, 2.5, …]'`` to a vector of checked size; empty vectors are an error."""
     if not 1 <= dims <= MAX_DIMENSIONS:
         raise ValueError(f"dimensions must be between 1 and {MAX_DIMENSIONS}")
+    if kind == "bit":
+        return _sized_bits(bits.vec_bit(text, parse=True), dims)
     return _sized(F.from_json(text, _KINDS[kind][0]), dims)
 
 
+def _sized_bits(vector: Column, dims: int) -> Column:
+    wrong = F.raise_error(F.concat(F.lit(f"expected {dims} dimensions, got "), bits.length(vector)))
+    return F.when(vector.isNull() | (bits.length(vector) == dims), vector).otherwise(wrong)
+
+
 def from_blob(blob: Column, dims: int, kind: str = "float32") -> Column:
-    """Little-endian packed numbers to a vector; the blob must hold exactly ``dims`` of them."""
+    """Little-endian packed numbers to a vector; the blob must hold exactly ``dims`` of them. A blob of bits is the vector."""
+    if kind == "bit":
+        return _sized_bits(bits.vec_bit(blob), dims)
     spark_type, width, arrow_type = _KINDS[kind]
     if not 1 <= dims <= MAX_DIMENSIONS:
         raise ValueError(f"dimensions must be between 1 and {MAX_DIMENSIONS}")
@@ -51,6 +61,8 @@ def from_blob(blob: Column, dims: int, kind: str = "float32") -> Column:
 
 def to_blob(vector: Column, kind: str = "float32") -> Column:
     """The packed form of a vector."""
+    if kind == "bit":
+        return bits.vec_bit(vector)
     dtype = np.dtype(_DTYPES[kind])
 
     @F.arrow_udf("binary")
