@@ -25,6 +25,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from .common import parts_of
+
 DICTIONARY = 64 << 10
 SLICE = 500
 SLICES = 300  # sampled per language
@@ -115,14 +117,10 @@ def identify(docs: DataFrame, languages: Languages, text_col: str = "text", marg
             _made.clear()
             _made[key] = Compressors(sent.value)
         compressors = _made[key]
-        for batch in batches:
-            step = max(1, _PART // max(1, batch.nbytes // max(1, batch.num_rows)))
-            for begin in range(0, batch.num_rows, step):
-                part = batch.slice(begin, step)
-                found = [compressors.best(t.as_py()) for t in part.column(at)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[0] != UNDETERMINED and f[1] >= margin for f in found], pa.bool_())],
-                    [*names, *NEW],
-                )
+        for part in parts_of(batches, _PART):
+            found = [compressors.best(t.as_py()) for t in part.column(at)]
+            accepted = [f[0] != UNDETERMINED and f[1] >= margin for f in found]
+            new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(accepted, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], [*names, *NEW])
 
     return docs.select(*names).mapInArrow(run, schema)

@@ -15,7 +15,7 @@ before they are looked up. Characters that no piece covers become the pieces of
 UTF-8 bytes.
 
 A null text counts as empty and has no ids. Texts are processed whole; a part without
-white space may be as long as it likes. Short parts are remembered per worker, twice
+white space may be as long as it likes. Short parts are remembered per task, twice
 ``REMEMBERED`` of them at most.
 """
 
@@ -29,8 +29,12 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import parts_of
+
 SPACE = "▁"
-REMEMBERED = 250_000
+REMEMBERED = 150_000
+PAIRS = 250_000  # compatibility checks remembered
+_PART = 2 << 20  # bytes of texts taken up at once
 LONGEST_REMEMBERED = 48
 UNKNOWN = " ⁇ "  # fixed value: what the unknown id decodes to
 
@@ -115,6 +119,8 @@ class Pieces:
         """The pieces of a part, by backtracking."""
         n = len(part)
         longest = self.longest_at(part)
+        if len(self.fits) > PAIRS:
+            self.fits.clear()
         failed = bytearray(n // 8 + 1)  # a bit per position that leads nowhere
         pieces: list[str] = []
         at = 0
@@ -211,8 +217,6 @@ class Pieces:
             if len(part) <= LONGEST_REMEMBERED:
                 if len(self.known) >= REMEMBERED:  # parts unused since the last time go
                     self.older, self.known = self.known, {}
-                    if len(self.fits) > 4 * REMEMBERED:
-                        self.fits.clear()
                 self.known[part] = found
         return found
 
@@ -224,6 +228,10 @@ class Pieces:
         found = [self.part(r) for r in runs]
         return sum([f[0] for f in found]), ",".join([f[1] for f in found]), b"".join([f[2] for f in found])
 
+    def forget(self) -> None:
+        """Drop what was remembered of the texts seen so far."""
+        self.known, self.older, self.fits = {}, {}, {}
+
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
         known, part = self.known.get, self.part
@@ -251,6 +259,11 @@ def _repaired(run: bytes) -> bytes:
     return bytes(out)
 
 
+def _then(batches: Iterator[pa.RecordBatch], last) -> Iterator[pa.RecordBatch]:
+    yield from batches
+    last()
+
+
 _loaded: dict[str, Pieces] = {}
 
 
@@ -274,7 +287,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: st
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _pieces(name)
         for texts in batches:
-            yield pa.array([model.encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+            yield pa.array((model.encode(t.as_py()) for t in texts), pa.list_(pa.int32()))
 
     return docs.withColumn(ids_col, ids(F.col(text_col)))
 
@@ -287,7 +300,7 @@ def decode(rows: DataFrame, model_file: str, ids_col: str = "ids", text_col: str
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _pieces(name)
         for ids in batches:
-            yield pa.array([model.decode(x or []) for x in ids.to_pylist()], pa.string())
+            yield pa.array((model.decode(x.as_py() or []) for x in ids), pa.string())
 
     return rows.withColumn(text_col, text(F.col(ids_col)))
 
@@ -299,7 +312,7 @@ def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _pieces(name)
-        for batch in batches:
+        for batch in parts_of(_then(batches, model.forget), _PART):
             found = [model.digest(t) for t in batch.column(1).to_pylist()]
             columns = list(zip(*found, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(

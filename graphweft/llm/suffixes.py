@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut, new_folder
 from . import words
+from .common import parts_of
 
 LENGTH = 100
 MOST = 20_000  # different segments of one key in a bucket
@@ -219,12 +220,6 @@ def _runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return owner[first], at[first], at[last] + 1
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    step = max(1, (4 << 20) // max(1, batch.nbytes // max(1, batch.num_rows)))
-    for at in range(0, batch.num_rows, step):
-        yield batch.slice(at, step)
-
-
 def _kept_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a compressed table in the shared folder."""
     folder = new_folder(df.sparkSession, name)
@@ -247,10 +242,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows = cut(digests.join(first, "digest").select("doc", "digest", "n_bytes", ((F.col("doc") > F.col("first")) & (F.col("n_bytes") >= length)).alias("copy")))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch):
-                *_, key, times = segments(part.column(0), length)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(key, times))], ["key"])
+        for part in parts_of(batches, 4 << 20):
+            *_, key, times = segments(part.column(0), length)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(key, times))], ["key"])
 
     again = cut(plain.select("text").mapInArrow(keyed, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     # A sieve of fixed size lets few other segments through to the exact join below.
@@ -261,13 +255,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     sieve = spark.sparkContext.broadcast(bits)
 
     def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch):
-                owner, start, size, key, times = segments(part.column(2), length)
-                place = key & ((1 << SIEVE_BITS) - 1)
-                good = (sieve.value[place >> 6] >> (place & 63)) & 1 == 1
-                doc, tags = (part.column(i).to_numpy()[owner[good]] for i in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tags), *[pa.array(c[good]) for c in (start, size, key, times)]], ["doc", "tag", "start", "n", "key", "times"])
+        for part in parts_of(batches, 4 << 20):
+            owner, start, size, key, times = segments(part.column(2), length)
+            place = key & ((1 << SIEVE_BITS) - 1)
+            good = (sieve.value[place >> 6] >> (place & 63)) & 1 == 1
+            doc, tags = (part.column(i).to_numpy()[owner[good]] for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tags), *[pa.array(c[good]) for c in (start, size, key, times)]], ["doc", "tag", "start", "n", "key", "times"])
 
     met = plain.select("doc", tag, "text").mapInArrow(sifted, "doc long, tag long, start long, n long, key long, times long").join(again, "key", "left_semi")
     met = _kept_table(met.join(rows.where("copy").select("doc", tag).distinct(), ["doc", "tag"], "left_anti"), "segments")
@@ -276,20 +269,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     held = _kept_table(plain.withColumn("tag", tag).drop("digest").join(listed, ["doc", "tag"]), "repeats").withColumn("digest", F.sha2("text", 256))  # a list is as long as its document
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch):
-                lists = part.column(3)
-                flat = lists.flatten()
-                owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-                start, size, key = (flat.field(i).to_numpy() for i in range(3))
-                raw = [t.encode() for t in part.column(2).to_pylist()]
-                seg = [raw[o][s : s + n + length - 1] for o, s, n in zip(owner.tolist(), start.tolist(), size.tolist(), strict=True)]
-                kind = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in seg]
-                doc, tags = (part.column(i).to_numpy()[owner] for i in range(2))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(kind, pa.int64()), pa.array(doc), pa.array(tags), pa.array(start), pa.array(size), pa.array(seg, pa.binary())],
-                    ["key", "kind", "doc", "tag", "start", "n", "seg"],
-                )
+        for part in parts_of(batches, 4 << 20):
+            lists = part.column(3)
+            flat = lists.flatten()
+            owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            start, size, key = (flat.field(i).to_numpy() for i in range(3))
+            raw = [t.encode() for t in part.column(2).to_pylist()]
+            seg = [raw[o][s : s + n + length - 1] for o, s, n in zip(owner.tolist(), start.tolist(), size.tolist(), strict=True)]
+            kind = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in seg]
+            doc, tags = (part.column(i).to_numpy()[owner] for i in range(2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(kind, pa.int64()), pa.array(doc), pa.array(tags), pa.array(start), pa.array(size), pa.array(seg, pa.binary())],
+                ["key", "kind", "doc", "tag", "start", "n", "seg"],
+            )
 
     schema = "key long, kind long, doc long, tag long, start long, n long, seg binary"
     places = held.select("doc", "tag", "text", "segments").mapInArrow(cut_out, schema)
