@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import words
+from .common import parts_of
 
 SAMPLE = 4000
 BUCKETS = 4096  # of the scorer's features
@@ -193,30 +194,26 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit_scorer(x: np.ndarray, target: np.ndarray, rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> Scorer:
-    """Logistic regression on soft targets by full gradient steps with momentum."""
-    w, b = np.zeros(x.shape[1]), 0.0
+def fit_scorer(begins: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.ndarray, rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> Scorer:
+    """Logistic regression on soft targets by full gradient steps with momentum; text i has the entries ``begins[i]`` up to ``begins[i + 1]``."""
+    n = len(target)
+    text = np.repeat(np.arange(n, dtype=np.int32), np.diff(begins))
+    w, b = np.zeros(BUCKETS), 0.0
     step_w, step_b = np.zeros_like(w), 0.0
-    for _ in range(rounds if len(x) else 0):
-        error = 1 / (1 + np.exp(-np.clip(x @ w + b, -50, 50))) - target
-        step_w = 0.9 * step_w - rate * (x.T @ error / len(x) + decay * w)
+    for _ in range(rounds if n else 0):
+        z = np.bincount(text, weights=w[bucket] * value, minlength=n) + b
+        error = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - target
+        step_w = 0.9 * step_w - rate * (np.bincount(bucket, weights=error[text] * value, minlength=BUCKETS) / n + decay * w)
         step_b = 0.9 * step_b - rate * error.mean()
         w, b = w + step_w, b + step_b
     return Scorer(w, b)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        step = max(1, _PART // max(1, batch.nbytes // max(1, batch.num_rows)))
-        for at in range(0, batch.num_rows, step):
-            yield batch.slice(at, step)
-
-
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[VoteModel, Scorer]:
     """Both models from all rows of ``docs``."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in parts_of(batches, _PART):
             values, counts = measures(part.column(0))
             code, n = np.unique(_code(votes(values, counts))[counts > 0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
@@ -231,21 +228,27 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[
     total = int(number.sum())
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in parts_of(batches, _PART):
             values, counts = measures(part.column(0))
             owner, bucket, value = features(part.column(0), values, counts)
-            matrix = np.bincount(owner * BUCKETS + bucket, weights=value, minlength=part.num_rows * BUCKETS).astype(np.float32)
+            entry, at = np.unique(owner * BUCKETS + bucket, return_inverse=True)
+            share = np.bincount(at, weights=value).astype(np.float32)
+            begins = pa.array(np.searchsorted(entry, np.arange(part.num_rows + 1) * BUCKETS), pa.int32())
             target = model.posterior(votes(values, counts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(target), pa.array([r.tobytes() for r in matrix.reshape(part.num_rows, BUCKETS)], pa.binary())], ["target", "x"]
+                [pa.array(target), pa.ListArray.from_arrays(begins, pa.array(entry % BUCKETS, pa.int16())), pa.ListArray.from_arrays(begins, pa.array(share, pa.float32()))],
+                ["target", "bucket", "share"],
             )
 
     place = F.abs(F.xxhash64("text") % 1_000_000_007)
     share = min(1.0, 1.5 * sample / max(total, 1))
     some = texts.where(F.length(F.trim("text")) > 0).withColumn("place", place).where(F.col("place") < share * 1_000_000_007)
-    rows = some.orderBy("place", "text").limit(sample).select("text").mapInArrow(featured, "target double, x binary").toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, BUCKETS)
-    return model, fit_scorer(x, rows["target"].to_numpy())
+    # the entries that are not zero of `sample` texts, BUCKETS a text at most
+    rows = some.orderBy("place", "text").limit(sample).select("text").mapInArrow(featured, "target double, bucket array<smallint>, share array<float>").toArrow()
+    bucket = rows["bucket"].combine_chunks()
+    begins = np.concatenate([[0], np.cumsum(np.array([len(x) for x in bucket], np.int64))]).astype(np.int64)
+    share = rows["share"].combine_chunks().flatten().to_numpy()
+    return model, fit_scorer(begins, bucket.flatten().to_numpy().astype(np.int32), share, rows["target"].to_numpy())
 
 
 def classify(docs: DataFrame, text_col: str = "text", models: tuple[VoteModel, Scorer] | None = None, keep: float = KEEP) -> DataFrame:
@@ -256,7 +259,7 @@ def classify(docs: DataFrame, text_col: str = "text", models: tuple[VoteModel, S
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in parts_of(batches, _PART):
             texts = part.column(at)
             values, counts = measures(texts)
             score = np.where(counts > 0, scorer.score(texts, values, counts), 0.0)
