@@ -37,6 +37,7 @@ from ..graph import Graph
 from ..operators.components import wcc
 from ..session import cut, new_folder
 from . import words
+from .common import parts_of
 
 SHINGLE = 5
 NEAR = 0.8
@@ -120,14 +121,6 @@ def _signs(texts: pa.Array, n: int, k: int) -> pa.Array:
     return _lists((found >> np.uint64(32)).astype(np.uint32).view(np.int32), has)
 
 
-def _pieces(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``size`` bytes, to keep the arrays small."""
-    per_row = max(1, batch.nbytes // max(1, batch.num_rows))
-    step = max(1, size // per_row)
-    for at in range(0, batch.num_rows, step):
-        yield batch.slice(at, step)
-
-
 def likeness(left: pa.Array, right: pa.Array, n: int) -> np.ndarray:
     """Weighted Jaccard likeness of paired texts, exact; 1 for two without shingles."""
     sides = []
@@ -166,15 +159,19 @@ def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, row
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: float = NEAR, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``<id_col>, class_id, copies``: the class, and how many of its members have this very text."""
+    return _labelled(docs, id_col, text_col, near, n, bands, rows).select(F.col("id").alias(id_col), "class_id", "copies")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, near: float = NEAR, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``id, digest, class_id, stays, copies`` of every row; ``stays`` marks the text that stands for its class."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
     text = F.coalesce(F.col(text_col), F.lit(""))
     digested = docs.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("digest"), text.alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch, 8 << 20):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _banded(part.column(2), n, bands, rows)], ["id", "digest", "bands"])
+        for part in parts_of(batches, 8 << 20):
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _banded(part.column(2), n, bands, rows)], ["id", "digest", "bands"])
 
     signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType()))))
     nodes = signed.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
@@ -192,9 +189,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = spark.read.parquet(folder)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch, 4 << 20):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness(part.column(2), part.column(3), n))], ["a", "b", "near"])
+        for part in parts_of(batches, 4 << 20):
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness(part.column(2), part.column(3), n))], ["a", "b", "near"])
 
     def compared(pairs: DataFrame) -> DataFrame:
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
@@ -213,9 +209,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     open_nodes = placed.join(blocks.select("key"), "key", "left_semi").select("node").distinct()
 
     def sign_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _pieces(batch, 8 << 20):
-                yield pa.RecordBatch.from_arrays([*part.columns, _signs(part.column(1), n, bands * rows)], ["node", "text", "signs"])
+        for part in parts_of(batches, 8 << 20):
+            yield pa.RecordBatch.from_arrays([*part.columns, _signs(part.column(1), n, bands * rows)], ["node", "text", "signs"])
 
     data = texts.select("node", "text").join(open_nodes, "node", "left_semi").mapInArrow(sign_whole, "node long, text string, signs array<int>")
 
@@ -237,9 +232,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = cut(more.dropDuplicates(["a", "b"]))
     classes = _joined(classes, more)
     labelled = nodes.select("digest", "node", "first", "copies").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    least = labelled.groupBy("class").agg(F.min("first").alias("class_id"))
-    labelled = labelled.join(least, "class").select("digest", "class_id", "copies")
-    return signed.select(F.col("id").alias(id_col), "digest").join(labelled, "digest").drop("digest")
+    least = labelled.groupBy("class").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", F.col("digest").alias("standing"))).alias("least"))
+    labelled = labelled.join(least, "class").select("digest", F.col("least.first").alias("class_id"), (F.col("least.standing") == F.col("digest")).alias("stays"), "copies")
+    return signed.select("id", "digest").join(labelled, "digest")
 
 
 def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -253,14 +248,16 @@ def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without those near an earlier one: the row with the smallest id of each class stays, of equal rows one.
+    """``docs`` without those near an earlier one: of each class the row with the smallest id stays.
 
-    Rows with a null id stay only if their class has no other.
+    Ids are compared with their texts, so a null or repeated id lets no other text through. Rows with a null id stay only if
+    their class has no other. Of several rows with the id and the text that stay, the first by its JSON form is taken.
     """
-    kept = near_classes(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates() if _repeats(rows, id_col) else rows
-
-
-def _repeats(rows: DataFrame, id_col: str) -> bool:
-    return not rows.groupBy(id_col).count().where("count > 1").isEmpty()
+    kept = _labelled(docs, id_col, text_col, **how).where(F.col("stays") & F.col("id").eqNullSafe(F.col("class_id"))).select(F.col("id").alias("_kept"), F.col("digest").alias("_kept_digest")).distinct()
+    digest = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    kept = cut(kept)
+    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")) & (digest == F.col("_kept_digest")), "left_semi")
+    if rows.groupBy(id_col).count().where("count > 1").isEmpty():
+        return rows
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.groupBy(F.col(id_col).alias("_id"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("_digest")).agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
