@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..graph import EDGE_KEYS, Graph, symmetric
-from .paths import expand
+from .joinorder import Part, join_all, reduce_parts, sizes
+from .paths import expand, reachable
 
 
 @dataclass
@@ -91,6 +92,7 @@ class Match:
         self._where: list[Column] = []
         self._optional: list[tuple["Match", Column | None]] = []
         self._count = 0
+        self._once = False  # only whether there is a match counts, not how many
 
     # -- builder ------------------------------------------------------------------------------
     def _name(self, var: str | None, kind: str) -> tuple[str, bool]:
@@ -174,11 +176,31 @@ class Match:
             left = right
         return cur
 
-    def _single(self, cur, left: _Node, hop: _Hop, right: _Node, bound: set[str], hops: list) -> DataFrame:
+    def _edge_frame(self, hop: _Hop) -> DataFrame:
+        """The edges of a hop, their source at its left end."""
+        e = hop.var
         edges = scan_edges(self.graph, hop.types, hop.props, hop.direction)
+        return edges.select(*[F.col(c).alias(f"{e}_{c}") for c in edges.columns])
+
+    def _apart(self, cur: DataFrame, hops: list, others: list) -> DataFrame:
+        """An edge binds once per pattern: no edge of ``hops`` is one of ``others``."""
+        for a in hops if self.unique_edges else []:
+            for b in others:
+                if not a.types or not b.types or set(a.types) & set(b.types):
+                    cur = cur.where(F.col(f"{b.var}_id") != F.col(f"{a.var}_id"))
+        return cur
+
+    @staticmethod
+    def _as_stored(cur: DataFrame, hop: _Hop) -> DataFrame:
+        """The stored direction of a hop against its edges, as startNode/endNode report it."""
+        if hop.direction != "in":
+            return cur
+        swap = {f"{hop.var}_src": f"{hop.var}_dst", f"{hop.var}_dst": f"{hop.var}_src"}
+        return cur.select(*[F.col(x).alias(swap.get(x, x)) for x in cur.columns])
+
+    def _single(self, cur, left: _Node, hop: _Hop, right: _Node, bound: set[str], hops: list) -> DataFrame:
         e = hop.var
-        names = {"id": f"{e}_id", "src": f"{e}_src", "dst": f"{e}_dst", "type": f"{e}_type"}
-        edges = edges.select(*[F.col(c).alias(names.get(c, f"{e}_{c}")) for c in edges.columns])
+        edges = self._edge_frame(hop)
         if cur is None:
             cur = edges.withColumn(f"{left.var}_id", F.col(f"{e}_src"))
         else:
@@ -186,10 +208,7 @@ class Match:
             if right.var in bound:
                 condition = condition & (F.col(f"{right.var}_id") == F.col(f"{e}_dst"))
             cur = cur.join(edges, condition)
-        if self.unique_edges:
-            for other in hops:
-                if not hop.types or not other.types or set(hop.types) & set(other.types):
-                    cur = cur.where(F.col(f"{other.var}_id") != F.col(f"{e}_id"))
+        cur = self._apart(cur, [hop], hops)
         hops.append(hop)
         if right.var not in bound and self._needs_join(right):
             cur = cur.join(self._node_frame(right), F.col(f"{right.var}_id") == F.col(f"{e}_dst"))
@@ -197,15 +216,69 @@ class Match:
             cur = cur.withColumn(f"{right.var}_id", F.col(f"{e}_dst"))
         elif right.constrained:
             cur = cur.join(self._node_frame(right).select(f"{right.var}_id"), f"{right.var}_id", "left_semi")
-        if hop.direction == "in":  # report the stored direction, as startNode/endNode do
-            swap = {f"{e}_src": f"{e}_dst", f"{e}_dst": f"{e}_src"}
-            cur = cur.select(*[F.col(x).alias(swap.get(x, x)) for x in cur.columns])
-        return cur
+        return self._as_stored(cur, hop)
+
+    # -- cyclic patterns ----------------------------------------------------------------------
+    def _triples(self) -> list[tuple[_Node, _Hop, _Node]]:
+        return [t for steps in self._paths for t in zip(steps[::2], steps[1::2], steps[2::2])]
+
+    def _cyclic(self) -> bool:
+        """One connected pattern of single hops, with at least as many hops as nodes."""
+        triples = self._triples()
+        nodes = {n.var for left, _, right in triples for n in (left, right)}
+        hops = [hop for _, hop, _ in triples]
+        if len(hops) < max(2, len(nodes)) or any(h.length is not None for h in hops) or len({h.var for h in hops}) < len(hops):
+            return False
+        if any(self._on.values()) or any(len(steps) < 2 for steps in self._paths):
+            return False
+        met = {triples[0][0].var}
+        while grown := {n.var for left, _, right in triples for n in (left, right) if {left.var, right.var} & met} - met:
+            met |= grown
+        return met == nodes
+
+    def _by_size(self) -> DataFrame:
+        """The hops of a cyclic pattern, joined in an order that their measured sizes give.
+
+        Every node is joined to the smallest hop that touches it. Selections reduce the other hops by semi-joins, and a
+        cycle closes on all variables that its two halves have in common.
+        """
+        triples, asked = self._triples(), {}
+        for n in (n for steps in self._paths for n in steps if isinstance(n, _Node)):
+            asked.setdefault(n.var, []).append(n)
+        frames = []
+        for left, hop, right in triples:
+            e = hop.var
+            df = self._edge_frame(hop).withColumn(f"{left.var}_id", F.col(f"{e}_src"))
+            df = df.where(F.col(f"{e}_src") == F.col(f"{e}_dst")) if right.var == left.var else df.withColumn(f"{right.var}_id", F.col(f"{e}_dst"))
+            frames.append((self._as_stored(df, hop), [left.var, right.var]))
+        nodes = {}
+        for var, uses in asked.items():
+            if any(self._needs_join(n) for n in uses):
+                df = scan_nodes(self.graph, sorted({x for n in uses for x in n.labels}))
+                for n in uses:
+                    df = scan_nodes(Graph(df, self.graph.edges), None, n.props)
+                nodes[var] = df.select(*[F.col(c).alias(f"{var}_{c}") for c in df.columns])
+        chosen = [v for v in nodes if any(n.constrained for n in asked[v])]
+        found = sizes([(df, [f"{v}_id" for v in ends]) for df, ends in frames] + [(nodes[v], [f"{v}_id"]) for v in chosen])
+        parts = [Part(df, float(n), dict(zip(ends, map(float, d))), [hop]) for (df, ends), (n, d), (_, hop, _) in zip(frames, found, triples)]
+        counts = {v: float(n) for v, (n, _) in zip(chosen, found[len(frames):])}
+        for var, df in nodes.items():
+            part = min((p for p in parts if var in p.ids), key=lambda p: p.rows)
+            part.frame = part.frame.join(df, f"{var}_id")
+            if counts.get(var, part.ids[var]) < part.ids[var]:
+                part.selected = True
+                part.limit(var, counts[var])
+        reduce_parts(parts)
+        return join_all(parts, self._apart)
 
     def _variable(self, cur, left: _Node, hop: _Hop, right: _Node, bound: set[str]) -> DataFrame:
         edges = scan_edges(self.graph, hop.types, hop.props, hop.direction)
         low, high = hop.length
         starts = self.graph.nodes.select("id") if cur is None else cur.select(F.col(f"{left.var}_id").alias("id"))
+        if self._once and not hop.named and hop.path is None and low <= 1:
+            # nobody sees the way or counts the ways, so a pair of ends is all that is asked for
+            pairs = reachable(edges, starts.distinct(), low, high)
+            return self._arrive(cur, left, right, bound, pairs.select(F.col("start").alias(f"{hop.var}_start"), F.col("end").alias(f"{hop.var}_end")), hop.var)
         paths = expand(edges, starts.distinct(), low, high)
         p = hop.path or hop.var
         paths = paths.select(
@@ -215,6 +288,10 @@ class Match:
             F.col("node_ids").alias(f"{p}_node_ids"),
             F.col("edge_ids").alias(f"{p}_edge_ids"),
         )
+        return self._arrive(cur, left, right, bound, paths, p)
+
+    def _arrive(self, cur, left: _Node, right: _Node, bound: set[str], paths: DataFrame, p: str) -> DataFrame:
+        """Join ways from the left node and bind the right one."""
         if cur is None:
             cur = paths.withColumn(f"{left.var}_id", F.col(f"{p}_start"))
         else:
@@ -236,9 +313,27 @@ class Match:
     def variables(self) -> set[str]:
         return {s.var for steps in self._paths for s in steps if isinstance(s, _Node) and s.named}
 
+    def distinct(self, *columns: str) -> DataFrame:
+        """RETURN DISTINCT ``columns``.
+
+        A hop of variable length without a name is then compiled to a search for reachable ends, with one row for each start and
+        end, whatever the number of ways between them; ``*`` ends on graphs with cycles too. With a name, or at least two
+        edges long, its ways are listed as in ``df``.
+        """
+        return self._matches(once=True).select(*columns).distinct()
+
+    def ends(self, *columns: str) -> DataFrame:
+        """As ``distinct``, for semi-joins, which do not mind repeated rows."""
+        return self._matches(once=True).select(*columns)
+
     def df(self) -> DataFrame:
-        cur, bound, hops = None, set(), []
-        for number, steps in enumerate(self._paths):
+        """One row per match."""
+        return self._matches(once=False)
+
+    def _matches(self, once: bool) -> DataFrame:
+        self._once = once
+        cur, bound, hops = (self._by_size() if self._cyclic() else None), set(), []
+        for number, steps in enumerate(self._paths if cur is None else []):
             named = {s.var for s in steps if isinstance(s, _Node)}
             if cur is not None and steps[0].var not in bound and steps[-1].var in bound:
                 steps = self._flip(steps)
@@ -281,7 +376,7 @@ def left_outer(cur: DataFrame, other: DataFrame, id_columns: list[str], conditio
 def exists_pattern(rows: DataFrame, pattern: Match, on: list[str], negate: bool = False) -> DataFrame:
     """WHERE [NOT] EXISTS(pattern): semi or anti join on the shared variables."""
     ids = [f"{v}_id" for v in on]
-    return rows.join(pattern.df().select(*ids), ids, "left_anti" if negate else "left_semi")
+    return rows.join(pattern.ends(*ids), ids, "left_anti" if negate else "left_semi")
 
 
 def pattern_list(rows: DataFrame, pattern: Match, on: str, value: Column, out: str, where: Column | None = None) -> DataFrame:

@@ -54,6 +54,36 @@ def expand(edges: DataFrame, starts: DataFrame, low: int, high: int | None) -> D
     return result
 
 
+def reachable(edges: DataFrame, starts: DataFrame, low: int = 1, high: int | None = None) -> DataFrame:
+    """``start, end`` once for all pairs with a path of ``low`` (0 or 1) to ``high`` edges between them.
+
+    The same pairs as the ends of ``expand``, which lists every path. Here a pair is met once: a search from all starts
+    at the same time, whose pairs lie in a placed table, so cycles end and many ways to a node cost no more than one.
+    """
+    if low > 1:
+        raise ValueError("a way of at least two edges is not a matter of reachability; use expand")
+    hops = edges.where("src <> dst").select("src", "dst").distinct()
+    first = starts.select(F.col("id").alias("start"), "id", F.lit(0).alias("depth")).distinct()
+    fan = Fanout(hops)
+    if high is not None and high <= _LAZY_DEPTH:
+        level, found = first, [first]
+        for _ in range(high):
+            level = fan.send(level.select("start", "id")).select("start", F.col("dst").alias("id")).distinct().withColumn("depth", F.lit(1))
+            found.append(level)
+        pairs = found[0]
+        for more in found[1:]:
+            pairs = pairs.unionAll(more.where("start <> id"))
+        return pairs.where(F.col("depth") >= low).select("start", F.col("id").alias("end")).distinct()
+    table, depth = PlacedTable(first, ["start", "id"]), 0
+    while high is None or depth < high:
+        step = fan.send(levels(table, depth).select("start", "id")).select("start", F.col("dst").alias("id")).distinct()
+        depth += 1
+        table.add(table.missing(step).withColumn("depth", F.lit(depth)))
+        if levels(table, depth).isEmpty():
+            break
+    return table.rows().where(F.col("depth") >= low).select("start", F.col("id").alias("end"))
+
+
 def shortest_paths(
     edges: DataFrame, starts: DataFrame, all_ties: bool = False, max_depth: int | None = None
 ) -> DataFrame:

@@ -100,8 +100,8 @@ JOIN nation ON s_nationkey = n_nationkey JOIN customer ON c_nationkey = n_nation
 JOIN orders ON o_custkey = c_custkey JOIN lineitem l ON l.l_orderkey = o_orderkey
 JOIN s ON s.l_partkey = l.l_partkey AND s.l_suppkey = s_suppkey GROUP BY 1""")
 def b06(spark, sf):
-    # suppliers of parts ordered by customers of the supplier's own nation. Paths are joined in the order
-    # written: the cycle closes on the busy nation last, when both its ends are bound.
+    # suppliers of parts ordered by customers of the supplier's own nation: a cycle over five hops, which is closed on
+    # part and nation together, as the sizes of the hops give it
     m = (
         supply(spark, sf).match()
         .node("c", "Customer").out("PLACED").node("o", "Order").out("CONTAINS").node("p", "Part").into("SUPPLIES").node("s", "Supplier")
@@ -165,6 +165,16 @@ def b08_unbounded(spark, sf):
     return m.groupBy("r_name", c("p_length").cast("long").alias("depth")).agg(F.count("*").alias("n"))
 
 
+@query("b08_reachable", f"""
+WITH RECURSIVE {HOP_SQL}, walk AS (
+ SELECT src AS a_id, src AS b_id FROM hop WHERE src = dst UNION SELECT a_id, dst FROM walk JOIN hop ON b_id = src)
+SELECT a_id, CAST(count(*) AS BIGINT) AS n FROM walk WHERE a_id <> b_id GROUP BY 1""")
+def b08_reachable(spark, sf):
+    # users with two events in a row, and how many others the hops lead to from them, however long the way is
+    m = hop(spark, sf).match().node("a").out("HOP").node("a").path().node("a").out("HOP", length=(1, None)).node("b")
+    return m.distinct("a_id", "b_id").groupBy("a_id").agg(F.count("*").alias("n"))
+
+
 @query("b09_named_path", _chain_sql(3, 3, """
 SELECT start_id AS a_id, CAST(depth AS BIGINT) AS len, array_to_string(ids, ',') AS nodes, array_to_string(ids[1:3], ',') AS edges
 FROM walk WHERE depth = {low}"""))
