@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # a selected part reduces another one before the joins if it leaves less than this share of its ids
 WORTH_REDUCING = 0.25
@@ -34,16 +34,18 @@ class Part:
 
 
 def sizes(frames: list[tuple[DataFrame, list[str]]]) -> list[tuple[int, list[int]]]:
-    """Rows and approximate different values of one or two columns of every frame, all in one job."""
-    one = [
-        df.select(F.lit(i).alias("part"), F.col(cols[0]).alias("a"), F.col(cols[-1]).alias("b")) for i, (df, cols) in enumerate(frames)
-    ]
-    together = one[0]
-    for more in one[1:]:
-        together = together.unionAll(more)
-    found = together.groupBy("part").agg(F.count("*").alias("n"), F.approx_count_distinct("a").alias("da"), F.approx_count_distinct("b").alias("db")).collect()
+    """Rows of every frame and approximate different values of its columns (none, one or two), all in one job."""
+    def ends(cols: list[str]) -> list[Column]:
+        nothing = F.lit(None).cast("long")
+        return [F.col(cols[0]) if cols else nothing, F.col(cols[1]) if len(cols) > 1 else nothing]
+
+    one = [df.select(F.lit(i).alias("part"), *[x.alias(n) for x, n in zip(ends(cols), "ab")]) for i, (df, cols) in enumerate(frames)]
+    # a tree of unions: each step analyses its own branches only
+    while len(one) > 1:
+        one = [a.unionAll(b) for a, b in zip(one[::2], one[1::2])] + one[len(one) - len(one) % 2 :]
+    found = one[0].groupBy("part").agg(F.count("*").alias("n"), F.approx_count_distinct("a").alias("da"), F.approx_count_distinct("b").alias("db")).collect()
     by_part = {r.part: (r.n, [r.da, r.db]) for r in found}  # one row a hop or node of the pattern
-    return [by_part.get(i, (0, [0, 0])) for i in range(len(frames))]
+    return [(n, d[: len(cols)]) for (n, d), (_, cols) in zip((by_part.get(i, (0, [0, 0])) for i in range(len(frames))), frames)]
 
 
 def estimate(a: Part, b: Part) -> float:

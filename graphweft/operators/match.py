@@ -259,8 +259,8 @@ class Match:
                     df = scan_nodes(Graph(df, self.graph.edges), None, n.props)
                 nodes[var] = df.select(*[F.col(c).alias(f"{var}_{c}") for c in df.columns])
         chosen = [v for v in nodes if any(n.constrained for n in asked[v])]
-        found = sizes([(df, [f"{v}_id" for v in ends]) for df, ends in frames] + [(nodes[v], [f"{v}_id"]) for v in chosen])
-        parts = [Part(df, float(n), dict(zip(ends, map(float, d))), [hop]) for (df, ends), (n, d), (_, hop, _) in zip(frames, found, triples)]
+        found = sizes([(df, [f"{v}_id" for v in dict.fromkeys(ends)]) for df, ends in frames] + [(nodes[v], []) for v in chosen])  # node ids differ
+        parts = [Part(df, float(n), dict(zip(dict.fromkeys(ends), map(float, d))), [hop]) for (df, ends), (n, d), (_, hop, _) in zip(frames, found, triples)]
         counts = {v: float(n) for v, (n, _) in zip(chosen, found[len(frames):])}
         for var, df in nodes.items():
             part = min((p for p in parts if var in p.ids), key=lambda p: p.rows)

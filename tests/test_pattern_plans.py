@@ -68,7 +68,7 @@ def test_cycle_closes_on_both_variables(plain):
 
 def test_sizes_and_estimates(spark):
     df = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "a_id long, b_id long")
-    assert sizes([(df, ["a_id", "b_id"]), (df.where("a_id = 9"), ["a_id"])]) == [(3, [2, 2]), (0, [0, 0])]
+    assert sizes([(df, ["a_id", "b_id"]), (df.where("a_id = 9"), ["a_id"]), (df, [])]) == [(3, [2, 2]), (0, [0]), (3, [])]
     x, y = Part(df, 100.0, {"a": 10.0, "b": 50.0}, []), Part(df, 30.0, {"b": 5.0, "c": 30.0}, [])
     assert estimate(x, y) == 60.0 and estimate(x, Part(df, 1.0, {"z": 1.0}, [])) == float("inf")
     x.limit("a", 1.0)
