@@ -8,7 +8,12 @@ plain ones the blank lines that end a record. So archives can lie wherever Spark
 write, and their size is bounded by ``ARCHIVE_BYTES`` and one record.
 
 Reading: a record counts only if its member unpacks with the right checksum, it begins
-with a version line, its block is as long as it says and its payload digest agrees.
+with a version line (of any version), its block is as long as it says and its digests agree: the block
+digest with the block, the payload digest with the payload. Where the block is an HTTP message the payload
+is what follows its headers (which become ``http_head``), as stored or with the chunks of its transfer
+joined, since writers differ. Digests are hexadecimal or base32; those of an unknown algorithm are
+not checked, nor are payload digests that tell of other bytes: in revisits, cut-off and segmented records.
+A block that agrees with its own digest is as it was written, so a payload digest cannot refuse it.
 After a failed check the reader searches all the rest for the next position where a gzip member or
 version line starts a record that passes, takes up there, and reports the bytes between as a gap.
 Neither the start of an archive nor its name says which of the two it holds. A member that
@@ -24,6 +29,7 @@ table gives an archive folder without records.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -34,14 +40,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"  # fixed value
 RECORD_END = b"\r\n\r\n"
-VERSION = b"WARC/1."
+VERSION = b"WARC/"
+VERSION_LINE = re.compile(rb"WARC/\d+\.\d+[ \t]*\r\n")
+DIGESTS = ("md5", "sha1", "sha256", "sha384", "sha512")  # fixed value: those that are checked
+HTTP_HEAD = ":http"  # key of the HTTP headers among those of the record; no header name holds a colon
 GZIP = b"\x1f\x8b\x08"
 MIN_SHARED = 100  # payloads below are never referred to
 ARCHIVE_BYTES = 16 << 20
 MAX_ARCHIVE_BYTES = 1 << 30
 LEVEL = 6
 
-RECORD = "archive string, offset long, length long, type string, id string, uri string, date string, refers_to string, digest string, payload_bytes long, payload binary"
+RECORD = "archive string, offset long, length long, type string, id string, uri string, date string, refers_to string, digest string, payload_bytes long, payload binary, http_head string"
 SALVAGED = f"{RECORD}, problem string"
 
 
@@ -68,7 +77,7 @@ def _record(ident: str | None, uri: str | None, payload: bytes, size: int, diges
         ("Content-Type", "application/octet-stream"),
         ("Content-Length", str(0 if revisit else size)),
     ]
-    return VERSION + b"1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + (b"" if revisit else payload)
+    return VERSION + b"1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + (b"" if revisit else payload)
 
 
 def _member(record: bytes) -> bytes:
@@ -106,27 +115,83 @@ def _packed(records: list[bytes], compressed: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([(b"" if compressed else RECORD_END).join(records)], pa.binary())], ["archive"])
 
 
+def _agrees(digest: str, *forms: bytes) -> bool:
+    """Is ``digest`` (algorithm:value) that of one of the forms? Unknown algorithms are not checked."""
+    kind, _, value = digest.partition(":")
+    kind, value = kind.strip().lower().replace("-", ""), value.strip()
+    if kind not in DIGESTS:
+        return True
+    for form in forms:
+        own = hashlib.new(kind, form)
+        if value.lower() == own.hexdigest() or value.upper().rstrip("=") == base64.b32encode(own.digest()).decode().rstrip("="):
+            return True
+    return False
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The chunks of an HTTP body joined; None if it is not made of chunks."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = re.fullmatch(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(;.*)?", body[at:end], re.DOTALL) if end >= 0 else None
+        if not size:
+            return None
+        n, at = int(size[1], 16), end + 2
+        if n == 0:
+            return b"".join(out)
+        if at + n > len(body):
+            return None
+        out.append(body[at : at + n])
+        at += n + 2
+
+
+def _headers(text: bytes) -> dict[str, str] | None:
+    """Names in lower case with their values, folded lines joined; None if a line is no header."""
+    head: dict[str, str] = {}
+    name = None
+    for line in text.decode("utf-8", "replace").split("\r\n"):
+        if line[:1] in (" ", "\t") and name is not None:
+            head[name] = f"{head[name]} {line.strip()}".strip()
+            continue
+        name, colon, value = line.partition(":")
+        if not colon:
+            return None
+        name = name.strip().lower()
+        head[name] = value.strip()
+    return head
+
+
 def _parse(block: bytes) -> tuple[dict[str, str], bytes] | str:
     """Headers and payload of one record without its end, or what is wrong with it."""
-    if not block.startswith(VERSION):
+    version = VERSION_LINE.match(block)
+    if not version:
         return "no version line"
-    end = block.find(RECORD_END)
+    end = block.find(RECORD_END, version.end() - 2)
     if end < 0:
         return "no end of headers"
-    head: dict[str, str] = {}
-    for line in block[:end].decode("utf-8", "replace").split("\r\n")[1:]:
-        name, colon, value = line.partition(":")
-        if not colon:
-            return "bad header line"
-        head[name.strip().lower()] = value.strip()
+    head = _headers(block[version.end() : end])
+    if head is None:
+        return "bad header line"
     if not head.get("content-length", "").isdigit():
         return "no length"
     body = block[end + 4 :]
     if len(body) < int(head["content-length"]):
         return "block too short"
     body = body[: int(head["content-length"])]
-    kind, _, digest = head.get("warc-payload-digest", "").partition(":")
-    if head.get("warc-type") != "revisit" and kind.lower() == "sha256" and hashlib.sha256(body).hexdigest() != digest.lower():
+    own = head.get("warc-block-digest", "")
+    if own and not _agrees(own, body):
+        return "block digest differs"
+    sure = own.partition(":")[0].strip().lower().replace("-", "") in DIGESTS
+    forms = (body,)
+    if head.get("content-type", "").lower().startswith("application/http"):
+        stop = body.find(RECORD_END)
+        if stop >= 0:
+            head[HTTP_HEAD] = body[:stop].decode("utf-8", "replace")
+            body = body[stop + 4 :]
+            chunks = _unchunked(body) if re.search(r"(?im)^transfer-encoding:.*chunked", head[HTTP_HEAD]) else None
+            forms = (body,) if chunks is None else (body, chunks)
+    elsewhere = head.get("warc-type", "").lower() == "revisit" or "warc-truncated" in head or "warc-segment-number" in head
+    if not sure and not elsewhere and not _agrees(head.get("warc-payload-digest", ""), *forms):
         return "payload digest differs"
     return head, body
 
@@ -134,7 +199,7 @@ def _parse(block: bytes) -> tuple[dict[str, str], bytes] | str:
 def _plain_at(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     """The record of a plain archive at a position: where it ends, headers, payload."""
     end = data.find(RECORD_END, at)
-    if not data.startswith(VERSION, at) or end < 0:
+    if not VERSION_LINE.match(data, at) or end < 0:
         return "no version line"
     length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", data[at:end])
     if not length:
@@ -237,12 +302,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 name, out, held = batch.column(0)[i].as_py(), [], 0
                 for offset, length, head, body, problem in salvage(batch.column(1)[i].as_py()):
                     if head is None:
-                        out.append((name, offset, length, *[None] * 8, problem))
+                        out.append((name, offset, length, *[None] * 9, problem))
                     else:
                         size = head.get("x-payload-length", "")
                         out.append((
                             name, offset, length, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-date"),
-                            head.get("warc-refers-to"), head.get("warc-payload-digest"), int(size) if size.isdigit() else len(body), body, None,
+                            head.get("warc-refers-to"), head.get("warc-payload-digest"), int(size) if size.isdigit() else len(body), body, head.get(HTTP_HEAD), None,
                         ))
                         held += len(body)
                     if held > ARCHIVE_BYTES or len(out) > 5000:
@@ -255,7 +320,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary(), pa.string()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary(), pa.string(), pa.string()]
     names = [c.split()[0] for c in SALVAGED.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 

@@ -1,6 +1,7 @@
 """The operators on small made cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import gzip
+import base64
 import hashlib
 import random
 
@@ -109,6 +110,47 @@ def test_warc_salvage_behind_long_leading_damage(packed):
         assert [(r[0], r[1]) for r in found if r[4]] == [(0, len(first))] and [r[2]["warc-record-id"] for r in found if r[2]] == ids
 
 
+def _crawled(version, kind, ident, block, extra, content="application/http; msgtype=response"):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: {ident}", f"Content-Type: {content}", *extra, f"Content-Length: {len(block)}"]
+    return f"WARC/{version}\r\n".encode() + "\r\n".join(head).encode() + b"\r\n\r\n" + block + warc.RECORD_END
+
+
+def test_warc_records_of_crawlers(spark, tmp_path):
+    b32 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    body = b"<html>caf\xc3\xa9</html>" * 20
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + b"%x\r\n" % 100 + body[:100] + b"\r\n%x;q=1\r\n" % (len(body) - 100) + body[100:] + b"\r\n0\r\n\r\n"
+    good = [
+        _crawled("1.0", "response", "both", http, [f"WARC-Block-Digest: {b32(http)}", f"WARC-Payload-Digest: {b32(body)}"]),
+        _crawled("0.17", "response", "old", http, [f"WARC-Payload-Digest: {b32(body).lower()}"]),
+        _crawled("0.18", "response", "hex", http, [f"WARC-Payload-Digest: SHA-256:{hashlib.sha256(body).hexdigest().upper()}"]),
+        _crawled("1.1", "response", "raw-chunks", chunked, [f"WARC-Payload-Digest: {b32(chunked.partition(warc.RECORD_END)[2])}"]),
+        _crawled("1.1", "response", "joined-chunks", chunked, [f"WARC-Payload-Digest: {b32(body)}"]),
+        _crawled("1.1", "response", "unknown", http, ["WARC-Payload-Digest: blake9:zz"]),
+        _crawled("1.1", "response", "folded", http, ["WARC-Payload-Digest: sha1:", f" {b32(body)[5:]}"]),
+        _crawled("1.1", "revisit", "revisit", http.partition(body)[0], [f"WARC-Payload-Digest: {b32(body)}"]),
+        _crawled("1.1", "response", "cut", http[:90], [f"WARC-Payload-Digest: {b32(body)}", "WARC-Truncated: length"]),
+        _crawled("1.0", "warcinfo", "info", b"software: x\r\n", [], "application/warc-fields"),
+        _crawled("1.0", "metadata", "none", b"", []),
+    ]
+    bad = [
+        _crawled("1.0", "response", "block", http, [f"WARC-Block-Digest: {b32(body)}"]),
+        _crawled("1.0", "response", "payload", http, [f"WARC-Payload-Digest: {b32(http)}"]),
+        _crawled("1.x", "response", "version", http, []),
+    ]
+    names = ["both", "old", "hex", "raw-chunks", "joined-chunks", "unknown", "folded", "revisit", "cut", "info", "none"]
+    for pack in (lambda r: r, warc._member):
+        found = list(warc.salvage(b"".join(pack(r) for r in good)))
+        assert [r[2]["warc-record-id"] for r in found] == names and not [r for r in found if r[4]]
+        for record in bad:
+            found = list(warc.salvage(pack(good[0]) + pack(record) + pack(good[1])))
+            assert [r[2] and r[2]["warc-record-id"] for r in found] == ["both", None, "old"] and found[1][1] == len(pack(record))
+    (tmp_path / "crawl.warc.gz").write_bytes(b"".join(map(warc._member, good)))
+    got = {r.id: r for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert bytes(got["both"].payload) == body and got["both"].payload_bytes == len(body) and got["both"].http_head.startswith("HTTP/1.1 200 OK")
+    assert got["info"].http_head is None and bytes(got["info"].payload) == b"software: x\r\n"
+
+
 def test_warc_members_of_several_records(spark, tmp_path):
     def record(i):
         body = f"payload {i}".encode()
