@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..graph import Graph
 from ..ordered import dense_number
+from .sequence import StoredMarks
 
 
 def _next_id(df: DataFrame) -> int:
@@ -30,9 +31,14 @@ def _append(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 # -- CREATE -----------------------------------------------------------------------------------
-def create_nodes(graph: Graph, rows: DataFrame, labels: str | list[str], order: list[str], **props: Column) -> Graph:
-    """One node per row, ids after the present maximum in ``order``."""
-    numbered = dense_number(rows, order, "_id", start=_next_id(graph.nodes))
+def _numbered(present: DataFrame, rows: DataFrame, order: list[str], marks: StoredMarks | None, name: str) -> DataFrame:
+    """``rows`` with ``_id``: after the largest present one, or from the stored sequence ``name``, which scans nothing."""
+    return dense_number(rows, order, "_id", start=_next_id(present)) if marks is None else marks.nextval(rows, name, order, "_id")
+
+
+def create_nodes(graph: Graph, rows: DataFrame, labels: str | list[str], order: list[str], marks: StoredMarks | None = None, **props: Column) -> Graph:
+    """One node per row, ids in ``order`` after the present maximum or, with ``marks``, from the sequence ``nodes``."""
+    numbered = _numbered(graph.nodes, rows, order, marks, "nodes")
     new = numbered.select(F.col("_id").alias("id"), _label_array(labels).alias("labels"), *[c.alias(n) for n, c in props.items()])
     return Graph(_append(graph.nodes, new), graph.edges, graph.name)
 
@@ -67,9 +73,9 @@ def create_paths(
     return Graph(all_nodes, all_edges, graph.name)
 
 
-def create_edges(graph: Graph, matched: DataFrame, src: str, dst: str, type: str, order: list[str], **props: Column) -> Graph:
-    """One edge per matched row; no rows, no change."""
-    numbered = dense_number(matched, order, "_id", start=_next_id(graph.edges))
+def create_edges(graph: Graph, matched: DataFrame, src: str, dst: str, type: str, order: list[str], marks: StoredMarks | None = None, **props: Column) -> Graph:
+    """One edge per matched row; no rows, no change (D2). Ids as in ``create_nodes``, from the sequence ``edges``."""
+    numbered = _numbered(graph.edges, matched, order, marks, "edges")
     new = numbered.select(
         F.col("_id").alias("id"), F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"), F.lit(type).alias("type"),
         *[c.alias(n) for n, c in props.items()],
@@ -235,23 +241,26 @@ def delete_edges(graph: Graph, ids: DataFrame) -> Graph:
 
 # -- statistics -------------------------------------------------------------------------------
 def mutation_stats(before: Graph, after: Graph) -> DataFrame:
-    """One row of counts: created and deleted nodes and edges, node properties changed."""
-    shared = [p for p in after.node_props if p in before.node_props]
-    fresh = [p for p in after.node_props if p not in before.node_props]
+    """One row of counts: created and deleted nodes and edges, properties of both changed."""
+
+    def compared(a: DataFrame, b: DataFrame, old: list[str], new: list[str]) -> tuple[DataFrame, Column]:
+        shared, fresh = [p for p in new if p in old], [p for p in new if p not in old]
+        gone = [p for p in old if p not in new]
 
-    def side(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
-        return df.select("id", F.struct(F.lit(1).alias("one"), *cols).alias(name))
+        def side(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
+            return df.select("id", F.struct(F.lit(1).alias("one"), *cols).alias(name))
 
-    nodes = side(before.nodes, "a", shared).join(side(after.nodes, "b", [*shared, *fresh]), "id", "full")
-    differing = [(~F.col(f"a.{p}").eqNullSafe(F.col(f"b.{p}"))).cast("int") for p in shared] + [F.col(f"b.{p}").isNotNull().cast("int") for p in fresh]
-    changed = sum(differing, F.lit(0))
-    edges = before.edges.select("id", F.lit(1).alias("a")).join(after.edges.select("id", F.lit(1).alias("b")), "id", "full")
+        both = side(a, "a", [*shared, *gone]).join(side(b, "b", [*shared, *fresh]), "id", "full")
+        differing = [(~F.col(f"a.{p}").eqNullSafe(F.col(f"b.{p}"))).cast("int") for p in shared]
+        differing += [F.col(f"b.{p}").isNotNull().cast("int") for p in fresh] + [F.col(f"a.{p}").isNotNull().cast("int") for p in gone]
+        return both, F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), sum(differing, F.lit(0))).otherwise(0)
+
+    created, deleted = F.col("a").isNull().cast("long"), F.col("b").isNull().cast("long")
+    nodes, node_changes = compared(before.nodes, after.nodes, before.node_props, after.node_props)
+    edges, edge_changes = compared(before.edges, after.edges, before.edge_props, after.edge_props)
     counts = nodes.select(
-        F.col("a").isNull().cast("long").alias("nodes_created"), F.col("b").isNull().cast("long").alias("nodes_deleted"),
-        F.lit(0).alias("edges_created"), F.lit(0).alias("edges_deleted"),
-        F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), changed).otherwise(0).alias("properties_set"),
-    ).unionAll(
-        edges.select(F.lit(0), F.lit(0), F.col("a").isNull().cast("long"), F.col("b").isNull().cast("long"), F.lit(0))
-    )
+        created.alias("nodes_created"), deleted.alias("nodes_deleted"), F.lit(0).alias("edges_created"), F.lit(0).alias("edges_deleted"),
+        node_changes.alias("properties_set"),
+    ).unionAll(edges.select(F.lit(0), F.lit(0), created, deleted, edge_changes))
     names = ("nodes_created", "nodes_deleted", "edges_created", "edges_deleted", "properties_set")
     return counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..versions import Versions
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 
@@ -138,3 +142,62 @@ def summary(changes: DataFrame) -> DataFrame:
     ops = changes.groupBy("op").agg(F.count("*").alias("n")).select("op", F.lit(None).cast("string").alias("column"), "n")
     cols = changes.where(F.col("op") == UPDATE).select("op", F.explode("changed").alias("column")).groupBy("op", "column").agg(F.count("*").alias("n"))
     return ops.unionByName(cols)
+
+
+class PatchConflict(ValueError):
+    """Changes that do not fit; ``conflicts`` has them for each table."""
+
+    def __init__(self, conflicts: dict[str, DataFrame]):
+        super().__init__(f"the patch does not fit the tables {sorted(conflicts)}; see conflicts")
+        self.conflicts = conflicts
+
+
+class TableSet:
+    """Several Parquet tables below one shared folder that change together or not at all.
+
+    Tables are written beside the present ones; a manifest, published last, names the folder of each. Readers take all tables from one
+    manifest. A run that dies before that leaves the tables as they were, and its folders unnamed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder.rstrip("/")
+        self._versions = Versions(spark, f"{self._folder}/_manifests")
+
+    def read(self) -> dict[str, DataFrame]:
+        """All tables of the newest manifest."""
+        return self._open(json.loads(self._versions.latest()[1] or "{}"))
+
+    def _open(self, manifest: dict[str, str]) -> dict[str, DataFrame]:
+        return {name: self._spark.read.parquet(f"{self._folder}/{sub}") for name, sub in manifest.items()}
+
+    def _stage(self, tables: dict[str, DataFrame]) -> dict[str, str]:
+        run = f"data/{uuid.uuid4().hex}"
+        placed = {name: f"{run}/table-{i}" for i, name in enumerate(tables)}
+        for name, df in tables.items():
+            df.write.parquet(f"{self._folder}/{placed[name]}")
+        return placed
+
+    def write(self, tables: dict[str, DataFrame]) -> None:
+        """Add or replace whole tables, all in one step."""
+        staged = self._stage(tables)
+        self._versions.change(lambda text: json.dumps(json.loads(text or "{}") | staged, sort_keys=True))
+
+    def patch(self, changes: dict[str, DataFrame], keys: dict[str, list[str]]) -> None:
+        """Apply the changes of all tables, or of none: a conflict in one raises ``PatchConflict`` and leaves every table as it is.
+
+        If another writer publishes in the meantime, the changes are checked and applied anew to what it has published.
+        """
+        while True:
+            number, text = self._versions.latest()
+            manifest = json.loads(text or "{}")
+            unknown = set(changes) - set(manifest)
+            if unknown:
+                raise ValueError(f"no such tables: {sorted(unknown)}")
+            tables = self._open({name: manifest[name] for name in changes})
+            patched = {name: patch(tables[name], change, keys[name]) for name, change in changes.items()}
+            wrong = {name: p.conflicts for name, p in patched.items() if not p.conflicts.isEmpty()}
+            if wrong:
+                raise PatchConflict(wrong)
+            staged = self._stage({name: p.table for name, p in patched.items()})
+            if self._versions.publish(number + 1, json.dumps(manifest | staged, sort_keys=True)):
+                return
