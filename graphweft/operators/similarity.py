@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..graph import Graph
 from ..ordered import running_sum
@@ -59,8 +59,11 @@ def node_similarity(graph: Graph, threshold: float = 0.0, top_k: int | None = No
     produces just those. With one, only the rarest neighbours of each node are used
     to find candidates (any pair reaching the threshold shares one of them), so
     popular neighbours are not paired at all; candidates are then counted exactly.
+    ``top_k`` without a threshold takes the pairs from the best partners of each node.
     """
     adj = cut(_out_neighbours(graph))
+    if threshold <= 0 and top_k is not None:
+        return _best_partners(adj, adj, top_k, larger_only=True).drop("rank").orderBy(F.desc("similarity"), "a", "b").limit(top_k)
     sizes = cut(adj.groupBy("a").agg(F.count("*").alias("n")))
     if threshold <= 0:
         keyed = Fanout(adj.select(F.col("nb").alias("src"), F.col("a").alias("dst")))
@@ -99,16 +102,102 @@ def pair_similarity(graph: Graph, pairs: DataFrame) -> DataFrame:
 
 
 def knn_nodes(graph: Graph, k: int = 10, nodes: DataFrame | None = None) -> DataFrame:
-    """``a, b, similarity, rank``: the k most similar nodes with a positive value.
+    """``a, b, similarity, rank``: the k most similar nodes with a positive value, ties to the smaller id.
 
     ``nodes(id)`` restricts the left side; by default every node gets its list.
     """
-    adj = _out_neighbours(graph)
-    sizes = cut(adj.groupBy("a").agg(F.count("*").alias("n")))
+    adj = cut(_out_neighbours(graph))
     left = adj if nodes is None else adj.join(nodes.select(F.col("id").alias("a")), "a", "left_semi")
-    keyed = Fanout(adj.select(F.col("nb").alias("src"), F.col("a").alias("dst")))
-    both = keyed.send(left.select(F.col("nb").alias("id"), "a")).where("a <> dst")
-    scored = _scored(both.groupBy("a", F.col("dst").alias("b")).agg(F.count("*").alias("shared")), sizes)
+    return _best_partners(adj, left, k)
+
+
+# Partners a node looks at in the first round of the search, and by how much each round widens it.
+FIRST_LOOK = 256
+WIDER = 8
+
+
+def _best_partners(adj: DataFrame, left: DataFrame, k: int, larger_only: bool = False, first_look: int | None = None) -> DataFrame:
+    """The k best partners of every node of ``left`` (with ``larger_only`` among those of larger id), exact.
+
+    Two ways, chosen for each node by what they cost. A node whose neighbours have few holders counts all common neighbours;
+    that is at most ``first_look`` rows per edge. The others, which touch hubs, search (``_search``).
+    """
+    look = first_look or FIRST_LOOK
+    sizes = cut(adj.groupBy("a").agg(F.count("*").alias("n")))
+    popular = adj.groupBy("nb").agg(F.count("*").alias("pop")).where("pop > 1")  # others are shared with nobody
+    full = cut(adj.join(popular, "nb").join(sizes, "a"))
+    mine = full.join(left.select("a").distinct(), "a", "left_semi")
+    cost = cut(mine.groupBy("a", "n").agg(F.sum("pop").alias("cost")))
+    dear = F.col("cost") > F.col("n") * look
+    cheap = mine.join(cost.where(~dear).select("a"), "a", "left_semi")
+    others = full.select("nb", F.col("a").alias("b"), F.col("n").alias("m"))
+    allowed = F.col("b") > F.col("a") if larger_only else F.col("b") != F.col("a")
+    counted = cheap.select("a", "nb", "n").join(others, "nb").where(allowed).groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))
+    best = _ranked(counted.select("a", "b", _jaccard("shared").alias("similarity")), k)
+    searching = cost.where(dear).select("a")
+    if searching.isEmpty():
+        return best
+    return best.unionByName(_search(full, mine.join(searching, "a", "left_semi"), k, allowed, look))
+
+
+def _jaccard(shared: str) -> Column:
+    return F.col(shared) / (F.col("n") + F.col("m") - F.col(shared))
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(W.partitionBy("a").orderBy(F.desc("similarity"), "b"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
+
+def _search(full: DataFrame, mine: DataFrame, k: int, allowed: Column, look: int) -> DataFrame:
+    """Best partners of the nodes of ``mine``, most promising holders first, until none left can enter the list.
+
+    Neighbours are ordered by rarity. A partner whose first common neighbour is this one shares at most those from here on, so
+    the holders of a neighbour, in classes of similar size, have a bound; popular neighbours come last and have low ones. Each round looks
+    at the next holders in order of the bounds, counts exactly what they share, and ends for the nodes whose k-th value
+    beats the bound of all that is left. Within a class holders are sorted by (size, id), so equal values end a class too.
+    The holders come in blocks of ``look`` rows: a hub is read as far as somebody needs it.
+    """
+    size_class = F.floor(4 * F.log2("n")).cast("int")  # sizes up to 8 by themselves, then steps of a fifth
+    holders = running_sum(full.withColumn("g", size_class), ["nb", "g"], ["n", "a"], F.lit(1), "pos").select(
+        "nb", "g", "pos", F.floor((F.col("pos") - 1) / look).alias("block"), F.col("a").alias("b"), F.col("n").alias("m")
+    )
+    holders = cut(holders)
+    classes = holders.groupBy("nb", "g").agg(F.min("m").alias("lo"), F.max("m").alias("hi"), F.count("*").alias("cnt"))
+    rest = running_sum(mine, ["a"], [F.desc("pop"), F.desc("nb")], F.lit(1), "rest")
+    most = F.least("rest", "hi")
+    steps = rest.join(classes, "nb").withColumn("most", most)
+    steps = steps.withColumn("bound", F.col("most") / (F.col("n") + F.greatest("most", "lo") - F.col("most")))
+    steps = cut(
+        running_sum(steps.select("a", "n", "nb", "g", "most", "bound", "cnt"), ["a"], [F.desc("bound"), "nb", "g"], F.col("cnt"), "upto")
+        .withColumn("before", F.col("upto") - F.col("cnt"))
+    )
+    open_, best, done, wide = mine.select("a").distinct(), None, 0, look
+    while True:
+        left = cut(steps.where(F.col("upto") > done).join(open_, "a", "left_semi"))
+        first, last = F.greatest(F.lit(done) - F.col("before"), F.lit(0)), F.least(F.lit(wide) - F.col("before"), F.col("cnt"))
+        now = left.where(F.col("before") < wide).select("a", "n", "nb", "g", first.alias("first"), last.alias("last"))
+        blocks = F.sequence(F.floor(F.col("first") / look), F.floor((F.col("last") - 1) / look))
+        met = now.withColumn("block", F.explode(blocks)).join(holders, ["nb", "g", "block"]).where(allowed & (F.col("pos") > F.col("first")) & (F.col("pos") <= F.col("last")))
+        found = _count_shared(met.select("a", "b", "n", "m").distinct(), full).select("a", "b", _jaccard("shared").alias("similarity"))
+        if best is not None:
+            found = found.unionByName(best.drop("rank")).distinct()
+        best = cut(_ranked(found, k))
+        # what is left of each node: whole classes, and one class that was begun, of which the next holder is known
+        kth = best.where(F.col("rank") == k).select("a", F.col("similarity").alias("kth"), F.col("b").alias("kb"))
+        after = left.where(F.col("upto") > wide).withColumn("pos", F.when(F.col("before") < wide, F.lit(wide) - F.col("before") + 1))
+        after = after.join(holders.select("nb", "g", "pos", "b", "m"), ["nb", "g", "pos"], "left").join(kth, "a", "left")
+        bound = F.when(F.col("m").isNull(), F.col("bound")).otherwise(F.col("most") / (F.col("n") + F.greatest("most", "m") - F.col("most")))
+        tie = (bound == F.col("kth")) & (F.col("m") >= F.col("most")) & (F.col("b") > F.col("kb"))
+        open_ = cut(after.where(~F.coalesce((bound < F.col("kth")) | tie, F.lit(False))).select("a").distinct())
+        if open_.isEmpty():
+            return best
+        done, wide = wide, wide * WIDER
+
+
+def _count_shared(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """``pairs(a, b, n, m)`` with ``shared``; only the smaller of the two sets is spread out."""
+    small = F.col("n") <= F.col("m")
+    sided = pairs.withColumn("_s", F.when(small, F.col("a")).otherwise(F.col("b"))).withColumn("_l", F.when(small, F.col("b")).otherwise(F.col("a")))
+    spread = sided.join(full.select(F.col("a").alias("_s"), "nb"), "_s")
+    return spread.join(full.select(F.col("a").alias("_l"), "nb"), ["_l", "nb"]).groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))

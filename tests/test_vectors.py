@@ -224,3 +224,45 @@ def test_long_vectors_close_together(spark):
     for r in knn_join(df, df, 5).orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append(r.id)
     assert found == {i: brute(m, m[i], 5) for i in range(400)}
+
+
+def test_ivf_training_leaves_no_empty_cell(spark):
+    draw = np.random.default_rng(3)
+    spots = draw.normal(size=(12, 6)) * 50
+    m = np.concatenate([spot + draw.normal(size=(n, 6)) for spot, n in zip(spots, [400, *[5] * 11], strict=True)])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)] + [(9999, None)], "id long, embedding array<double>").repartition(5, "id")
+    for seed in range(3):
+        centres = ivf.train(df, 12, seed=seed)
+        nearest = np.square(m[:, None] - centres[None]).sum(2).argmin(1)
+        assert centres.shape == (12, 6) and (np.bincount(nearest, minlength=12) > 0).all()
+        assert np.array_equal(centres, ivf.train(df, 12, seed=seed))
+    # a plain version of the rounds from the same start: bad on purpose, all in one spot
+    start = np.repeat(m[:1], 12, axis=0)
+    got, kept = start, ivf._spread_start
+    ivf._spread_start = lambda sample, nlist, seed: start
+    try:
+        got = ivf.train(df, 12, iterations=20)
+    finally:
+        ivf._spread_start = kept
+    want = start
+    for _ in range(40):
+        d = np.square(m[:, None] - want[None]).sum(2)
+        cell = d.argmin(1)
+        own = np.square(m - want[cell]).sum(1)
+        sizes = np.bincount(cell, minlength=12)
+        new = np.array([m[cell == c].mean(0) if sizes[c] else want[c] for c in range(12)])
+        far = np.array([own[cell == c].max() if sizes[c] else -1.0 for c in range(12)])
+        empty = np.flatnonzero(sizes == 0)
+        donors = [c for c in np.argsort(-far, kind="stable") if far[c] > 0][: len(empty)]
+        for e, c in zip(empty, donors, strict=False):
+            new[e] = m[np.flatnonzero(cell == c)[own[cell == c].argmax()]]
+        if not len(empty) and np.square(new - want).sum(1).max() <= ivf.TOLERANCE:
+            break
+        want = new
+    assert got.shape == want.shape and np.allclose(got, want)
+
+
+def test_ivf_training_of_few_vectors(spark):
+    few = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(30)], "id long, embedding array<double>")
+    assert sorted(map(tuple, ivf.train(few, 8))) == [(0.0, 1.0), (1.0, 1.0), (2.0, 1.0)]
+    assert ivf.train(few.where("false"), 8).shape == (0, 0)
