@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..graph import Graph
 from ..ordered import dense_number
+from ..session import cut
 from .sequence import StoredMarks
 
 
@@ -55,8 +56,6 @@ def create_paths(
     ``nodes`` maps a variable to (labels, properties), ``edges`` lists (from, type, to,
     properties); a variable named by several edges is one node.
     """
-    from ..session import cut
-
     numbered = cut(dense_number(rows, order, "_n", start=0))
     first_node, first_edge = _next_id(graph.nodes), _next_id(graph.edges)
     ids = {var: F.col("_n") * len(nodes) + first_node + i for i, var in enumerate(nodes)}
@@ -92,6 +91,23 @@ def _one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
 
 
+def _merged(df: DataFrame, wanted: DataFrame, on: Column, on_match: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Entities after ON MATCH, and the wanted rows without an entity.
+
+    One outer join, written once: what is there already and what is missing are both read from it, so the
+    entities are computed a single time whatever is merged.
+    """
+    right = wanted.select(F.struct("*").alias("_w"), F.struct(F.lit(True).alias("_hit"), *[v.alias(n) for n, v in on_match.items()]).alias("_m"))
+    joined = cut(df.join(right, on, "full"))
+
+    def pick(name: str) -> Column:
+        old = F.col(name) if name in df.columns else F.lit(None)
+        return F.when(F.col("_m").isNotNull(), F.col(f"_m.{name}")).otherwise(old).alias(name) if name in on_match else F.col(name)
+
+    present = joined.where("id is not null").select(*[pick(n) for n in dict.fromkeys([*df.columns, *on_match])])
+    return present, joined.where("id is null").select("_w.*")
+
+
 def merge_nodes(
     graph: Graph,
     rows: DataFrame,
@@ -99,45 +115,27 @@ def merge_nodes(
     keys: list[str],
     on_create: dict[str, Column] | None = None,
     on_match: dict[str, Column] | None = None,
+    marks: StoredMarks | None = None,
 ) -> Graph:
     """Find nodes by labels and key properties, else create them.
 
     ``rows`` carries the key columns; the expressions may use its other columns.
     """
-    wanted = _one_per_key(rows, keys)
-    known = graph.nodes.where(_has_labels(labels)).select(*keys).distinct()
-    missing = wanted.join(known, keys, "left_anti")
-    out = graph
-    if on_match:
-        values = wanted.select(*keys, *[c.alias(f"_m_{n}") for n, c in on_match.items()], F.lit(True).alias("_hit"))
-        renamed = values.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_hit", *[f"_m_{n}" for n in on_match])
-        on = _has_labels(labels)
-        for k in keys:
-            on = on & (F.col(k) == F.col(f"_k_{k}"))
-        joined = _with_props(graph.nodes, on_match).join(renamed, on, "left")
-        changed = {n: F.when(F.col("_hit"), F.col(f"_m_{n}")).otherwise(F.col(n)) for n in on_match}
-        columns = [*graph.nodes.columns, *[n for n in on_match if n not in graph.nodes.columns]]
-        out = Graph(joined.select(*[changed.get(c, F.col(c)).alias(c) for c in columns]), graph.edges, graph.name)
+    on = _has_labels(labels)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_w.{k}"))
+    present, missing = _merged(graph.nodes, _one_per_key(rows, keys), on, on_match or {})
     props = {k: F.col(k) for k in keys} | (on_create or {})
-    return create_nodes(out, missing, labels, keys, **props)
+    return create_nodes(Graph(present, graph.edges, graph.name), missing, labels, keys, marks, **props)
 
 
-def merge_edges(graph: Graph, rows: DataFrame, type: str, on_create: dict[str, Column] | None = None, on_match: dict[str, Column] | None = None) -> Graph:
+def merge_edges(
+    graph: Graph, rows: DataFrame, type: str, on_create: dict[str, Column] | None = None, on_match: dict[str, Column] | None = None, marks: StoredMarks | None = None
+) -> Graph:
     """The same for edges on (src, dst, type) (D4). ``rows(src, dst, …)``."""
-    wanted = _one_per_key(rows, ["src", "dst"])
-    known = graph.edges.where(F.col("type") == type).select("src", "dst").distinct()
-    out = graph
-    if on_match:
-        values = wanted.select(
-            F.col("src").alias("_s"), F.col("dst").alias("_d"), F.lit(True).alias("_hit"), *[c.alias(f"_m_{n}") for n, c in on_match.items()]
-        )
-        on = (F.col("type") == type) & (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d"))
-        joined = _with_props(graph.edges, on_match).join(values, on, "left")
-        changed = {n: F.when(F.col("_hit"), F.col(f"_m_{n}")).otherwise(F.col(n)) for n in on_match}
-        columns = [*graph.edges.columns, *[n for n in on_match if n not in graph.edges.columns]]
-        out = Graph(graph.nodes, joined.select(*[changed.get(c, F.col(c)).alias(c) for c in columns]), graph.name)
-    missing = wanted.join(known, ["src", "dst"], "left_anti")
-    return create_edges(out, missing, "src", "dst", type, ["src", "dst"], **(on_create or {}))
+    on = (F.col("type") == type) & (F.col("src") == F.col("_w.src")) & (F.col("dst") == F.col("_w.dst"))
+    present, missing = _merged(graph.edges, _one_per_key(rows, ["src", "dst"]), on, on_match or {})
+    return create_edges(Graph(graph.nodes, present, graph.name), missing, "src", "dst", type, ["src", "dst"], marks, **(on_create or {}))
 
 
 def merge_then(graph: Graph, merge: Callable[[Graph], Graph], read: Callable[[Graph], DataFrame]) -> tuple[Graph, DataFrame]:
@@ -147,11 +145,6 @@ def merge_then(graph: Graph, merge: Callable[[Graph], Graph], read: Callable[[Gr
 
 
 # -- SET and REMOVE ---------------------------------------------------------------------------
-def _with_props(df: DataFrame, names) -> DataFrame:
-    """Columns for properties not seen before; their type comes with the first value."""
-    return df.withColumns({n: F.lit(None) for n in names if n not in df.columns})
-
-
 def _set(df: DataFrame, matched: DataFrame, values: dict[str, Column]) -> DataFrame:
     """``matched(id, …)`` supplies the new values; one row per entity."""
     new = _one_per_key(matched.select("id", *[v.alias(f"_v_{n}") for n, v in values.items()]), ["id"]).withColumn("_hit", F.lit(True))

@@ -308,6 +308,30 @@ def g19_threshold(spark, sf):
     return similarity.node_similarity(hop(spark, sf), threshold=0.3).select("a", "b", r(c("similarity"), "similarity"))
 
 
+@query("g19_similarity_top", _SIM + "SELECT a, b, round(j, 9) AS similarity FROM sim WHERE a < b ORDER BY j DESC, a, b LIMIT 200")
+def g19_top(spark, sf):
+    return similarity.node_similarity(hop(spark, sf), top_k=200).select("a", "b", r(c("similarity"), "similarity"))
+
+
+@query("g20_knn_hubs", """
+WITH adj AS MATERIALIZED (SELECT DISTINCT user_id + 1000000000 AS a, event_type AS nb FROM events
+ UNION SELECT DISTINCT user_id + 1000000000, CAST(CAST(ts AS DATE) AS VARCHAR) FROM events),
+sz AS (SELECT a, count(*) AS n FROM adj GROUP BY 1),
+sh AS (SELECT x.a AS a, y.a AS b, count(*) AS s FROM adj x JOIN adj y USING (nb) WHERE x.a <> y.a GROUP BY 1, 2),
+sim AS (SELECT sh.a, sh.b, s / (sa.n + sb.n - s) AS j FROM sh JOIN sz sa ON sa.a = sh.a JOIN sz sb ON sb.a = sh.b)
+SELECT a, b, CAST(rank AS BIGINT) AS rank, round(j, 9) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY j DESC, b) AS rank FROM sim) WHERE rank <= 3""")
+def g20_hubs(spark, sf):
+    """Users by the kinds and days of their events: few neighbours, each held by very many users."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    user = (c("user_id") + 1_000_000_000).alias("src")
+    kinds = events.select(user, F.xxhash64("event_type").alias("dst"))
+    days = events.select(user, F.xxhash64(F.to_date("ts").cast("string")).alias("dst"))
+    edges = kinds.union(days).distinct().select(F.xxhash64("src", "dst").alias("id"), "src", "dst", F.lit("HAS").alias("type"))
+    nodes = edges.select(c("src").alias("id")).union(edges.select("dst")).distinct().select("id", F.array(F.lit("Any")).alias("labels"))
+    best = similarity.knn_nodes(Graph(nodes, edges), 3)
+    return best.select("a", "b", c("rank").cast("long").alias("rank"), r(c("similarity"), "similarity"))
+
+
 @query("g19_similarity_pairs", _SIM + """
 SELECT src AS a, dst AS b, round(coalesce(j, 0), 9) AS similarity FROM hop LEFT JOIN sim ON sim.a = src AND sim.b = dst WHERE src <> dst""")
 def g19_pairs(spark, sf):

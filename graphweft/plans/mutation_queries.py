@@ -4,7 +4,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import udf as U
-from ..graph import Graph
+from ..graph import Graph, number_edges
+from ..operators import clauses as K
 from ..operators import mutate as D
 from ..operators import sync
 from ..session import new_folder
@@ -206,6 +207,35 @@ def d12(spark, sf):
     return D.mutation_stats(g, after)
 
 
+@query("d12_edge_statistics", """
+SELECT CAST(0 AS BIGINT) AS nodes_created, CAST(0 AS BIGINT) AS nodes_deleted, CAST(0 AS BIGINT) AS edges_created, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS edges_deleted,
+ (SELECT count(*) FROM lineitem WHERE l_returnflag = 'A') * 2 AS properties_set""")
+def d12_edges(spark, sf):
+    """Of the lines of all orders one kind goes; another gets a new flag and a property not seen before."""
+    lines = number_edges(supply(spark, sf).edges.where("type = 'CONTAINS'").select("src", "dst", "type", "quantity", "amount", "flag"), ["src", "dst", "quantity", "amount", "flag"])
+    g = Graph(supply(spark, sf).nodes, lines)
+    after = D.delete_edges(g, g.edges.where("flag = 'R'"))
+    after = D.set_edge_props(after, g.edges.where("flag = 'A'"), flag=F.lit("X"), checked=F.lit(True))
+    return D.mutation_stats(g, after)
+
+
+@query("c12_foreach_updates", f"""
+WITH v AS (SELECT c_custkey + {CUSTOMER} AS src, k, row_number() OVER (ORDER BY c_custkey, k) AS n FROM customer, (SELECT unnest([1, 2]) AS k))
+SELECT CAST((SELECT max(o_orderkey) + 4000000000000 FROM orders) + n AS BIGINT) AS id, src, CAST({_MAX} + n AS BIGINT) AS dst, k,
+ CAST(2 AS INT) AS visits FROM v""")
+def c12_updates(spark, sf):
+    """FOREACH that creates nodes, one that creates edges to them, and one that sets a property of the matched nodes."""
+    g = customers(spark, sf)
+    rows = g.match().node("a", "Customer").df().select("a_id")
+    both = F.array(F.lit(1), F.lit(2))
+    g = K.foreach(g, rows, both, "k", lambda graph, each: D.create_nodes(graph, each, "Visit", ["a_id", "k"], visitor=c("a_id"), k=c("k")))
+    made = g.match().node("v", "Visit").df().select(c("v_id").alias("visit"), c("v_visitor").alias("visitor"), "v_k")
+    g = K.foreach(g, made, F.array("v_k"), "k", lambda graph, each: D.create_edges(graph, each, "visitor", "visit", "MADE", ["visit"], k=c("k")))
+    g = K.foreach(g, rows, F.array(F.size(both)), "n", lambda graph, each: D.set_props(graph, each.select(c("a_id").alias("id"), "n"), visits=c("n")))
+    m = g.match().node("a", "Customer").out("MADE", var="r").node("b", "Visit").df()
+    return m.select(c("r_id").alias("id"), c("a_id").alias("src"), c("b_id").alias("dst"), c("r_k").alias("k"), c("a_visits").alias("visits"))
+
+
 # -- K ---------------------------------------------------------------------------------------
 def _as_stream(spark, df, files=4):
     """The rows as files that arrive one by one."""

@@ -252,7 +252,46 @@ def a04(spark, sf):
     return back.groupBy("op").agg(F.count("*").alias("n"), F.round(F.sum("new.o_totalprice"), 2).alias("new_total"))
 
 
+@query("i04_patch_tables", f"""
+WITH {ORDERS_B} SELECT 'orders' AS tbl, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 2) AS money FROM b
+UNION ALL SELECT 'customer', count(*), round(sum(greatest(c_acctbal, 0)), 2) FROM customer
+UNION ALL SELECT 'part', count(*), round(sum(p_retailprice), 2) FROM part WHERE p_size <= 40""")
+def i04_tables(spark, sf):
+    """Three tables patched in one step, after a patch that fits only two of them was refused as a whole."""
+    keys = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "part": ["p_partkey"]}
+    a = {"orders": table(spark, sf, "orders").select(*orders_b(spark, sf).columns), "customer": table(spark, sf, "customer"), "part": table(spark, sf, "part")}
+    b = {
+        "orders": orders_b(spark, sf), "customer": a["customer"].withColumn("c_acctbal", F.greatest("c_acctbal", F.lit(0.0))),
+        "part": a["part"].where("p_size <= 40"),
+    }
+    changes = sync.diff_tables(a, b, keys)
+    store = sync.TableSet(spark, new_folder(spark, "tables"))
+    store.write(a)
+    store.write({"part": b["part"]})
+    try:
+        store.patch(changes, keys)
+    except sync.PatchConflict:
+        store.write({"part": a["part"]})
+    store.patch(changes, keys)
+    now, out = store.read(), None
+    for name, money in (("orders", "o_totalprice"), ("customer", "c_acctbal"), ("part", "p_retailprice")):
+        one = now[name].agg(F.count("*").alias("n"), F.round(F.sum(money), 2).alias("money")).select(F.lit(name).alias("tbl"), "n", "money")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 # -- J ---------------------------------------------------------------------------------------
+@query("j01_stored_marks", """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS id FROM orders
+UNION ALL SELECT -1 - c_custkey, CAST((SELECT count(*) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS BIGINT) FROM customer""")
+def j01_stored(spark, sf):
+    folder = new_folder(spark, "marks")
+    one, other = (sequence.StoredMarks(spark, folder) for _ in range(2))
+    first = one.nextval(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "rows", ["o_orderdate", "o_orderkey"])
+    second = other.nextval(table(spark, sf, "customer").select("c_custkey"), "rows", ["c_custkey"])
+    return first.select("o_orderkey", "id").unionAll(second.select(-1 - c("c_custkey"), "id"))
+
+
 @query("j01_nextval", """
 SELECT o_orderkey, CAST(1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS id FROM orders
 UNION ALL SELECT -1 - c_custkey, CAST(1000 + (SELECT count(*) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS BIGINT) FROM customer""")
