@@ -71,11 +71,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Does ``df`` hold at most ``max_rows`` rows? Reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def cut_placed(df: DataFrame, partitions: int, keys: list[str]) -> DataFrame:
     """Like ``cut``, hash-placed and sorted by ``keys`` so that later joins on them need no shuffle.
 
