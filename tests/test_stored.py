@@ -121,3 +121,21 @@ def test_statistics_count_edge_properties(make):
     stats = mutate.mutation_stats(g, changed).first()
     assert (stats.nodes_created, stats.edges_created, stats.edges_deleted, stats.properties_set) == (0, 0, 0, 2)
     assert mutate.mutation_stats(changed, g).first().properties_set == 2
+
+
+def test_merges_with_stored_marks(spark, make, tmp_path):
+    """Null keys never match, parallel edges are all updated, new properties appear, ids come from the marks."""
+    marks = StoredMarks(spark, f"{tmp_path}/m")
+    marks.at_least("nodes", 10)
+    marks.at_least("edges", 20)
+    g = make([("x", "Ship", {}), ("y", "Ship", {}), ("x", "Pier", {})], [("x", "TOWS", "y", {}), ("x", "TOWS", "y", {}), ("x", "SEES", "y", {})])
+    g = mutate.set_props(g, g.nodes.where("id = 2"), name=F.lit(None).cast("string"))
+    src, dst = g.edges.select("src", "dst").where("id = 1").first()
+    new = spark.createDataFrame([("x", 7), ("x", 5), (None, 1), ("z", 2)], "name string, n int")
+    merged = mutate.merge_nodes(g, new, "Ship", ["name"], on_create={"fresh": F.lit(True)}, on_match={"seen": F.col("n")}, marks=marks)
+    got = sorted((tuple(r) for r in merged.nodes.select("id", "name", "seen", "fresh", F.col("labels")[0]).collect()), key=str)
+    ships = {r[0] for r in g.nodes.where("array_contains(labels, 'Ship') and name = 'x'").select("id").collect()}
+    assert {r[0] for r in got if r[2] == 5} == ships and [r[0] for r in got if r[3]] == [11, 12] and {r[1] for r in got if r[3]} == {None, "z"}
+    ends = spark.createDataFrame([(src, dst, 1), (dst, src, 2)], "src long, dst long, n int")
+    linked = mutate.merge_edges(g, ends, "TOWS", on_create={"born": F.col("n")}, on_match={"met": F.col("n")}, marks=marks)
+    assert sorted((r.id, r.type, r.met, r.born) for r in linked.edges.collect()) == [(1, "TOWS", 1, None), (2, "TOWS", 1, None), (3, "SEES", None, None), (21, "TOWS", None, 2)]
