@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphweft.functions import vectors as V
-from graphweft.operators import ivf, neighbour_graph
+from graphweft.operators import ivf, knn as knn_module, neighbour_graph
 from graphweft.operators.knn import knn, knn_join
 from graphweft.operators.rescore import add_codes, int8_codes, pack_bits, rescore
 from graphweft.sources import vectors as S
@@ -266,3 +266,42 @@ def test_ivf_training_of_few_vectors(spark):
     few = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(30)], "id long, embedding array<double>")
     assert sorted(map(tuple, ivf.train(few, 8))) == [(0.0, 1.0), (1.0, 1.0), (2.0, 1.0)]
     assert ivf.train(few.where("false"), 8).shape == (0, 0)
+
+
+def test_blocks_share_a_scan(many, monkeypatch):
+    m, df = many
+    scans = []
+    monkeypatch.setattr(knn_module, "query_chunks", lambda *a, real=knn_module.query_chunks: (scans.append(1) or x for x in real(*a)))
+    got = rows(knn_join(df, df, 4, "cosine", chunk_rows=10, skip_self=True), "query_id", "id")
+    assert len(scans) == 1  # 30 blocks, one scan
+    monkeypatch.setattr(knn_module, "CHUNK_CELLS", 100 * (16 + 8))
+    assert rows(knn_join(df, df, 4, "cosine", skip_self=True), "query_id", "id") == got
+    assert len(scans) == 4  # what the chunk's numbers allow, lists included
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "l1", "hamming"])
+@pytest.mark.parametrize("offset", [0.0, 3000.0])
+def test_best_lists_in_blocks(metric, offset):
+    draw = np.random.default_rng(4)
+    base = (draw.normal(size=(400, 16)) + offset).astype("float32") if metric != "hamming" else draw.integers(-(2**63), 2**63, size=(400, 2))
+    base[100:200], base[300:330] = base[:100], base[5]  # equal vectors: ties go to the smaller id
+    ids = draw.permutation(400)
+    own = ids[:60]
+    top = knn_module.TopK(metric, base[:60], 7, block=11)
+    for at in range(0, 400, 90):
+        top.add(ids[at : at + 90], base[at : at + 90], skip_self=own)
+    for i in range(60):
+        if metric in ("l2", "cosine"):
+            d = knn_module._pair_distances(metric, np.repeat(base[i : i + 1], 400, axis=0), base)
+        else:
+            d = knn_module.distances(metric, base[i : i + 1], base)[0]
+        other = ids != own[i]
+        best = np.lexsort((ids[other], d[other]))[:7]
+        assert top.ids[i].tolist() == ids[other][best].tolist() and top.dist[i].tolist() == d[other][best].tolist()
+
+
+def test_lists_keep_undefined_distances_last():
+    base = np.array([[0.0, 1.0], [np.nan, 0.0], [2.0, 0.0], [0.0, 4.0]])
+    top = knn_module.TopK("l2", base[:1], 4)
+    top.add(np.arange(4), base)
+    assert top.lists()[0].tolist() == [0, 2, 3, 1]
