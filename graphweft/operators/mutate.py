@@ -91,14 +91,26 @@ def _one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
 
 
-def _merged(df: DataFrame, wanted: DataFrame, on: Column, on_match: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Entities after ON MATCH, and the wanted rows without an entity.
+def _merged(df: DataFrame, wanted: DataFrame, eligible: Column, keys: list[str], on_match: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Entities after ON MATCH, and the wanted rows that no ``eligible`` entity has the ``keys`` of.
 
     One outer join, written once: what is there already and what is missing are both read from it, so the
-    entities are computed a single time whatever is merged.
+    entities are computed a single time whatever is merged. Entities that cannot match, most of them without the keys, are
+    spread by their id; by the missing keys alone they would all meet in one task.
     """
-    right = wanted.select(F.struct("*").alias("_w"), F.struct(F.lit(True).alias("_hit"), *[v.alias(n) for n, v in on_match.items()]).alias("_m"))
-    joined = cut(df.join(right, on, "full"))
+    for k in keys:
+        eligible = eligible & F.col(k).isNotNull()
+    apart = F.when(F.coalesce(eligible, F.lit(False)), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("id"), F.lit(1 << 30)))
+    # zero, but no literal: those the optimizer takes out of the join's keys
+    here = F.xxhash64(*keys).bitwiseAND(F.lit(0))
+    left = df.withColumn("_apart", apart.cast("long"))
+    right = wanted.select(
+        F.struct("*").alias("_w"), here.cast("long").alias("_here"), F.struct(F.lit(True).alias("_hit"), *[v.alias(n) for n, v in on_match.items()]).alias("_m")
+    )
+    on = F.col("_apart") == F.col("_here")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_w.{k}"))
+    joined = cut(left.join(right, on, "full"))
 
     def pick(name: str) -> Column:
         old = F.col(name) if name in df.columns else F.lit(None)
@@ -121,10 +133,7 @@ def merge_nodes(
 
     ``rows`` carries the key columns; the expressions may use its other columns.
     """
-    on = _has_labels(labels)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"_w.{k}"))
-    present, missing = _merged(graph.nodes, _one_per_key(rows, keys), on, on_match or {})
+    present, missing = _merged(graph.nodes, _one_per_key(rows, keys), _has_labels(labels), keys, on_match or {})
     props = {k: F.col(k) for k in keys} | (on_create or {})
     return create_nodes(Graph(present, graph.edges, graph.name), missing, labels, keys, marks, **props)
 
@@ -133,8 +142,7 @@ def merge_edges(
     graph: Graph, rows: DataFrame, type: str, on_create: dict[str, Column] | None = None, on_match: dict[str, Column] | None = None, marks: StoredMarks | None = None
 ) -> Graph:
     """The same for edges on (src, dst, type) (D4). ``rows(src, dst, …)``."""
-    on = (F.col("type") == type) & (F.col("src") == F.col("_w.src")) & (F.col("dst") == F.col("_w.dst"))
-    present, missing = _merged(graph.edges, _one_per_key(rows, ["src", "dst"]), on, on_match or {})
+    present, missing = _merged(graph.edges, _one_per_key(rows, ["src", "dst"]), F.col("type") == type, ["src", "dst"], on_match or {})
     return create_edges(Graph(graph.nodes, present, graph.name), missing, "src", "dst", type, ["src", "dst"], marks, **(on_create or {}))
 
 

@@ -5,6 +5,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from graphweft.graph import Graph
 from graphweft.operators import mutate, sync
 from graphweft.operators.sequence import StoredMarks
 from graphweft.versions import Versions
@@ -139,3 +140,24 @@ def test_merges_with_stored_marks(spark, make, tmp_path):
     ends = spark.createDataFrame([(src, dst, 1), (dst, src, 2)], "src long, dst long, n int")
     linked = mutate.merge_edges(g, ends, "TOWS", on_create={"born": F.col("n")}, on_match={"met": F.col("n")}, marks=marks)
     assert sorted((r.id, r.type, r.met, r.born) for r in linked.edges.collect()) == [(1, "TOWS", 1, None), (2, "TOWS", 1, None), (3, "SEES", None, None), (21, "TOWS", None, 2)]
+
+
+def test_merge_spreads_what_cannot_match(spark, make, monkeypatch):
+    """Nodes of other labels and nodes without the key do not meet in one task."""
+    g = make([("x", "Ship", {}), ("y", "Pier", {})], [])
+    many = spark.range(100, 4100).select("id", F.array(F.when(F.col("id") % 2 == 0, F.lit("Ship")).otherwise(F.lit("Buoy"))).alias("labels"), F.lit(None).cast("string").alias("name"))
+    g = Graph(g.nodes.select("id", "labels", "name").unionByName(many), g.edges)
+    joined = []
+    monkeypatch.setattr(mutate, "cut", lambda df, real=mutate.cut: joined.append(real(df)) or joined[-1])
+    monkeypatch.setattr(mutate, "dense_number", lambda rows, order, out, start: rows.withColumn(out, F.lit(start)))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        new = spark.createDataFrame([("x",), ("y",), (None,)], "name string").where("name is null or name <> 'none'")
+        merged = mutate.merge_nodes(g, new, "Ship", ["name"], on_match={"seen": F.lit(True)})
+        most = joined[0].groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert most < 2000
+    assert merged.nodes.count() == 4002 + 2  # no Ship is named y, and none has the null name
+    assert [r.name for r in merged.nodes.where("seen").collect()] == ["x"]
