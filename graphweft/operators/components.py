@@ -24,7 +24,7 @@ def _nearest(edges: DataFrame, total: int, chunk: int | None) -> DataFrame:
     """Edges with ``m``, the smallest of u and its neighbours v."""
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("_n"))
     if total > (chunk or skew.ROWS_PER_SALT):
-        least = cut(least)  # read several times when hot keys are split
+        least = settle(least)  # read several times when hot keys are split
     return skew.join_spread(edges, least, "u", "_n", total, [F.col("v")], chunk)
 
 
@@ -35,15 +35,15 @@ def wcc(graph: Graph, chunk: int | None = None) -> DataFrame:
     component is a star; the number of rounds grows with the logarithm of its size.
     """
     pairs = graph.edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
-    edges = cut(pairs)
+    edges = settle(pairs)
     mark = _fingerprint(edges)
     while mark[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _nearest(both, 2 * mark[0], chunk).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
+        large = settle(large)
         small = _nearest(large, 2 * mark[0], chunk)
         hooked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v")))
-        edges = cut(hooked.where("u <> v").distinct())
+        edges = settle(hooked.where("u <> v").distinct())
         now = _fingerprint(edges)
         if now == mark:
             break

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from graphweft.graph import Graph
 from graphweft.operators import centrality, community, components, ranking, similarity, traversal
 from graphweft import skew
 
@@ -205,3 +206,15 @@ def test_k_and_iterations_as_given(plain):
     for bad in (lambda: ranking.top_pagerank(g, 0), lambda: ranking.pagerank(g, iterations=0), lambda: community.label_propagation(g, 0)):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_component_rounds_begin_without_constraints(spark, monkeypatch):
+    """What the optimizer infers about the edges of one round must not be carried into the next, where the joins multiply it."""
+    seen = []
+    real = components._fingerprint
+    monkeypatch.setattr(components, "_fingerprint", lambda e: seen.append(e._jdf.queryExecution().optimizedPlan().constraints().size()) or real(e))
+    nodes = spark.range(60).select("id", F.array(F.lit("N")).alias("labels"))
+    edges = spark.range(59).select("id", F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit("E").alias("type")).where("id <> 29")
+    got = {r.id: r.component for r in components.wcc(Graph(nodes, edges)).collect()}
+    assert got == {i: 0 if i < 30 else 30 for i in range(60)}
+    assert len(seen) > 2 and not any(seen)
