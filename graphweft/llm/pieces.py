@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import SparkFiles
@@ -75,6 +76,8 @@ class Pieces:
             if self.reachable(piece):
                 self.longest.add_word(piece[::-1], piece)
         self.longest.make_automaton()
+        #: what merging leaves in one piece
+        self.whole = {piece for piece in self.id if self.reachable(piece)}
 
     def merged(self, part: str) -> list[str]:
         """What merging makes of a short part; the definition that the compatibility checks rest on."""
@@ -117,6 +120,8 @@ class Pieces:
 
     def cut(self, part: str) -> list[str]:
         """The pieces of a part, by backtracking."""
+        if part in self.whole:
+            return [part]
         n = len(part)
         longest = self.longest_at(part)
         if len(self.fits) > PAIRS:
@@ -169,7 +174,12 @@ class Pieces:
 
     def parts(self, text: str) -> list[str]:
         """A normalised text, cut before each run of white space."""
-        return _PARTS.findall((SPACE if self.dummy else "") + text.replace(" ", SPACE)) if text else []
+        if not text:
+            return []
+        marked = (SPACE if self.dummy else "") + text.replace(" ", SPACE)
+        if marked[0] == SPACE and marked[-1] != SPACE and SPACE + SPACE not in marked:  # one before each word: no need to search
+            return [SPACE + word for word in marked[1:].split(SPACE)]
+        return _PARTS.findall(marked)
 
     def runs(self, part: str) -> list[str]:
         """A part cut between letters and others wherever no piece holds the two characters at the border."""
@@ -229,17 +239,17 @@ class Pieces:
         return sum([f[0] for f in found]), ",".join([f[1] for f in found]), b"".join([f[2] for f in found])
 
     def forget(self) -> None:
-        """Drop what was remembered of the texts seen so far."""
-        self.known, self.older, self.fits = {}, {}, {}
+        """Drop what was remembered of the texts seen so far; which pieces go together is a matter of the model and stays."""
+        self.known, self.older = {}, {}
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
         known, part = self.known.get, self.part
         parts = [known(p) or part(p) for p in self.parts(text or "")]
-        decoded = b"".join([p[2] for p in parts])
+        decoded = b"".join(map(itemgetter(2), parts))
         if self.dummy and decoded[:1] == b" ":
             decoded = decoded[1:]
-        return sum([p[0] for p in parts]), hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return sum(map(itemgetter(0), parts)), hashlib.sha256(",".join(map(itemgetter(1), parts)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def _repaired(run: bytes) -> bytes:

@@ -564,3 +564,18 @@ def test_pieces_on_odd_rows(spark, odd, none, model_file):
     assert all(r.ids == library.encode(r.text or "") and r.decoded == (r.text or "") for r in rows)
     assert sorted(r.n_tokens for r in pieces.digests(odd, model_file).collect()) == sorted(len(r.ids) for r in rows)
     assert pieces.digests(none, model_file).count() == 0 and pieces.encode(none, model_file).count() == 0
+
+
+def test_pieces_known_to_the_model_outlast_a_task():
+    import public_tokenizers
+
+    model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["one two\nthree", "a  b", " lead", "trail ", " ", "▁", "a▁b", "a▁ b", "x", "", "snow☃man zzzxq"]
+    for text in texts:
+        marked = (pieces.SPACE if model.dummy else "") + text.replace(" ", pieces.SPACE)
+        assert model.parts(text) == (pieces._PARTS.findall(marked) if text else [])
+        assert model.decode(model.encode(text)) == text.replace(pieces.SPACE, " ")
+    before, pairs = [model.digest(t) for t in texts], len(model.fits)
+    model.forget()
+    assert pairs and len(model.fits) == pairs and not model.known
+    assert [model.digest(t) for t in texts] == before
