@@ -579,3 +579,22 @@ def test_pieces_known_to_the_model_outlast_a_task():
     model.forget()
     assert pairs and len(model.fits) == pairs and not model.known
     assert [model.digest(t) for t in texts] == before
+
+
+def test_quality_arrays_of_a_part_stay_small():
+    import tracemalloc
+
+    from graphweft.llm.common import parts_of
+
+    line = "The quick brown fox jumps over the lazy dog near the old river bank. "
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{i} {line * 40}" for i in range(4200)])], ["text"])  # 12 MB
+    scorer = quality.Scorer(np.zeros(quality.BUCKETS), 0.0)
+    tracemalloc.start()
+    try:
+        for part in parts_of(iter([batch]), quality._PART):
+            values, counts = quality.measures(part.column(0))
+            scorer.score(part.column(0), values, counts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 250 << 20, peak >> 20
