@@ -44,6 +44,7 @@ NEAR = 0.8
 BANDS, ROWS = 24, 6
 MARGIN = 0.1
 BLOCK = 256  # rows of a bucket that meet as many others at a time
+_PART = 1 << 20  # bytes of texts signed or compared at once; the arrays of their darts are some fifty times as large
 _UNIT = 2.0**-53
 
 
@@ -170,7 +171,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, near: float = NEAR, n
     digested = docs.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("digest"), text.alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, 8 << 20):
+        for part in parts_of(batches, _PART):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _banded(part.column(2), n, bands, rows)], ["id", "digest", "bands"])
 
     signed = cut(digested.mapInArrow(sign, T.StructType().add("id", kind).add("digest", "string").add("bands", T.ArrayType(T.LongType()))))
@@ -189,7 +190,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, near: float = NEAR, n
     texts = spark.read.parquet(folder)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, 4 << 20):
+        for part in parts_of(batches, 2 * _PART):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness(part.column(2), part.column(3), n))], ["a", "b", "near"])
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, near: float = NEAR, n
     open_nodes = placed.join(blocks.select("key"), "key", "left_semi").select("node").distinct()
 
     def sign_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, 8 << 20):
+        for part in parts_of(batches, _PART):
             yield pa.RecordBatch.from_arrays([*part.columns, _signs(part.column(1), n, bands * rows)], ["node", "text", "signs"])
 
     data = texts.select("node", "text").join(open_nodes, "node", "left_semi").mapInArrow(sign_whole, "node long, text string, signs array<int>")

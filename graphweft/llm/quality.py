@@ -29,7 +29,7 @@ SAMPLE = 4000
 BUCKETS = 4096  # of the scorer's features
 KEEP = 0.5
 ABSTAIN = 2
-_PART = 2 << 20  # bytes of texts taken up at once; the arrays of their trigrams are some fifty times as large
+_PART = 1 << 19  # bytes of texts taken up at once; the arrays of their trigrams are some fifty times as large
 
 # Frequent function words of the four languages.
 STOP_WORDS = (

@@ -598,3 +598,23 @@ def test_quality_arrays_of_a_part_stay_small():
     finally:
         tracemalloc.stop()
     assert peak < 250 << 20, peak >> 20
+
+
+def test_signing_texts_of_a_batch_takes_little_memory():
+    """near_dedup in the pipeline: texts are signed a part at a time, and a part's arrays are some fifty times its text."""
+    import tracemalloc
+
+    from graphweft.llm import dartminhash
+    from graphweft.llm.common import parts_of
+
+    text = pa.array([" ".join(str(n) for n in np.random.default_rng(i).integers(0, 10**6, 350)) for i in range(3500)])
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    assert batch.nbytes > 8 << 20
+    tracemalloc.start()
+    try:
+        for part in parts_of(iter([batch]), dartminhash._PART):
+            dartminhash._banded(part.column(0), 5, 24, 6)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 120 << 20
