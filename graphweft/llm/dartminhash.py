@@ -44,6 +44,7 @@ NEAR = 0.8
 BANDS, ROWS = 24, 6
 MARGIN = 0.1
 BLOCK = 256  # rows of a bucket that meet as many others at a time
+MANY = 1024  # pairs of two blocks for which every text is hashed once, instead of both texts of every pair
 _PART = 1 << 20  # bytes of texts signed or compared at once; the arrays of their darts are some fifty times as large
 _UNIT = 2.0**-53
 
@@ -136,6 +137,42 @@ def likeness(left: pa.Array, right: pa.Array, n: int) -> np.ndarray:
     return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
 
 
+def _occurrences(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and item of every shingle, the k-th occurrence of one being an item of its own."""
+    owners, items = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    step = max(1, _PART // max(1, texts.nbytes // max(1, len(texts))))
+    for at in range(0, len(texts), step):
+        owner, shingle, times = words.counted(*words.shingle_hashes(texts.slice(at, step), n))
+        which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        owners.append(np.repeat(owner, times).astype(np.int64) + at)
+        items.append(words.combined(np.repeat(shingle, times), which.astype(np.uint64)))
+    return np.concatenate(owners), np.concatenate(items)
+
+
+def _grid(left: pa.Array, right: pa.Array, n: int, width: int = 2048) -> np.ndarray:
+    """``likeness`` of every text of one block and every one of another: each is hashed once, items are counted ``width`` at a time."""
+    sides = [_occurrences(t, n) for t in (left, right)]
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    shared, placed = np.zeros((len(left), len(right))), []
+    for owner, item in sides:
+        at = np.searchsorted(common, item)
+        hit = np.flatnonzero(at < len(common))
+        hit = hit[common[at[hit]] == item[hit]]
+        order = hit[np.argsort(at[hit], kind="stable")]
+        placed.append((owner[order], at[order]))
+    for low in range(0, len(common), width):
+        parts = []
+        for (owner, at), texts in zip(placed, (left, right), strict=True):
+            some = slice(*np.searchsorted(at, [low, low + width]))
+            part = np.zeros((len(texts), width), np.float32)
+            part[owner[some], at[some] - low] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    totals = [np.bincount(owner, minlength=len(t)) for (owner, _), t in zip(sides, (left, right), strict=True)]
+    union = totals[0][:, None] + totals[1] - shared
+    return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
+
+
 def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of two blocks of a bucket that are near-duplicates of different classes, each in the first band it shares."""
     ids, kinds = ([t[c].to_numpy() for t in (left, right)] for c in ("node", "class"))
@@ -144,15 +181,20 @@ def _links(left: pa.Table, right: pa.Table, near: float, n: int, bands: int, row
     found = []
     for at in range(0, len(one), 16):
         same = one[at : at + 16, None] == two[None]
-        shared = same.reshape(-1, len(two), bands, rows).all(3)
-        fits = (same.sum(2) >= (near - MARGIN) * bands * rows) & shared.any(2) & (shared.argmax(2) == band)
-        some = np.nonzero(fits & (kinds[0][at : at + 16, None] != kinds[1]))
+        alike = np.add.reduce(same.view(np.uint8), axis=2, dtype=np.uint16 if bands * rows > 255 else np.uint8)
+        # few pairs are that much alike; only for them the band in which they meet first is looked for
+        some = np.nonzero((alike >= (near - MARGIN) * bands * rows) & (kinds[0][at : at + 16, None] != kinds[1]))
+        shared = same[some].reshape(-1, bands, rows).all(2)
+        some = [x[shared.any(1) & (shared.argmax(1) == band)] for x in some]
         found.append((some[0] + at, some[1]))
     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     value = [np.zeros(0)]
     texts = [t["text"].combine_chunks() for t in (left, right)]
-    for at in range(0, len(i), 512):
-        value.append(likeness(texts[0].take(pa.array(i[at : at + 512])), texts[1].take(pa.array(j[at : at + 512])), n))
+    if len(i) > MANY:
+        value.append(_grid(texts[0], texts[1], n)[i, j])
+    else:
+        for at in range(0, len(i), 512):
+            value.append(likeness(texts[0].take(pa.array(i[at : at + 512])), texts[1].take(pa.array(j[at : at + 512])), n))
     value = np.concatenate(value)
     a, b, good = ids[0][i], ids[1][j], value >= near
     return np.minimum(a, b)[good], np.maximum(a, b)[good], value[good]
@@ -205,8 +247,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, near: float = NEAR, n
     # then those outside the head's class meet the other classes of the bucket, block by block
     placed = members.select("key", "band", "node").join(classes, "node")
     head_class = heads.join(classes.select(F.col("node").alias("head"), F.col("class").alias("head_class")), "head").select("key", "head_class")
-    outside = placed.join(head_class, "key").where("class <> head_class").drop("head_class")
+    outside = cut(placed.join(head_class, "key").where("class <> head_class").drop("head_class"))
     blocks = outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("outer")).join(members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("inner")), "key")
+    blocks = cut(blocks)
     open_nodes = placed.join(blocks.select("key"), "key", "left_semi").select("node").distinct()
 
     def sign_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
