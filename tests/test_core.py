@@ -82,3 +82,22 @@ def test_join_spread(spark):
     small = df.groupBy("k").agg(F.max("v").alias("m"), F.count("*").alias("n"))
     want = rows(df.join(small.drop("n"), "k"), "k", "v", "m")
     assert rows(skew.join_spread(df, small, "k", "n", 52, [F.col("v")], chunk=4), "k", "v", "m") == want
+
+
+def test_ranges_of_with_next_grow_with_the_rows(spark, monkeypatch):
+    """A range is sorted by one task: 3 000 rows of at most 250 need twelve of them, where four shuffle partitions gave four."""
+    from graphweft import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 250)
+    placed = []
+    plain = ordered.sort_into_ranges
+    monkeypatch.setattr(ordered, "sort_into_ranges", lambda *a, **b: placed.append(plain(*a, **b)) or placed[-1])
+    rng = random.Random(5)
+    data = [(i, rng.choice([None, *range(40)])) for i in range(3000)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "id long, v int")
+    ordered_ids = [r[0] for r in sorted(data, key=lambda r: (-1 if r[1] is None else r[1], r[0]))]
+    got = ordered.with_next(df, ["v", "id"], ["id"])
+    assert {r.id: r.next and r.next.id for r in got.collect()} == dict(zip(ordered_ids, [*ordered_ids[1:], None]))
+    sizes = [r["count"] for r in placed[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 700
