@@ -218,3 +218,32 @@ def test_component_rounds_begin_without_constraints(spark, monkeypatch):
     got = {r.id: r.component for r in components.wcc(Graph(nodes, edges)).collect()}
     assert got == {i: 0 if i < 30 else 30 for i in range(60)}
     assert len(seen) > 2 and not any(seen)
+
+
+def test_searches_of_many_sources_share_rows(spark, plain):
+    """All pairs and closeness cross an edge once for 64 searches; ids that are null or unknown to other edges stay as they were."""
+    from graphweft.operators.traversal import reach_levels
+    from graphweft.skew import Fanout
+
+    rng = random.Random(11)
+    nodes = [i * 37 - 900 for i in range(150)]
+    edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(320)] + [(nodes[3], nodes[4])] * 2
+    g = plain(nodes, edges)
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, set()).add(b)
+    want = set()
+    for s in nodes:
+        level, met, depth = {s}, {s}, 0
+        while level:
+            depth += 1
+            level = {b for a in level for b in out.get(a, ())} - met
+            met |= level
+            want |= {(s, b, depth) for b in level}
+    assert rows(traversal.all_pairs(g)) == sorted(want)
+    some = spark.createDataFrame([(n,) for n in [*nodes[:3], nodes[0], None, 10**9]], "id long")
+    assert rows(traversal.all_pairs(g, some)) == sorted(w for w in want if w[0] in nodes[:3])
+    search = reach_levels(Fanout(g.edges.select("src", "dst").distinct()), g.nodes.select("id"))
+    # a row for every 64 sources that come to a node at a depth, not for every one
+    assert search.masks().count() < len(want) / 2
+    assert sorted(tuple(r) for r in search.pairs().where("depth > 0").collect()) == sorted(want)
