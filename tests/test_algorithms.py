@@ -247,3 +247,19 @@ def test_searches_of_many_sources_share_rows(spark, plain):
     # a row for every 64 sources that come to a node at a depth, not for every one
     assert search.masks().count() < len(want) / 2
     assert sorted(tuple(r) for r in search.pairs().where("depth > 0").collect()) == sorted(want)
+
+
+def test_threshold_counts_directly_where_that_is_cheaper(spark, plain, monkeypatch):
+    """Where every neighbour has about as many holders, checking candidates one by one moves a row per pair and neighbour."""
+    rng = random.Random(4)
+    edges = [(a, 100 + b) for a in range(30) for b in rng.sample(range(20), 12)]
+    g = plain([*range(30), *range(100, 120)], edges)
+    out = {a: {b for x, b in edges if x == a} for a in range(30)}
+    want = {(a, b): len(out[a] & out[b]) / len(out[a] | out[b]) for a, b in itertools.combinations(range(30), 2)}
+    want = {k: v for k, v in want.items() if v >= 0.4}
+    checked, plainly = [], similarity._shared_counts
+    monkeypatch.setattr(similarity, "_shared_counts", lambda *a: checked.append(1) or plainly(*a))
+    get = lambda: {(r.a, r.b): r.similarity for r in similarity.node_similarity(g, threshold=0.4).collect()}
+    assert get() == pytest.approx(want) and not checked
+    monkeypatch.setattr(similarity, "CHECK_COST", 0)
+    assert get() == pytest.approx(want) and checked
