@@ -5,10 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from graphweft.graph import Graph
 from graphweft.operators import components, forest, traversal
-from graphweft.operators.paths import shortest_paths
+from graphweft.operators.paths import _first_edges, shortest_paths
+from graphweft.operators.traversal import reach_levels
 from graphweft.placed import FOLD_EVERY, PlacedTable, levels
+from graphweft.skew import Fanout
 
 
 @pytest.fixture
@@ -169,3 +172,32 @@ def test_ways_up_in_several_forests(spark):
     assert sorted((r.s, r.back, r.id) for r in got.collect()) == [("a", 0, 3), ("a", 1, 2), ("a", 2, 1), ("b", 0, 3), ("b", 1, 1), ("b", 2, 2)]
     with pytest.raises(ValueError):
         forest.depths(spark.createDataFrame([(1, 2), (2, 1)], "id long, above long"))
+
+
+def test_shortest_paths_from_everywhere(spark, plain):
+    """From all nodes the ends share rows, 64 to one, and the paths are those of a search without the first node."""
+    draw = random.Random(7)
+    pairs = [(0, 1)] + [(draw.randrange(70), draw.randrange(70)) for _ in range(400)] + [(69, 70), (70, 71)]
+    g = plain(range(72), [*pairs, *pairs[:40]])  # parallel edges and a lane
+    cols = ["start", "end", "depth", "node_ids", "edge_ids"]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")  # groups go over several batches
+    try:
+        for ties in (False, True):
+            every = rows(shortest_paths(g.edges, g.nodes.select("id"), ties).where("start <> 0"), *cols)
+            assert every == rows(shortest_paths(g.edges, g.nodes.select("id").where("id <> 0"), ties), *cols)
+        assert max(r[2] for r in every) > 4
+        near = rows(shortest_paths(g.edges, g.nodes.select("id"), True, 1).where("start <> 0"), *cols)
+        assert near == [r for r in every if r[2] <= 1]
+    finally:
+        spark.conf.unset(name)
+
+
+def test_shared_ends_keep_one_edge_a_pair(plain):
+    """Of a dense graph only the edge a path begins with leaves the level, not an offer for every edge."""
+    n = 70
+    g = plain(range(n), [(a, b) for a in range(n) for b in range(n) if a != b and (a * b) % 3 == 0])
+    hops = g.edges.select("src", "dst", F.col("id").alias("edge_id"))
+    search = reach_levels(Fanout(hops.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_id")), g.nodes.select("id"))
+    first = _first_edges(Fanout(hops.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_id")), search, 2)
+    assert first.count() == search.pairs().where("depth = 2").count() == first.select("block", "bit", "id").distinct().count()
