@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..graph import Graph
-from ..ordered import running_sum
-from ..session import cut
+from ..ordered import dense_number, running_sum
+from ..session import cut, fits
 from ..skew import Fanout
 
 
@@ -131,13 +135,23 @@ def knn_nodes(graph: Graph, k: int = 10, nodes: DataFrame | None = None) -> Data
 # Partners a node looks at in the first round of the search, and by how much each round widens it.
 FIRST_LOOK = 256
 WIDER = 8
-
-
-def _best_partners(adj: DataFrame, left: DataFrame, k: int, larger_only: bool = False, first_look: int | None = None) -> DataFrame:
+# Holders that a node counts in one task's memory at most, and how many of them are dealt to a task.
+MOST_COUNTED = 4_000_000
+COUNTED_PER_TASK = 8_000_000
+# Neighbours of the searching nodes that fit in the columns of a matrix, and the rows of a block on either side.
+FEW_NEIGHBOURS = 256
+LEFT_BLOCK, RIGHT_BLOCK = 8192, 65536
+BEST = "a long, b long, similarity double, rank int"
+
+
+def _best_partners(
+    adj: DataFrame, left: DataFrame, k: int, larger_only: bool = False, first_look: int | None = None, few: int | None = None
+) -> DataFrame:
     """The k best partners of every node of ``left`` (with ``larger_only`` among those of larger id), exact.
 
-    Two ways, chosen for each node by what they cost. A node whose neighbours have few holders counts all common neighbours;
-    that is at most ``first_look`` rows per edge. The others, which touch hubs, search (``_search``).
+    Three ways, chosen by what they cost. A node whose neighbours have few holders counts all common neighbours (``_counted``);
+    that is at most ``first_look`` holders per edge. The others touch hubs. If they have few different neighbours, blocks of
+    them are compared with blocks of all holders (``_compared``), otherwise they search (``_search``).
     """
     look = first_look or FIRST_LOOK
     sizes = cut(adj.groupBy("a").agg(F.count("*").alias("n")))
@@ -145,16 +159,146 @@ def _best_partners(adj: DataFrame, left: DataFrame, k: int, larger_only: bool =
     full = cut(adj.join(popular, "nb").join(sizes, "a"))
     mine = full.join(left.select("a").distinct(), "a", "left_semi")
     cost = cut(mine.groupBy("a", "n").agg(F.sum("pop").alias("cost")))
-    dear = F.col("cost") > F.col("n") * look
+    dear = (F.col("cost") > F.col("n") * look) | (F.col("cost") > MOST_COUNTED)
     cheap = mine.join(cost.where(~dear).select("a"), "a", "left_semi")
-    others = full.select("nb", F.col("a").alias("b"), F.col("n").alias("m"))
-    allowed = F.col("b") > F.col("a") if larger_only else F.col("b") != F.col("a")
-    counted = cheap.select("a", "nb", "n").join(others, "nb").where(allowed).groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))
-    best = _ranked(counted.select("a", "b", _jaccard("shared").alias("similarity")), k)
+    total = cost.where(~dear).agg(F.sum("cost")).first()[0] or 0
+    best = _counted(full, cheap, k, larger_only, look, total)
     searching = cost.where(dear).select("a")
     if searching.isEmpty():
         return best
-    return best.unionByName(_search(full, mine.join(searching, "a", "left_semi"), k, allowed, look))
+    searching = mine.join(searching, "a", "left_semi")
+    hubs = searching.select("nb").distinct()
+    if fits(hubs, FEW_NEIGHBOURS if few is None else few):
+        return best.unionByName(_compared(full, searching, hubs, k, larger_only))
+    allowed = F.col("b") > F.col("a") if larger_only else F.col("b") != F.col("a")
+    return best.unionByName(_search(full, searching, k, allowed, look))
+
+
+def _counted(full: DataFrame, mine: DataFrame, k: int, larger_only: bool, look: int, total: int) -> DataFrame:
+    """Best partners of the nodes of ``mine`` by all that hold one of their neighbours, ``total`` holders together.
+
+    A neighbour's holders travel as lists of some ``look`` of them, and a task counts those of one node at a time: no row per
+    pair is moved or grouped.
+    """
+    dealt = full.withColumn("_block", F.pmod(F.xxhash64("a"), F.ceil(F.col("pop") / look))).groupBy("nb", "_block")
+    lists = dealt.agg(F.collect_list(F.struct(F.col("a").alias("b"), F.col("n").cast("int").alias("m"))).alias("held")).drop("_block")
+    held = F.filter("held", lambda x: x["b"] > F.col("a")) if larger_only else F.col("held")
+    met = mine.select("a", "nb", "n").join(lists, "nb").select("a", "n", held.alias("held"))
+    met = met.select("a", "n", F.col("held.b").alias("b"), F.col("held.m").alias("m")).where("size(b) > 0")
+    tasks = max(int(full.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // COUNTED_PER_TASK))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, n = batch["a"].to_numpy(), batch["n"].to_numpy()
+            ends = np.concatenate([[0], np.cumsum(batch["b"].value_lengths().to_numpy())])
+            b, m = batch["b"].flatten().to_numpy(), batch["m"].flatten().to_numpy()
+            borders = np.flatnonzero(a[1:] != a[:-1]) + 1
+            found = []
+            for low, high in zip([0, *borders], [*borders, len(a)], strict=True):
+                if last is not None and a[low] != last[0]:
+                    found.append(_top_counted(*last, parts, k))
+                    parts = []
+                last = (a[low], n[low])
+                parts.append((b[ends[low] : ends[high]], m[ends[low] : ends[high]]))
+            parts = [tuple(np.concatenate(x) for x in zip(*parts, strict=True))]
+            yield _best_rows(found)
+        if last is not None:
+            yield _best_rows([_top_counted(*last, parts, k)])
+
+    return met.repartition(tasks, "a").sortWithinPartitions("a").mapInArrow(count, BEST)
+
+
+def _top_counted(a: int, n: int, parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, ...]:
+    """The k best partners of one node; a partner is listed in ``parts`` once for every neighbour it shares."""
+    b, m = (np.concatenate(x) for x in zip(*parts, strict=True))
+    b, at, shared = np.unique(b, return_index=True, return_counts=True)
+    value = shared / (n + m[at] - shared)
+    value[b == a] = 0
+    good = np.flatnonzero(value > 0)
+    if len(good) > k:
+        good = good[value[good] >= np.partition(value[good], len(good) - k)[len(good) - k]]
+    good = good[np.lexsort((b[good], -value[good]))[:k]]
+    return np.full(len(good), a), b[good], value[good], np.arange(1, len(good) + 1, dtype=np.int32)
+
+
+def _best_rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    kinds = (np.int64, np.int64, np.float64, np.int32)
+    columns = [np.concatenate([np.zeros(0, kind), *[f[i] for f in found]]) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "similarity", "rank"])
+
+
+def _compared(full: DataFrame, mine: DataFrame, hubs: DataFrame, k: int, larger_only: bool) -> DataFrame:
+    """Best partners of the nodes of ``mine``, which have no neighbours but ``hubs(nb)``: blocks of them meet blocks of all holders.
+
+    Common neighbours are counted by multiplying matrices with a column per neighbour. From a pair of blocks come the k best of each node.
+    """
+    numbers = cut(dense_number(hubs, ["nb"], "at", start=0))
+    width = numbers.count()
+
+    def sets(rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(numbers), "nb").groupBy(F.col("a").alias("id"), "n").agg(F.collect_list(F.col("at").cast("int")).alias("held"))
+
+    sides = [cut(sets(mine)), cut(sets(full))]
+    blocks = [-(-side.count() // size) for side, size in zip(sides, (LEFT_BLOCK, RIGHT_BLOCK), strict=True)]
+    dealt = []
+    for i, name in enumerate(("left", "right")):
+        own = F.pmod(F.xxhash64("id"), F.lit(blocks[i])).alias(name)
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks[1 - i] - 1).cast("long"))).alias(("right", "left")[i])
+        dealt.append(sides[i].select("id", "n", "held", own, other))
+    # names of their own: both sides come from the same rows
+    dealt[1] = dealt[1].select(*[F.col(c).alias(f"r_{c}") for c in dealt[1].columns])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.rename_columns([c.removeprefix("r_") for c in right.column_names])
+        found = list(_tiles(left, right, width, k, larger_only)) if left.num_rows and right.num_rows else []
+        return pa.Table.from_batches([_best_rows(found)])
+
+    met = dealt[0].groupBy("left", "right").cogroup(dealt[1].groupBy("r_left", "r_right")).applyInArrow(meet, BEST).drop("rank")
+    return _ranked(met, k)
+
+
+def _tiles(left: pa.Table, right: pa.Table, width: int, k: int, larger_only: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """The k best of ``right`` for each row of ``left``, a tile of the two at a time."""
+
+    def matrix(table: pa.Table, rows: np.ndarray) -> np.ndarray:
+        held = table["held"].combine_chunks().take(pa.array(rows))
+        out = np.zeros((len(rows), width), np.float32)
+        out[np.repeat(np.arange(len(rows)), held.value_lengths().to_numpy()), held.flatten().to_numpy()] = 1
+        return out
+
+    ids, sizes = ([t[c].to_numpy() for t in (left, right)] for c in ("id", "n"))
+    order = np.argsort(ids[1])  # of equal values the smaller id comes first and stays
+    # narrow tiles first: they set the values that others must exceed
+    cuts = [0, *[c for c in (64, 512) if c < len(order)], *range(2048, len(order), 2048), len(order)]
+    for low in range(0, len(ids[0]), 1024):
+        rows = np.arange(low, min(low + 1024, len(ids[0])))
+        a, n, one = ids[0][rows], sizes[0][rows], matrix(left, rows)
+        best_value, best_id = np.zeros((len(rows), k)), np.full((len(rows), k), -1)
+        for begin, end in zip(cuts, cuts[1:]):
+            others = order[begin:end]
+            b = ids[1][others]
+            shared = (one @ matrix(right, others).T).astype(np.float64)
+            value = shared / (n[:, None] + sizes[1][others] - shared)
+            row, col = np.nonzero(value > best_value[:, -1:])
+            keep = b[col] > a[row] if larger_only else b[col] != a[row]
+            row, col = row[keep], col[keep]
+            if not len(row):
+                continue
+            # what was found so far precedes, since its ids are smaller
+            touched = np.unique(row)
+            at = np.concatenate([np.repeat(touched, k), row])
+            new_value = np.concatenate([best_value[touched].ravel(), value[row, col]])
+            new_id = np.concatenate([best_id[touched].ravel(), b[col]])
+            sort = np.lexsort((np.arange(len(at)), -new_value, at))
+            at = at[sort]
+            place = np.arange(len(at)) - np.searchsorted(at, at)
+            some = place < k
+            best_value[at[some], place[some]], best_id[at[some], place[some]] = new_value[sort][some], new_id[sort][some]
+        row, place = np.nonzero(best_value > 0)
+        yield a[row], best_id[row, place], best_value[row, place], place.astype(np.int32) + 1
 
 
 def _jaccard(shared: str) -> Column:

@@ -58,3 +58,29 @@ def test_a_hub_is_not_paired(spark):
     finally:
         similarity._count_shared = count
     assert len(seen) == 1 and sum(seen) <= 1200 * 8
+
+
+def test_three_ways_agree(spark):
+    """Counting, comparing blocks and searching give the same lists, over batches and blocks of any size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    sizes = similarity.LEFT_BLOCK, similarity.RIGHT_BLOCK
+    similarity.LEFT_BLOCK, similarity.RIGHT_BLOCK = 20, 30
+    try:
+        for sets in list(graphs())[:1]:
+            adj = spark.createDataFrame([(a, nb) for a, x in sets.items() for nb in x], "a long, nb long")
+            for larger, look, few in ((False, 1, 0), (True, 3, 256)):
+                got = similarity._best_partners(adj, adj, 3, larger, look, few)
+                assert {(r.a, r.b, r["rank"]) for r in got.collect()} == plain_best(sets, 3, larger)
+    finally:
+        similarity.LEFT_BLOCK, similarity.RIGHT_BLOCK = sizes
+        spark.conf.unset(name)
+
+
+def test_no_row_for_a_pair_moves(spark):
+    """Lists of holders are moved, not a row for every pair that shares a neighbour, and hubs are compared without candidates."""
+    adj = spark.createDataFrame([(a, 1000 + (a * j) % 40) for a in range(300) for j in range(1, 6)], "a long, nb long").distinct()
+    for look in (256, 1):
+        plan = similarity._best_partners(adj, adj, 2, first_look=look)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("MapInArrow" in plan) and ("FlatMapCoGroupsInArrow" in plan) == (look == 1)
+        assert "AS shared" not in plan
