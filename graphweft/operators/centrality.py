@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..graph import Graph, symmetric
 from ..session import cut
 from ..skew import Fanout
 from .counted import Counted, Tiled
+from .resident import Held, resident
 from .traversal import reach_levels
 
 
@@ -40,10 +45,27 @@ def betweenness(graph: Graph, sources: DataFrame | None = None) -> DataFrame:
 
 
 def closeness(graph: Graph) -> DataFrame:
-    """``id, score``: sum of 1/distance over the undirected view, divided by n − 1."""
-    simple = symmetric(graph.edges.where("src <> dst").select("src", "dst").distinct()).distinct()
-    search = reach_levels(Fanout(simple), graph.nodes.select("id"))
+    """``id, score``: sum of 1/distance over the undirected view, divided by n − 1.
+
+    A task returns one sum for each node that its searches come to. Only graphs too large for that are searched with rows that travel.
+    """
+    simple = cut(symmetric(graph.edges.where("src <> dst").select("src", "dst").distinct()).distinct())
+    held = resident(simple, graph.nodes.select("id"))
     n = graph.nodes.count()
     # the view is undirected, so summing per reached node equals summing per source
-    reached = search.masks().where("depth > 0").select("id", (F.bit_count("mask") / F.col("depth")).alias("s"))
+    if held is None:
+        search = reach_levels(Fanout(simple), graph.nodes.select("id"))
+        reached = search.masks().where("depth > 0").select("id", (F.bit_count("mask") / F.col("depth")).alias("s"))
+    else:
+        reached = held.searched(_nearness, "id long, s double")
     return graph.nodes.select("id", F.lit(0.0).alias("s")).unionAll(reached).groupBy("id").agg((F.sum("s") / max(n - 1, 1)).alias("score"))
+
+
+def _nearness(graph: Held, blocks: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """For every node the sum of 1/distance to the sources of a task."""
+    total = np.zeros(graph.n)
+    for own in blocks:
+        for depth, fresh in graph.levels(own):
+            total += np.bitwise_count(fresh).sum(axis=1, dtype="int64") / depth
+    met = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(graph.ids[met]), pa.array(total[met])], ["id", "s"])
